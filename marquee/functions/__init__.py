@@ -1,0 +1 @@
+"""functions package of the listing analytics engine."""

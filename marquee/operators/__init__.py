@@ -1,0 +1 @@
+"""operators package of the listing analytics engine."""

@@ -1,0 +1 @@
+"""plans package of the listing analytics engine."""

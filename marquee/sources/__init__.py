@@ -1,0 +1 @@
+"""sources package of the listing analytics engine."""

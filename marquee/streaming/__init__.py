@@ -1,0 +1 @@
+"""streaming package of the listing analytics engine."""
