@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import packing
+from marquee.llm import mixing, packing, quality, secrets
 from marquee.llm.common import documents
 
 
@@ -12,5 +12,22 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), digest=True)
 
 
-QUERIES = {"op1_packing": op1_packing}
-ORACLES: dict[str, str] = {}
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(documents(spark, sf_dir))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.amounts(documents(spark, sf_dir))
+
+
+QUERIES = {
+    "op1_packing": op1_packing,
+    "op7_quality": op7_quality,
+    "op8_secrets": op8_secrets,
+    "op9_mixing": op9_mixing,
+}
+ORACLES = {"op8_secrets": secrets.ORACLE, "op9_mixing": mixing.ORACLE}
