@@ -169,7 +169,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: tuple[str, ...]
     numbers = {r.kind: i for i, r in enumerate(rules)}
     found = F.col("found")
     ours = [numbers[k] for k in base]
-    counts = [F.size(F.filter(found, lambda x, i=numbers[k]: x["kind"] == i)).cast("long").alias(f"n_{k}") for k in base]
+    of_kind = lambda i: F.filter(found, lambda x: x["kind"] == i)
+    counts = [F.size(of_kind(numbers[k])).cast("long").alias(f"n_{k}") for k in base]
     digest = F.sha2(_text_of(F.filter(found, lambda x: x["kind"].isin(ours)), rules), 256)
     return find(docs, F.col("doc_id").cast("long"), rules).select(F.col("row").alias("doc_id"), *counts, digest.alias("base_sha256"), _text_of(found, rules).alias("spans"))
 
