@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import mixing, packing, quality, secrets
+from marquee.llm import mixing, packing, quality, recompress, secrets, simhash
 from marquee.llm.common import documents
 
 
@@ -12,6 +12,14 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), digest=True)
 
 
+def op2_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompress.dedup(documents(spark, sf_dir))
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components(documents(spark, sf_dir))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir))
 
@@ -26,6 +34,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_recompression": op2_recompression,
+    "op4_simhash": op4_simhash,
     "op7_quality": op7_quality,
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
