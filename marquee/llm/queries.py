@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import mixing, packing, quality, recompress, secrets, simhash
+from marquee.llm import langid, mixing, packing, quality, recompress, secrets, simhash, suffixes
 from marquee.llm.common import documents
 
 
@@ -20,6 +20,14 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(documents(spark, sf_dir))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
+def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup(documents(spark, sf_dir))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir))
 
@@ -36,6 +44,8 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_recompression": op2_recompression,
     "op4_simhash": op4_simhash,
+    "op5_language": op5_language,
+    "op6_suffixes": op6_suffixes,
     "op7_quality": op7_quality,
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
