@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import langid, mixing, packing, quality, recompress, secrets, simhash, suffixes
+from marquee.llm import langid, mixing, packing, quality, recompress, secrets, simhash, suffixes, toxicity
 from marquee.llm.common import documents
 
 
@@ -40,6 +40,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.amounts(documents(spark, sf_dir))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.rate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_recompression": op2_recompression,
@@ -49,5 +53,6 @@ QUERIES = {
     "op7_quality": op7_quality,
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES = {"op8_secrets": secrets.ORACLE, "op9_mixing": mixing.ORACLE}
