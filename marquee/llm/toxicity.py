@@ -1,7 +1,7 @@
 """Toxicity by a linear-chain conditional random field.
 
 Words are tokens with two states, clean and toxic. A token's features are its letters in lower case as a whole, its first
-3, 4 and 5 bytes and its last 3 and 4; they are hashed to FEATURES weights. Labels are per document, so tokens are
+4, 5, 6 and 8 bytes and its last 4; they are hashed to FEATURES weights. Labels are per document, so tokens are
 labelled first: a feature marks toxicity if it stands in at least MARKS_SHARE of the toxic training documents (MARKS_LEAST
 at least) and, per document of either kind, PURITY times as often in toxic ones; tokens of a toxic document with such a
 feature are toxic, all others clean. The field's weights and transitions are fitted to these by gradient ascent on the
@@ -9,8 +9,9 @@ penalised conditional likelihood. Forward-backward then gives every token of eve
 is a logistic function of its greatest marginal and its expected number of toxic tokens, fitted on training documents
 that the field did not see. Runs of tokens with a marginal over one half are the offending spans.
 
-Learning uses a bounded sample: at most SAMPLE labelled documents of each class, TEXT characters of each, drawn by a hash
-of doc_id; one document stands for those with an equal least shingle hash, so copies don't vote. Scoring reads all of
+Learning uses a bounded sample: at most SAMPLE labelled documents of each class (the field itself is
+fitted on FITTED of each), TEXT characters of each, drawn by a hash
+of doc_id; one document stands for those with any of eight least shingle hashes in common, so copies don't vote. Scoring reads all of
 every text, in chains of CHAIN words.
 
 Cases: a null or empty text has no tokens and the score of a text without evidence; null doc_ids are scored and never
@@ -29,11 +30,12 @@ from pyspark.sql import functions as F
 
 from marquee.llm import common
 
-SAMPLE = 1500
+SAMPLE = {1: 1500, 0: 4500}
+FITTED = 1500
 TEXT = 8000
 FEATURES = 1 << 18
 CHAIN = 64
-MARKS_SHARE = 0.004
+MARKS_SHARE = 0.015
 MARKS_LEAST = 4
 PURITY = 20.0
 STEPS = 30
@@ -62,7 +64,7 @@ def tokens(data: np.ndarray, offsets: np.ndarray):
     start, end, counts = common.word_spans(data, offsets)
     last = end - (_MARK[data[end - 1]] & (end - start > 1)) if len(end) else end
     prefix = common.prefix_hash(common.BYTE_KEYS[_LOWER[data]])
-    spans = [(start, last)] + [(start, np.minimum(start + k, last)) for k in (3, 4, 5)] + [(np.maximum(last - k, start), last) for k in (3, 4)]
+    spans = [(start, last)] + [(start, np.minimum(start + k, last)) for k in (4, 5, 6, 8)] + [(np.maximum(last - 4, start), last)]
     features = np.stack([((common.span_hash(prefix, a, b) ^ np.uint64(i * 0x9E3779B9)) & np.uint64(FEATURES - 1)).astype(np.int32) for i, (a, b) in enumerate(spans)])
     return start, last, counts, features
 
@@ -121,13 +123,14 @@ def evidence(p: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def token_labels(features: np.ndarray, doc: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """1 for the tokens of toxic documents that have a feature which marks toxicity."""
-    n_toxic, n_clean = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
+def token_labels(features: np.ndarray, doc: np.ndarray, toxic: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """True for the tokens of toxic documents that have a feature which marks toxicity in the documents used."""
+    n_toxic, n_clean = max(1, int((toxic & used).sum())), max(1, int((~toxic & used).sum()))
+    counted = used[doc]
     seen = np.zeros((2, FEATURES), np.int64)
     marks = np.zeros(features.shape[1], bool)
     for kind in features:
-        pair = np.unique(doc.astype(np.int64) * FEATURES + kind)
+        pair = np.unique(doc[counted].astype(np.int64) * FEATURES + kind[counted])
         of_toxic = toxic[pair // FEATURES]
         seen[1] = np.bincount(pair[of_toxic] % FEATURES, minlength=FEATURES)
         seen[0] = np.bincount(pair[~of_toxic] % FEATURES, minlength=FEATURES)
@@ -148,10 +151,12 @@ def fit(texts: list[bytes], toxic: np.ndarray) -> Field:
     doc = np.repeat(np.arange(len(texts)), counts)
     chosen = _one_of_each(features[0], counts)
     part = np.arange(len(texts)) % 3
-    learn = np.isin(doc, np.flatnonzero(chosen & (part != 0)))
-    f, d = features[:, learn], doc[learn]
-    members = np.where(chosen & (part != 0), counts, 0)
-    y = token_labels(f, d, toxic).astype(float)
+    marked = token_labels(features, doc, toxic, chosen & (part != 0))
+    fitted = chosen & (part != 0)
+    for kind in (toxic, ~toxic):
+        fitted[np.flatnonzero(fitted & kind)[FITTED:]] = False
+    learn = fitted[doc]
+    f, y, members = features[:, learn], marked[learn].astype(float), np.where(fitted, counts, 0)
     chain, place, n = chains(members)
     first = place == 0
     wanted = np.zeros((2, 2))
@@ -172,7 +177,7 @@ def fit(texts: list[bytes], toxic: np.ndarray) -> Field:
         square_t += slope_t**2
         transitions += 0.2 * slope_t / np.sqrt(square_t)
     rest = chosen & (part == 0)
-    keep = np.isin(doc, np.flatnonzero(rest))
+    keep = rest[doc]
     chain, place, n = chains(np.where(rest, counts, 0))
     p, _ = marginals(weights[features[:, keep]].sum(axis=0), chain, place, n, transitions)
     x = evidence(p, np.where(rest, counts, 0))[rest]
@@ -180,15 +185,15 @@ def fit(texts: list[bytes], toxic: np.ndarray) -> Field:
 
 
 def _one_of_each(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Leaves one document of those with an equal least hash of five words."""
+    """Leaves one document of those that have any of eight least hashes of five words in common."""
     keep, seen, at = np.ones(len(counts), bool), set(), 0
     for i, n in enumerate(counts.tolist()):
         if n >= 5:
             w = words[at : at + n].astype(np.uint64)
             h = common.mix(w[:-4] * np.uint64(3) + w[1:-3] * np.uint64(5) + w[2:-2] * np.uint64(7) + w[3:-1] * np.uint64(11) + w[4:] * np.uint64(13))
-            least = int(h.min())
-            keep[i] = least not in seen
-            seen.add(least)
+            least = {(k, int(common.mix(h ^ np.uint64(k)).min())) for k in range(1, 9)}
+            keep[i] = not least & seen
+            seen |= least
         at += n
     return keep
 
@@ -203,13 +208,13 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[bytes], np.ndarray]:
-    """Labelled texts that are not held out, at most about SAMPLE of each class."""
+    """Labelled texts that are not held out, about SAMPLE of each class at most."""
     rows = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("_doc")).agg(F.max("toxic").cast("int").alias("_toxic"))
     rows = rows.filter(~held_out(F.col("_doc"))).withColumn("_draw", F.pmod(F.xxhash64("_doc", F.lit("toxicity")), F.lit(1 << 30)))
     counts = {r["_toxic"]: r["n"] for r in rows.groupBy("_toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return [], np.zeros(0, bool)
-    most = F.element_at(F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1 << 30, int(SAMPLE / n * (1 << 30)))))), F.col("_toxic"))
+    most = F.element_at(F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1 << 30, int(SAMPLE[k] / n * (1 << 30)))))), F.col("_toxic"))
     chosen = rows.filter(F.col("_draw") < most).select("_doc", "_toxic", "_draw")
     # about SAMPLE rows of each class, however many labels there are: small enough to send everywhere
     texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.substring(F.col("text").cast("string"), 1, TEXT).alias("_text")).join(F.broadcast(chosen), "_doc")
