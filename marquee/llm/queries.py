@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marquee.llm import langid, mixing, packing, quality, recompress, secrets, simhash, suffixes, toxicity
+from marquee.llm import langid, mixing, mtree, packing, quality, recompress, secrets, simhash, suffixes, toxicity
 from marquee.llm.common import documents
 
 
@@ -16,6 +17,10 @@ def op2_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompress.dedup(documents(spark, sf_dir))
 
 
+def op3_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(documents(spark, sf_dir))
 
@@ -44,9 +49,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.rate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_recompression": op2_recompression,
+    "op3_mtree": op3_mtree,
     "op4_simhash": op4_simhash,
     "op5_language": op5_language,
     "op6_suffixes": op6_suffixes,
@@ -54,5 +66,6 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
+    "pipeline": pipeline,
 }
-ORACLES = {"op8_secrets": secrets.ORACLE, "op9_mixing": mixing.ORACLE}
+ORACLES = {"op3_mtree": mtree.ORACLE, "op8_secrets": secrets.ORACLE, "op9_mixing": mixing.ORACLE}
