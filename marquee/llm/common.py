@@ -121,9 +121,10 @@ def n_words(text):
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def bucket_count(spark: SparkSession) -> int:
-    return max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def times(rows: DataFrame, copies) -> DataFrame:
+    """The rows, each as many times as copies says. A filter on a computed column would be pushed into what computes it and repeat that; rows made from an array are not."""
+    return rows.withColumn("_one", F.explode_outer(F.array_repeat(F.lit(1), copies))).filter("_one is not null").drop("_one")
 
 
-def pack_rows(columns: dict[str, pa.DataType]) -> pa.Schema:
-    return pa.schema(list(columns.items()))
+def bucket_count(spark: SparkSession) -> int:
+    return max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))

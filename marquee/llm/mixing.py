@@ -113,7 +113,7 @@ def mix(docs: DataFrame, seed: str = SEED, **shares) -> DataFrame:
     by_source = common.cut(source_targets(slim, **shares))
     ends = common.cut(_ends(_ranked(_same_source(slim, by_source))))
     rows = _copies(_ranked(_same_source(_sized(docs, seed, F.struct("*").alias("row")), by_source)), ends)
-    return rows.filter("copies > 0").select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("row.*")
+    return common.times(rows.select("row", "copies"), F.col("copies")).select("row.*")
 
 
 ORACLE = """

@@ -34,53 +34,56 @@ STEPS = 3
 CUTOFF = 80.0
 FLOORS = (0.25, 0.75, 0.75, 0.75)
 LEAST = 60
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 FINE = 128
 SPAN = 12.0
 
 
-def base_statistics(text: Column) -> dict[str, Column]:
-    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of a text as one array of words sees them."""
-    text = F.coalesce(text.cast("string"), F.lit(""))
-    words = F.array_remove(F.split(text, common.SPACES), "")
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
-    return {
-        "words": hashed,
-        "word_chars": F.length(F.translate(text, " \t\n\v\f\r", "")).cast("long"),
-        "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
-        "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
-    }
-
-
-def repeated_words(words: Column) -> Column:
-    """How many words lie in a 3-word window that occurs twice or more: equal windows meet when sorted by hash."""
-    n = F.size(words)
-    windows = F.transform(F.slice(words, 1, F.greatest(n - 2, F.lit(0))), lambda w, i: F.struct(F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i")))
-    ordered = F.array_sort(windows)
-    return ordered
-
-
-def statistics(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, source and the counts of every document."""
-    base = base_statistics(F.col("text"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), *(v.alias(k) for k, v in base.items()))
-    return _counted(rows).drop("words")
-
-
-def _counted(rows: DataFrame) -> DataFrame:
-    rows = rows.withColumn("ordered", repeated_words(F.col("words")))
-    o = F.col("ordered")
-    twice = F.array_sort(
-        F.transform(
-            F.filter(F.transform(o, lambda x, j: F.struct(x["i"].alias("i"), ((F.get(o, j - 1)["h"] == x["h"]) | (F.get(o, j + 1)["h"] == x["h"])).alias("again"))), lambda x: F.coalesce(x["again"], F.lit(False))),
-            lambda x: x["i"],
-        )
+FEW = 32
+
+
+def counted(docs: DataFrame, *kept: Column) -> DataFrame:
+    """The kept columns, lang, source and the counts of every document."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(
+        *kept,
+        F.col("lang").cast("string").alias("lang"),
+        F.col("source").cast("string").alias("source"),
+        F.transform(F.array_remove(F.split(text, common.SPACES), ""), lambda w: F.xxhash64(w)).alias("_words"),
+        (F.length(text) - F.regexp_count(text, F.lit(r"[\x20\x09-\x0D]"))).cast("long").alias("word_chars"),
+        F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+        F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("_lines"),
     )
-    rows = rows.withColumn("twice", twice)
-    t = F.col("twice")
-    covered = F.aggregate(F.transform(t, lambda x, j: F.least(F.lit(3), F.coalesce(F.get(t, j + 1) - x, F.lit(3)))), F.lit(0).cast("long"), lambda a, x: a + x)
-    return rows.withColumn("n_words", F.size("words").cast("long")).withColumn("n_repeat_words", covered).drop("ordered", "twice")
+    w = F.col("_words")
+    rows = rows.withColumns(
+        {
+            "n_words": F.size(w).cast("long"),
+            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+            "_windows": F.transform(F.slice(w, 1, F.greatest(F.size(w) - 2, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2))),
+        }
+    )
+    rows = rows.withColumn("_sorted", F.sort_array("_windows"))
+    s = F.col("_sorted")
+    rows = rows.withColumn("_twice", F.array_distinct(F.filter(s, lambda x, i: F.coalesce(x == F.get(s, i + 1), F.lit(False)))))
+    rows = rows.withColumn("_places", F.when(F.size("_twice") == 0, F.array().cast("array<int>")).when(F.size("_twice") <= FEW, _few_places()).otherwise(_many_places()))
+    at = F.col("_places")
+    covered = F.aggregate(F.transform(at, lambda x, j: F.least(F.lit(3), F.coalesce(F.get(at, j + 1) - x, F.lit(3)))), F.lit(0).cast("long"), lambda total, x: total + x)
+    return rows.withColumn("n_repeat_words", covered).drop("_words", "_lines", "_windows", "_sorted", "_twice", "_places")
+
+
+def _few_places() -> Column:
+    """Where windows that occur twice begin, for a few such windows."""
+    return F.filter(F.transform("_windows", lambda x, i: F.when(F.array_contains(F.col("_twice"), x), i)), lambda x: x.isNotNull())
+
+
+def _many_places() -> Column:
+    """The same for any number of them: equal windows stand side by side when sorted with their places."""
+    pairs = F.sort_array(F.transform("_windows", lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+    before = F.transform(F.slice(pairs, 1, F.size(pairs) - 1), lambda x: x["h"])
+    after = F.transform(F.slice(pairs, 2, F.size(pairs)), lambda x: x["h"])
+    same = F.zip_with(before, after, lambda x, y: x == y)
+    marked = F.zip_with(F.zip_with(pairs, F.concat(F.array(F.lit(False)), same), lambda x, y: F.struct(x["i"].alias("i"), y.alias("y"))), F.concat(same, F.array(F.lit(False))), lambda x, z: F.when(x["y"] | z, x["i"]))
+    return F.sort_array(F.filter(marked, lambda x: x.isNotNull()))
 
 
 def base_failed() -> Column:
@@ -183,15 +186,13 @@ def _judged(stats: DataFrame, groups: DataFrame, factors: DataFrame, cutoff: flo
 
 def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """One row per document: the base counts, base_failed, kept, and the squared distance."""
-    stats = common.cut(statistics(docs))
+    stats = common.cut(counted(docs, F.col("doc_id").cast("long").alias("doc_id")))
     out = _judged(stats, *estimates(stats), cutoff)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("d2", 6).alias("distance2"))
 
 
 def accepted(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """The rows of docs that are kept."""
-    base = base_statistics(F.col("text"))
-    rows = docs.select(F.struct("*").alias("row"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), *(v.alias(k) for k, v in base.items()))
-    counted = _counted(rows).drop("words")
-    groups, factors = estimates(common.cut(counted.drop("row")))
-    return _judged(counted, groups, factors, cutoff).filter("kept").select("row.*")
+    groups, factors = estimates(common.cut(counted(docs)))
+    judged = _judged(counted(docs, F.struct("*").alias("row")), groups, factors, cutoff).select("row", "kept")
+    return common.times(judged, F.col("kept").cast("int")).select("row.*")

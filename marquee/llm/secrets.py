@@ -156,7 +156,7 @@ def find(docs: DataFrame, kept: Column, rules: tuple[Rule, ...] = RULES) -> Data
         texts = texts.withColumn("rules", F.lit(0))
     none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
     every = [spans(F.col("body"), r, i) if not q else F.when(F.col("rules").bitwiseAND(F.lit(1 << i)) != 0, spans(F.col("body"), r, i)).otherwise(none) for i, (r, q) in enumerate(zip(rules, queries, strict=True))]
-    return texts.select("row", "body", F.array_sort(F.concat(*every)).alias("found"))
+    return texts.select("row", "body", F.sort_array(F.concat(*every)).alias("found"))
 
 
 def _text_of(found: Column, rules: tuple[Rule, ...]) -> Column:
