@@ -4,7 +4,7 @@ Every document gives a vector of statistics, each put on a log scale: mean word
 lines to words, repeated words to words. Per language and source the mean and covariance of the half that lies closest
 together are estimated: from medians and quartiles as a start, STEPS concentration steps each keep the SUBSET share of a
 group's documents with the least Mahalanobis distance and estimate anew. A document that passes the base rules is
-rejected if its squared distance is above CUTOFF. A group with under LEAST documents is judged with its language's, a
+rejected if its squared distance is above CUTOFF, the 0.999 quantile of chi-square with four degrees of freedom. A group with under LEAST documents is judged with its language's, a
 small language with all. FLOORS are the standard deviations added to each statistic, so that a group in which a
 statistic hardly varies doesn't reject a single symbol or repeated line.
 
@@ -31,7 +31,7 @@ from marquee.llm import common
 
 SUBSET = 0.75
 STEPS = 3
-CUTOFF = 80.0
+CUTOFF = 18.47
 FLOORS = (0.25, 0.75, 0.75, 0.75)
 LEAST = 60
 SYMBOLS = "[#*$%&|<>]"
