@@ -391,3 +391,102 @@ FROM (SELECT *, ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) A
 def sessionize(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read(spark, sf_dir, "events").groupBy("user_id", F.session_window("ts", "30 minutes")).agg(F.count(F.lit(1)).alias("n"))
     return s.select("user_id", F.date_format("session_window.start", "yyyy-MM-dd HH:mm:ss").alias("started"), "n")
+
+
+@registered()
+def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marquee.functions.markup import html_text as readable
+
+    return read(spark, sf_dir, "pages").select("page_id", readable("html", "url").alias("text"))
+
+
+@registered()
+def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marquee.functions.markup import clean_text as cleaned
+
+    return read(spark, sf_dir, "documents").select("doc_id", cleaned("text").alias("text"))
+
+
+@registered()
+def display_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marquee.functions.markup import strip_display
+
+    return read(spark, sf_dir, "documents").select("doc_id", strip_display(F.col("text")).alias("text"))
+
+
+@registered()
+def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from datetime import datetime
+
+    from marquee.sources.pages import extract
+
+    return extract(read(spark, sf_dir, "pages"), datetime(2026, 9, 28)).select("page_id", "rung", "via", "title", "start", "url")
+
+
+@registered(" SELECT event_id, strftime(ts AT TIME ZONE 'UTC' AT TIME ZONE 'Australia/Brisbane', '%Y-%m-%d %H:%M:%S') AS local FROM events", "")
+def zone_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    local = F.from_utc_timestamp(F.col("ts").cast("timestamp"), "Australia/Brisbane")
+    return read(spark, sf_dir, "events").select("event_id", F.date_format(local, "yyyy-MM-dd HH:mm:ss").alias("local"))
+
+
+@registered("SELECT ord, CASE WHEN item % 4 = 0 THEN 0.0::DOUBLE WHEN item % 4 = 1 THEN (item % 90 + 5)::DOUBLE END AS amount FROM v")
+def cost_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = (F.col("item") % 90 + 5).cast("string")
+    raw = F.when(F.col("item") % 4 == 0, "Free entry").when(F.col("item") % 4 == 1, F.concat(F.lit("$"), n)).when(F.col("item") % 4 == 2, F.concat(F.lit("$5 to $"), n)).otherwise("See link")
+    return listing(spark, sf_dir).select("ord", L.cost_amount(raw).alias("amount"))
+
+
+@registered("SELECT ord, rtrim(trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g'))[1:60]).replace(' ', '-') AS slug FROM v")
+def slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return listing(spark, sf_dir).select("ord", L.slug(F.col("title")).alias("slug"))
+
+
+@registered()
+def pack_lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marquee.operators.layout import pack_lanes as packed
+
+    week = query.expand_days(listing(spark, sf_dir), A, B).groupBy("city_key", "ord").agg(F.min("day").alias("first"), F.max("day").alias("last"))
+    return packed(week, "city_key").select("city_key", "ord", "lane")
+
+
+@registered()
+def ical_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marquee.sinks.feeds import ical
+
+    return ical(week_listing(spark, sf_dir))
+
+
+@registered()
+def rss_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marquee.sinks.feeds import rss
+
+    return rss(week_listing(spark, sf_dir))
+
+
+@registered()
+def markdown_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marquee.sinks.feeds import markdown
+
+    return markdown(query.top_picks(listing(spark, sf_dir), A, B, model.MAX_PICKS, "city_key"))
+
+
+@registered(
+    """ SELECT city, n, total FROM (SELECT coalesce(c_mktsegment, 'ALL') AS city, count(*) AS n, round(sum(c_acctbal), 2) AS total FROM customer GROUP BY CUBE (c_mktsegment))""",
+    "",
+)
+def segment_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read(spark, sf_dir, "customer").cube("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("total"))
+    return c.select(F.coalesce("c_mktsegment", F.lit("ALL")).alias("city"), "n", "total")
+
+
+@registered(
+    """ SELECT event_id, (SELECT max(o_orderkey) FROM orders o WHERE o.o_custkey = e.user_id AND o.o_orderdate = (SELECT max(o_orderdate) FROM orders p WHERE p.o_custkey = e.user_id AND p.o_orderdate <= e.ts)) AS o_orderkey FROM events e""",
+    "",
+)
+def asof_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event with its user's latest order so far: both sides in one stream per user, the last order carried on."""
+    events = read(spark, sf_dir, "events").select(F.col("user_id").alias("k"), "ts", F.lit(1).alias("side"), "event_id", F.lit(None).cast("long").alias("order"))
+    orders = read(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("k"), F.col("o_orderdate").alias("ts")).agg(F.max("o_orderkey").alias("order"))
+    both = events.unionByName(orders.select("k", "ts", F.lit(0).alias("side"), F.lit(None).cast("long").alias("event_id"), "order"))
+    w = Window.partitionBy("k").orderBy("ts", "side").rowsBetween(Window.unboundedPreceding, 0)
+    return both.withColumn("o_orderkey", F.last("order", ignorenulls=True).over(w)).filter("side = 1").select("event_id", "o_orderkey")
