@@ -490,3 +490,57 @@ def asof_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = events.unionByName(orders.select("k", "ts", F.lit(0).alias("side"), F.lit(None).cast("long").alias("event_id"), "order"))
     w = Window.partitionBy("k").orderBy("ts", "side").rowsBetween(Window.unboundedPreceding, 0)
     return both.withColumn("o_orderkey", F.last("order", ignorenulls=True).over(w)).filter("side = 1").select("event_id", "o_orderkey")
+
+
+@registered(
+    """SELECT ord, CASE WHEN d IS NULL THEN '' WHEN nullif(datetime_end_iso, '') > d THEN
+  strftime(CAST(d AS DATE), '%a %-d %b') || CASE WHEN d[1:4] <> datetime_end_iso[1:4] THEN ' ' || d[1:4] ELSE '' END || CASE WHEN length(datetime_iso) > 10 THEN ', ' || strftime(CAST(datetime_iso AS TIMESTAMP), '%-I:%M %p') ELSE '' END
+  || ' – ' || strftime(CAST(datetime_end_iso AS DATE), '%a %-d %b') || CASE WHEN d[1:4] <> datetime_end_iso[1:4] THEN ' ' || datetime_end_iso[1:4] ELSE '' END
+ELSE strftime(CAST(d AS DATE), '%a %-d %b') || CASE WHEN length(datetime_iso) > 10 THEN ', ' || strftime(CAST(datetime_iso AS TIMESTAMP), '%-I:%M %p') ELSE '' END END AS shown
+FROM (SELECT ord, nullif(datetime_iso, '') AS datetime_iso, nullif(datetime_end_iso, '') AS datetime_end_iso, d FROM v)"""
+)
+def shown_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marquee.functions.dates import human_datetime as shown
+
+    return listing(spark, sf_dir).select("ord", shown(F.col("datetime_iso"), F.col("datetime_end_iso")).alias("shown"))
+
+
+@registered(
+    """ SELECT event_id, strftime(CASE WHEN dayofweek(d) = 0 THEN d + 1 ELSE CAST(date_trunc('week', d) AS DATE) END, '%Y-%m-%d') AS coming, strftime(date_trunc('week', d), '%Y-%m-%d') AS week,
+strftime(last_day(d), '%Y-%m-%d') AS month_end, strftime(CASE WHEN dayofweek(d) = 0 THEN d ELSE d + CAST(6 - dayofweek(d) AS INTEGER) END, '%Y-%m-%d') AS weekend FROM (SELECT event_id, CAST(ts AS DATE) AS d FROM events)""",
+    "",
+)
+def calendar_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marquee.functions import dates as D
+
+    d = F.col("ts").cast("date")
+    return read(spark, sf_dir, "events").select("event_id", D.coming_week(d)["start"].alias("coming"), D.start_of_week(d).alias("week"), D.end_of_month(d).alias("month_end"), D.weekend(d)["start"].alias("weekend"))
+
+
+@registered("SELECT ord, trim(string_split(location, ',')[1]) AS venue, trim(regexp_replace(regexp_replace(lower(location), '[^a-z0-9 ]', ' ', 'g'), '\\s+', ' ', 'g')) AS venue_key FROM v")
+def venue_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marquee.functions import records as R
+
+    return listing(spark, sf_dir).select("ord", R.raw_venue(F.col("location")).alias("venue"), R.venue_key(F.col("location")).alias("venue_key"))
+
+
+@registered(
+    " SELECT doc_id, CASE WHEN length(text) <= 200 THEN text ELSE trim(CASE WHEN strpos(reverse(text[1:200]), ' ') > 0 AND 200 - strpos(reverse(text[1:200]), ' ') > 120 THEN text[1:200 - strpos(reverse(text[1:200]), ' ')] ELSE text[1:200] END) || '…' END AS teaser FROM documents",
+    "",
+)
+def teasers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marquee.functions.records import truncate
+
+    return read(spark, sf_dir, "documents").select("doc_id", truncate(F.col("text")).alias("teaser"))
+
+
+@registered()
+def page_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with enough text and dates to be worth reading, and why others are not."""
+    from marquee.functions.dates import date_hits
+    from marquee.functions.markup import html_text as readable
+    from marquee.functions.records import blocked
+
+    rows = read(spark, sf_dir, "pages").withColumn("text", readable("html", "url"))
+    hits, size = date_hits(F.col("text")), F.length("text")
+    return rows.select("page_id", size.alias("n_text"), hits.alias("n_dates"), blocked(F.lit(200), F.col("html"), size).alias("blocked"), ((size >= 1200) & (hits >= 5)).alias("passes"))

@@ -122,7 +122,7 @@ def test_readable_text_and_clean_up(spark):
 def test_ical_feed(spark):
     df = spark.createDataFrame([(1, "brisbane", "Jazz, late; loud", "2026-09-30T19:00:00", "", "Hall")], "ord int, city_key string, title string, datetime_iso string, datetime_end_iso string, location string")
     body = feeds.ical(df).first().body
-    assert "DTSTART:20260930T190000\r\nDTEND:20260930T210000\r\nSUMMARY:Jazz\\, late\; loud" in body
+    assert "DTSTART:20260930T190000\r\nDTEND:20260930T210000\r\nSUMMARY:Jazz\\, late\\; loud" in body
 
 
 def test_taste_stream(spark, tmp_path):
@@ -136,3 +136,39 @@ def test_taste_stream(spark, tmp_path):
     run.processAllAvailable()
     run.stop()
     assert {(r.key, r.weight) for r in spark.table("taste").collect()} == {("tag:a", -1.0), ("cat:x", 0.0)}
+
+
+def test_costs(spark):
+    from marquee.functions import records as R
+
+    rows = [("Free entry",), ("$25",), ("AUD 12.50",), ("$5 to $15",), ("",), ("EUR 9",), ("0",), ("See site",)]
+    c = F.col("c0")
+    got = values(spark, rows, R.cost_amount(c), R.cost_label(c), R.cost_range(c)["high"])
+    assert got == [(0.0, "free", None), (25.0, "$25", None), (12.5, "$12.50", None), (None, "$5 to $15", 15.0), (None, None, None), (9.0, "EUR 9", None), (0.0, "free", None), (None, "See site", None)]
+    offers = [r[0] for r in values(spark, rows[:4], R.offer(c, F.lit("http://x.y")))]
+    assert '"@type":"AggregateOffer"' in offers[3] and '"price":25.0' in offers[1]
+
+
+def test_venues(spark):
+    from marquee.functions import records as R
+
+    rows = [("Level 2, The Triffid, Newstead", "Hall 1"), ("The Bar & Grill", "Hall 2"), ("", "x")]
+    got = values(spark, rows, R.raw_venue(F.col("c0")), R.venue_key(F.col("c0")), R.numbers_conflict(F.col("c0"), F.col("c1")))
+    assert got == [("The Triffid", "level 2 the triffid newstead", True), ("The Bar & Grill", "bar and grill", False), ("", "", False)]
+
+
+def test_zone_gap_and_overlap(spark):
+    from marquee.functions import dates as D
+
+    rows = [("2026-10-04T02:30:00",), ("2026-10-04T03:30:00",), ("2026-04-05T02:30:00",)]
+    got = [str(r[0]) for r in values(spark, rows, F.date_format(D.to_instant(F.col("c0"), "Australia/Sydney"), "yyyy-MM-dd HH:mm"))]
+    assert got == ["None", "2026-10-03 16:30", "2026-04-04 15:30"]
+
+
+def test_shown_dates(spark):
+    from marquee.functions import dates as D
+
+    rows = [("2026-09-30T19:00:00", "2026-10-02"), ("2026-12-30", "2027-01-02"), ("2026-09-30", ""), ("", "")]
+    a, b = F.col("c0"), F.col("c1")
+    got = values(spark, rows, D.human_datetime(a, b), D.display_datetime(F.lit("soon"), a, b, "2026-10-01"))
+    assert got == [("Wed 30 Sep, 7:00 PM – Fri 2 Oct", "On now — until 2 Oct"), ("Wed 30 Dec 2026 – Sat 2 Jan 2027", "soon"), ("Wed 30 Sep", "soon"), ("", "soon")]
