@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from marquee.sources import shapes
+
 FIELDS = ("title", "description", "start", "end", "venue", "address", "url", "price", "image", "organiser")
 RECORD = "page_id long, rung int, via string, " + ", ".join(f"{f} string" for f in FIELDS)
 DEPTH = 12
@@ -146,9 +148,17 @@ def records(body: str | None, now: datetime) -> list[tuple[int, str, dict]]:
         return [(1, "ical", r) for r in ical(body, now)]
     if body.lstrip()[:1] in ("{", "["):
         try:
-            return [(1, "feed", r) for node in walk(json.loads(body)) if (r := picked(node))]
+            value = json.loads(body)
         except ValueError:
             return []
+        known = shapes.from_json(value, FIELDS)
+        if known is not None:
+            return [(1, known[0], r) for r in known[1]]
+        return [(1, "feed", r) for node in walk(value) if (r := picked(node))]
+    if body.lstrip("\ufeff \n").startswith(("<?xml", "<feed")):
+        atom = shapes.from_atom(body, FIELDS)
+        if atom is not None:
+            return [(1, "atom", r) for r in atom]
     blobs = {"jsonld": [], "embedded": []}
     for attributes, script in SCRIPT.findall(body):
         kind = "jsonld" if "ld+json" in attributes else "embedded" if "json" in attributes or "__NEXT_DATA__" in attributes else None
