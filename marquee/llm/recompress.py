@@ -86,7 +86,7 @@ def _names(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def removed_windows(docs: DataFrame, buckets: int) -> DataFrame:
     """doc_id, text_hash, found: the first words of the windows that a smaller doc_id has."""
-    shared = repeats.with_found(docs, repeats.shared_names(docs, _names, buckets), "inner")
+    shared = repeats.with_found(docs, repeats.shared_names(docs, _names, buckets))
 
     def send(batches):
         for batch in repeats.regrouped(batches):
@@ -109,7 +109,7 @@ def removed_windows(docs: DataFrame, buckets: int) -> DataFrame:
             yield from send_windows(heads, np.concatenate(owners), np.concatenate(found), buckets)
 
     moved = shared.mapInArrow(send, repeats.MOVED)
-    return repeats.by_bucket(moved, buckets, lambda batches: repeats.gathered(batches, WORD_WINDOW, buckets, _settle))
+    return repeats.by_bucket(moved, buckets, lambda batches: repeats.gathered(batches, lambda b: np.frombuffer(b, WORD_WINDOW), buckets, _settle))
 
 
 def send_windows(heads, owner, w, buckets):
@@ -125,7 +125,7 @@ def send_windows(heads, owner, w, buckets):
     if out is not None:
         yield from (out.slice(i, 2000) for i in range(0, len(out), 2000))
     owner, w = owner[~later], w[~later]
-    out = repeats.dealt(heads, (w["h"] >> np.uint64(32)) % np.uint64(buckets), owner, w)
+    out = repeats.dealt(heads, (w["h"] >> np.uint64(32)) % np.uint64(buckets), owner, w, np.ndarray.tobytes)
     if out is not None:
         yield out
 
@@ -171,7 +171,7 @@ def dedup(docs: DataFrame, texts: bool = False) -> DataFrame:
             names = list(out) if texts else list(out)[:-1]
             yield pa.RecordBatch.from_arrays([pa.array(out[k], t) for k, t in zip(names, kinds, strict=False)], names)
 
-    with_lists = repeats.with_found(rows, found, "left").select("doc_id", "text", "found")
+    with_lists = repeats.with_found(rows, found).select("doc_id", "text", "found")
     return with_lists.mapInArrow(run, RESULT + (", kept_text string" if texts else ""))
 
 

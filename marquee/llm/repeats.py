@@ -17,7 +17,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,27 +75,25 @@ def finished(docs: np.ndarray, owner: np.ndarray, what: np.ndarray, bucket: int
     return pa.RecordBatch.from_arrays([pa.array(spread.astype(np.int64)), binary(heads, np.arange(len(heads))), pa.nulls(len(heads), pa.binary()), body], ["bucket", "docs", "owners", "body"])
 
 
-def dealt(docs: np.ndarray, bucket: np.ndarray, owner: np.ndarray, what: np.ndarray) -> pa.RecordBatch | None:
-    """One row for each bucket. owner: the document, or len(docs) for an entry that stands for two or more."""
+def dealt(docs: np.ndarray, bucket: np.ndarray, owner: np.ndarray, what: np.ndarray, encode: Callable) -> pa.RecordBatch | None:
+    """One row for each bucket. owner: the document, or len(docs) for an entry that stands for two or more. encode: entries to bytes."""
     if not len(owner):
         return None
     order = np.argsort(bucket, kind="stable")
     bucket, owner, what = bucket[order], owner[order], what[order]
     first = firsts(bucket)
     ends = np.append(first[1:], len(bucket))
-    heads, places, counts = [], np.empty(len(owner), "<u4"), []
+    heads, places, bodies = [], [], []
     for a, b in zip(first, ends, strict=True):
-        own, places[a:b] = np.unique(owner[a:b], return_inverse=True)
-        real = own[own < len(docs)]
-        heads.append(docs[real])
-        counts.append(len(real))
-    heads = np.concatenate(heads)
-    starts = np.cumsum([0, *counts[:-1]])
-    return pa.RecordBatch.from_arrays([pa.array(bucket[first].astype(np.int64)), binary(heads, starts), binary(places, first), binary(what, first)], ["bucket", "docs", "owners", "body"])
+        own, place = np.unique(owner[a:b], return_inverse=True)
+        heads.append(docs[own[own < len(docs)]].tobytes())
+        places.append(place.astype("<u2" if len(own) < 65536 else "<u4").tobytes())
+        bodies.append(encode(what[a:b]))
+    return pa.RecordBatch.from_arrays([pa.array(bucket[first].astype(np.int64)), *(pa.array(x, pa.binary()) for x in (heads, places, bodies))], ["bucket", "docs", "owners", "body"])
 
 
-def gathered(batches: Iterator[pa.RecordBatch], body: np.dtype, buckets: int, settle: Callable) -> Iterator[pa.RecordBatch]:
-    """The reducer: rows sorted by bucket; settle(docs, owner, what) gives (owner, found) of a whole bucket."""
+def gathered(batches: Iterator[pa.RecordBatch], decode: Callable, buckets: int, settle: Callable) -> Iterator[pa.RecordBatch]:
+    """The reducer: rows sorted by bucket; settle(docs, owner, what) gives (owner, found) of a whole bucket. decode: bytes to entries."""
     now, rows = None, []
 
     def close():
@@ -104,10 +101,11 @@ def gathered(batches: Iterator[pa.RecordBatch], body: np.dtype, buckets: int, se
             docs, owners, bodies, at = [], [], [], 0
             for d, o, w in rows:
                 d = np.frombuffer(d, DOC)
-                o = np.frombuffer(o, "<u4").astype(np.int64)
+                entries = decode(w)
+                o = np.frombuffer(o, "<u2" if len(o) == 2 * len(entries) else "<u4").astype(np.int64)
                 docs.append(d)
                 owners.append(np.where(o < len(d), o + at, -1))
-                bodies.append(np.frombuffer(w, body))
+                bodies.append(entries)
                 at += len(d)
             docs = np.concatenate(docs)
             out = finished(docs, *settle(docs, np.concatenate(owners), np.concatenate(bodies)))
@@ -140,10 +138,10 @@ def by_bucket(moved: DataFrame, buckets: int, run: Callable, schema: str = FOUND
     return moved.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
 
 
-def with_found(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
-    """The documents with the list of what was found in each."""
+def with_found(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The documents with the list of what was found in each, or null. Both rounds join alike, so texts are shuffled once."""
     lists = found.groupBy("doc_id", "text_hash").agg(F.collect_list("found").alias("found"))
-    return docs.join(lists.hint("shuffle_hash"), ["doc_id", "text_hash"], how)
+    return docs.join(lists.hint("shuffle_hash"), ["doc_id", "text_hash"], "left")
 
 
 def heads_of(batch: pa.RecordBatch) -> np.ndarray:
@@ -154,9 +152,11 @@ def heads_of(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def regrouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of about BATCH bytes."""
+    """Batches of about BATCH bytes, without the documents in which nothing was found."""
     held, size = [], 0
     for batch in batches:
+        if "found" in batch.schema.names:
+            batch = batch.filter(batch.column("found").is_valid())
         at = 0
         while at < len(batch):
             text = batch.column("text")
@@ -172,7 +172,23 @@ def regrouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-NAME = np.dtype("<u8")
+#: Names only find candidates, which are compared in full, so 48 bits of them travel.
+NAME_BITS = np.uint64((1 << 48) - 1)
+
+
+def names_out(names: np.ndarray) -> bytes:
+    return np.ascontiguousarray(names.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def names_in(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.reshape(-1).view("<u8")
+
+
+def short(names: np.ndarray) -> np.ndarray:
+    """Names as rows of 6 bytes."""
+    return np.ascontiguousarray(names.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
 
 
 def shared_names(docs: DataFrame, names_of: Callable, buckets: int) -> DataFrame:
@@ -182,16 +198,17 @@ def shared_names(docs: DataFrame, names_of: Callable, buckets: int) -> DataFrame
         for batch in regrouped(batches):
             heads = heads_of(batch)
             owner, name = names_of(*common.columnar(batch.column("text")))
+            name = name & NAME_BITS
             order = np.argsort(name, kind="stable")
             owner, name = owner[order], name[order]
             first = firsts(name)
             count = np.diff(np.append(first, len(name)))
             twice = np.repeat(count > 1, count)
-            out = finished(heads, owner[twice], name[twice].astype(NAME), buckets)
+            out = finished(heads, owner[twice], short(name[twice]), buckets)
             if out is not None:
                 yield from (out.slice(i, 2000) for i in range(0, len(out), 2000))
             one = name[first]
-            out = dealt(heads, (one >> np.uint64(32)) % np.uint64(buckets), np.where(count > 1, len(heads), owner[first]), one.astype(NAME))
+            out = dealt(heads, one % np.uint64(buckets), np.where(count > 1, len(heads), owner[first]), one, names_out)
             if out is not None:
                 yield out
 
@@ -201,20 +218,20 @@ def shared_names(docs: DataFrame, names_of: Callable, buckets: int) -> DataFrame
         first = firsts(name)
         count = np.add.reduceat(np.where(owner < 0, 2, 1), first) if len(first) else np.zeros(0, int)
         shared = np.repeat(count > 1, np.diff(np.append(first, len(name)))) & (owner >= 0)
-        return owner[shared], name[shared]
+        return owner[shared], short(name[shared])
 
     moved = docs.filter("doc_id is not null").mapInArrow(send, MOVED)
-    return by_bucket(moved, buckets, lambda batches: gathered(batches, NAME, buckets, settle))
+    return by_bucket(moved, buckets, lambda batches: gathered(batches, names_in, buckets, settle))
 
 
 def names_by_document(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """(document, name) of the list column found, sorted by document and name."""
     lists = batch.column("found")
     flat = lists.flatten()
-    per_part = np.array([len(x) // 8 for x in flat.to_pylist()], np.int64)
+    per_part = np.array([len(x) // 6 for x in flat.to_pylist()], np.int64)
     parts = np.diff(lists.offsets.to_numpy()) if len(lists) else np.zeros(0, np.int64)
     owner = np.repeat(np.repeat(np.arange(len(batch)), parts), per_part)
-    name = np.frombuffer(b"".join(flat.to_pylist()), NAME) if len(flat) else np.zeros(0, NAME)
+    name = names_in(b"".join(flat.to_pylist()))
     return owner, name
 
 
@@ -224,14 +241,10 @@ def held(owner: np.ndarray, name: np.ndarray, known_owner: np.ndarray, known_nam
     known = np.sort(key(known_owner, known_name))
     if not len(known):
         return np.zeros(len(owner), bool)
-    mine = key(owner, name)
+    mine = key(owner, name & NAME_BITS)
     at = np.minimum(np.searchsorted(known, mine), len(known) - 1)
     return known[at] == mine
 
 
 def digest(parts: bytes) -> str:
     return hashlib.sha256(parts).hexdigest()
-
-
-def batch_number() -> int:
-    return TaskContext.get().partitionId()

@@ -83,11 +83,33 @@ def _entries(data: np.ndarray, offsets: np.ndarray, known_owner: np.ndarray, kno
     return doc, out
 
 
+def _packed(entries: np.ndarray) -> bytes:
+    """Entries by column, compressed: contexts overlap and are text."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(np.ascontiguousarray(entries[k]).tobytes() for k in ENTRY.names))
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    import zstandard
+
+    raw, at = zstandard.ZstdDecompressor().decompress(data), 0
+    out = np.zeros(len(raw) // ENTRY.itemsize, ENTRY)
+    for k in ENTRY.names:
+        size = ENTRY[k].itemsize * len(out)
+        out[k] = np.frombuffer(raw[at : at + size], ENTRY[k].base).reshape(out[k].shape)
+        at += size
+    return out
+
+
 def classes(entries: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """An order that puts equal contexts together, least doc_id first; where a class begins in it; where a name does."""
     width = CONTEXT + 2
     body = np.concatenate([entries["text"], entries["first"][:, None], entries["n"][:, None]], axis=1)
-    keys = common.mix((common.BYTE_KEYS[body] * common.powers(width)[0][:width]).sum(axis=1, dtype=np.uint64))
+    places = common.powers(width)[0][:width]
+    keys = np.empty(len(body), np.uint64)
+    for a in range(0, len(body), 4096):  # a key is eight times as wide as a byte
+        keys[a : a + 4096] = common.mix((common.BYTE_KEYS[body[a : a + 4096]] * places).sum(axis=1, dtype=np.uint64))
     order = np.lexsort((ids, keys, entries["name"]))
     body, name = body[order], entries["name"][order]
     new_name = np.append(True, name[1:] != name[:-1])
@@ -204,7 +226,7 @@ def _gone(entries: np.ndarray, bits: np.ndarray) -> np.ndarray:
 
 
 def removed_windows(docs: DataFrame, buckets: int) -> DataFrame:
-    shared = repeats.with_found(docs, repeats.shared_names(docs, _names, buckets), "inner")
+    shared = repeats.with_found(docs, repeats.shared_names(docs, _names, buckets))
 
     def send(batches):
         for batch in repeats.regrouped(batches):
@@ -230,7 +252,7 @@ def removed_windows(docs: DataFrame, buckets: int) -> DataFrame:
             if out is not None:
                 yield from (out.slice(i, 2000) for i in range(0, len(out), 2000))
             owner, e = owner[~later], e[~later]
-            out = repeats.dealt(heads, (e["name"] >> np.uint64(32)) % np.uint64(buckets), owner, e)
+            out = repeats.dealt(heads, (e["name"] & repeats.NAME_BITS) % np.uint64(buckets), owner, e, _packed)
             if out is not None:
                 yield out
 
@@ -240,7 +262,7 @@ def removed_windows(docs: DataFrame, buckets: int) -> DataFrame:
         return owner[hit], _gone(e, bits)[hit]
 
     moved = shared.mapInArrow(send, repeats.MOVED)
-    return repeats.by_bucket(moved, buckets, lambda batches: repeats.gathered(batches, ENTRY, buckets, settle))
+    return repeats.by_bucket(moved, buckets, lambda batches: repeats.gathered(batches, _unpacked, buckets, settle))
 
 
 def kept_spans(gone: np.ndarray, n: int) -> np.ndarray:
@@ -274,4 +296,4 @@ def dedup(docs: DataFrame, texts: bool = False) -> DataFrame:
             names = list(out) if texts else list(out)[:-1]
             yield pa.RecordBatch.from_arrays([pa.array(out[k], t) for k, t in zip(names, kinds, strict=False)], names)
 
-    return repeats.with_found(rows, found, "left").select("doc_id", "text", "found").mapInArrow(run, RESULT + (", kept binary" if texts else ""))
+    return repeats.with_found(rows, found).select("doc_id", "text", "found").mapInArrow(run, RESULT + (", kept binary" if texts else ""))
