@@ -9,11 +9,12 @@ LOW_SCORE = 4.0
 MAX_PICKS = 9
 NO_DATE = "9999"
 VACUOUS_TAGS = (
-    "social creative intellectual hands-on handson workshop workshops talk talks lecture lectures discussion party parties "
-    "networking meetup meetups interactive live entertainment immersive unique fun exciting event events experience special "
-    "popular amazing interesting various general misc miscellaneous other local new active relax skills learning"
-).split() + ["hands on"]
-#: Tag implied by any tag that one of its patterns finds.
+    "social, creative, intellectual, hands on, hands-on, handson, workshop, workshops, talk, talks, lecture, lectures, discussion, "
+    "party, parties, networking, meetup, meetups, interactive, live, entertainment, immersive, unique, fun, exciting, event, events, "
+    "experience, special, popular, amazing, interesting, various, general, misc, miscellaneous, other, local, new, active, relax, "
+    "skills, learning"
+).split(", ")
+# A tag is implied by any tag that one of its patterns finds.
 IMPLIED_TAGS = {
     "music": [r"music", r"acoustic", r"^dj$", r"^(singing|classical)$", r"^(jazz|rock|indie|punk|metal|pop|hip hop|electronic|folk|blues|country)$", r"^(piano|reggae|dub)$"],
     "live music": [r"^(concert|band|tribute)$", r"^orchestra$"],
@@ -48,7 +49,7 @@ IMPLIED_TAGS = {
     "community": [r"^charity$"],
     "students": [r"^student$"],
 }
-# Taste: the key groups with their share and target, the floor of counted interactions, the curve and the largest boost.
+# Fixed values of taste: the key groups with their share and target, the floor of counted interactions, the curve and the largest boost.
 TASTE_GROUPS = (("tag:", 0.55, 3), ("vibe:", 0.25, 2), ("cat:", 0.2, 1))
 TASTE_LEAST, TASTE_CURVE, TASTE_MOST = 3, 1.5, 4.0
 LEAST_TAG_WEIGHT = 0.1
