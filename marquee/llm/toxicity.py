@@ -145,9 +145,12 @@ def fit(texts: list[bytes], toxic: np.ndarray) -> Field:
     if not 0 < rate < 1:
         flat = -30.0 if rate == 0 else 30.0
         return Field(np.zeros(FEATURES, np.float32), np.zeros((2, 2)), np.array([flat, 0.0, 0.0]))
-    data = np.frombuffer(b"".join(texts), np.uint8)
     offsets = np.cumsum([0, *map(len, texts)])
-    _, _, counts, features = tokens(data, offsets)
+    parts = []
+    for a, b in common.chunks(offsets):  # hashing takes some forty bytes for each of the text
+        parts.append(tokens(np.frombuffer(b"".join(texts[a:b]), np.uint8), offsets[a : b + 1] - offsets[a])[2:])
+    counts, features = np.concatenate([c for c, _ in parts]), np.concatenate([f for _, f in parts], axis=1)
+    del parts
     doc = np.repeat(np.arange(len(texts)), counts)
     chosen = _one_of_each(features[0], counts)
     part = np.arange(len(texts)) % 3
