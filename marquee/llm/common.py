@@ -127,4 +127,4 @@ def times(rows: DataFrame, copies) -> DataFrame:
 
 
 def bucket_count(spark: SparkSession) -> int:
-    return max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(32, int(spark.conf.get("spark.sql.shuffle.partitions")))

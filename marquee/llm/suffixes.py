@@ -7,8 +7,8 @@ in one bucket. Equal contexts (hashes bring them together, bytes are compared) a
 in its least doc_id, and in every other member they go. Where one representative has several classes, the windows of
 each class's first member are sorted as suffixes: a mergesort whose comparisons find the longest common extension of two
 suffixes by binary search over prefix polynomial hashes, 6 steps for 50 bytes, and look at the byte after it. Suffixes
-whose extension reaches 50 stand side by side; their bytes are compared before they count as equal, and each run goes
-where its least doc_id is not.
+whose extension reaches 50 stand side by side; their bytes are compared before they count as equal, and from then on they
+are sorted as one. Each such group of windows goes where its least doc_id is not.
 
 Cases: a null or empty text has no bytes; texts under 50 bytes keep all; rows with a null doc_id keep all and remove
 nothing; rows that repeat a doc_id don't remove each other's bytes; an empty table gives no rows; other columns of any
@@ -27,6 +27,7 @@ from marquee.llm.recompress import covered
 WINDOW = 50
 GRAM = 16
 REACH = WINDOW - GRAM
+SLICE = 250_000
 CONTEXT = REACH + WINDOW
 ENTRY = np.dtype([("name", "<u8"), ("start", "<u4"), ("first", "u1"), ("n", "u1"), ("text", "u1", (CONTEXT,))])
 GONE = np.dtype([("start", "<u4"), ("bits", "<u8")])
@@ -116,24 +117,21 @@ def classes(entries: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return order, new_name | np.append(True, (body[1:] != body[:-1]).any(axis=1)), new_name
 
 
-def suffix_order(text: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """starts sorted by the WINDOW bytes that follow, and whether each has the same bytes as the one before."""
+def suffix_groups(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each suffix the index of one that has the same WINDOW bytes, the same for all of them.
+
+    A bottom-up mergesort, all merges of a level at once: an element finds its place in the run beside its own by binary
+    search. Suffixes that meet with equal bytes go on as one, so a window that stands in many texts is not sorted many times.
+    """
     n = len(starts)
+    leader = np.arange(n)
     if not n:
-        return starts, np.zeros(0, bool)
-    lead = np.zeros(n, np.uint64)
-    for i in range(8):
-        lead = lead << np.uint64(8) | text[starts + i].astype(np.uint64)
-    order = np.argsort(lead, kind="stable")
-    starts, lead = starts[order], lead[order]
+        return leader
     prefix = common.prefix_hash(common.BYTE_KEYS[text])
     _, down = common.powers(len(prefix))
-    group = np.cumsum(np.append(0, lead[1:] != lead[:-1]))
-    first = repeats.firsts(group)
-    size = np.diff(np.append(first, n))
-    rank_in = np.arange(n) - first[group]
 
     def extension(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """How many bytes two suffixes have in common, 8 at least (they have the same lead), WINDOW at most."""
         low, high = np.full(len(a), 8), np.full(len(a), WINDOW)
         for _ in range(6):
             mid = (low + high + 1) // 2
@@ -142,42 +140,81 @@ def suffix_order(text: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
         return low
 
     def before(a: np.ndarray, b: np.ndarray, ties: np.ndarray) -> np.ndarray:
-        """Whether suffix a stands before b; equal ones count as before where ties says so."""
         lcp = extension(a, b)
-        whole = lcp == WINDOW
         at = np.minimum(lcp, WINDOW - 1)
-        return np.where(whole, ties, text[a + at] < text[b + at])
-
-    width = 1
-    while width < size.max():
-        live = np.flatnonzero(size[group] > width)
-        base, place = first[group[live]], rank_in[live]
-        run = place // width
-        other = base + (run ^ 1) * width
-        end = np.minimum(other + width, base + size[group[live]])
-        low, high = other.copy(), np.maximum(other, end)
+        return np.where(lcp == WINDOW, ties, text[a + at] < text[b + at])
+
+    def equal(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Hashes first, then the bytes themselves."""
+        same = extension(a, b) == WINDOW
+        pairs, span = np.flatnonzero(same), np.arange(WINDOW)
+        for i in range(0, len(pairs), 1 << 14):
+            at = pairs[i : i + (1 << 14)]
+            same[at] = (text[a[at][:, None] + span] == text[b[at][:, None] + span]).all(axis=1)
+        return same
+
+    lead = np.zeros(n, np.uint64)
+    for i in range(8):
+        lead = lead << np.uint64(8) | text[starts + i].astype(np.uint64)
+    order = np.argsort(lead, kind="stable")
+    group = np.cumsum(np.append(0, lead[order][1:] != lead[order][:-1]))
+    run = np.arange(n) - repeats.firsts(group)[group]
+    while True:
+        runs = np.zeros(int(group.max()) + 1, np.int64) if len(group) else np.zeros(1, np.int64)
+        np.maximum.at(runs, group, run + 1)
+        live = runs[group] > 1
+        order, group, run = order[live], group[live], run[live]
+        if not len(order):
+            break
+        at = starts[order]
+        begin = np.flatnonzero(np.append(True, (group[1:] != group[:-1]) | (run[1:] != run[:-1])))
+        end = np.append(begin[1:], len(order))
+        mine = np.repeat(np.arange(len(begin)), end - begin)
+        beside = mine + np.where(run % 2 == 0, 1, -1)
+        paired = (run % 2 == 1) | ((beside < len(begin)) & (group[begin[np.minimum(beside, len(begin) - 1)]] == group))
+        beside = np.where(paired, beside, mine)
+        low = begin[beside].copy()
+        high = np.where(paired, end[beside], low)
         ties = run % 2 == 1
         while True:
-            open_ = np.flatnonzero(low < high)
-            if not len(open_):
+            some = np.flatnonzero(low < high)
+            if not len(some):
                 break
-            mid = (low[open_] + high[open_]) // 2
-            ahead = before(starts[mid], starts[live[open_]], ties[open_])
-            low[open_] = np.where(ahead, mid + 1, low[open_])
-            high[open_] = np.where(ahead, high[open_], mid)
-        moved = starts.copy()
-        moved[base + (run // 2) * 2 * width + place % width + (low - other)] = starts[live]
-        starts = moved
-        width *= 2
-    same = np.zeros(n, bool)
-    near = np.flatnonzero(group[1:] == group[:-1])
-    same[near + 1] = extension(starts[near], starts[near + 1]) == WINDOW
-    pairs = np.flatnonzero(same)
-    for a in range(0, len(pairs), 1 << 16):
-        at = pairs[a : a + (1 << 16)]
-        span = np.arange(WINDOW)
-        same[at] = (text[starts[at][:, None] + span] == text[starts[at - 1][:, None] + span]).all(axis=1)
-    return starts, same
+            mid = (low[some] + high[some]) // 2
+            ahead = before(at[mid], at[some], ties[some])
+            low[some] = np.where(ahead, mid + 1, low[some])
+            high[some] = np.where(ahead, high[some], mid)
+        place = np.arange(len(order)) - begin[mine] + (low - begin[beside]) + np.where(ties, begin[beside], begin[mine])
+        merged = np.empty_like(order)
+        merged[place] = order
+        order, run, at = merged, run // 2, starts[merged]
+        near = np.flatnonzero((group[1:] == group[:-1]) & (run[1:] == run[:-1]))
+        again = np.zeros(len(order), bool)
+        again[near + 1] = equal(at[near], at[near + 1])
+        first = np.maximum.accumulate(np.where(again, 0, np.arange(len(order))))
+        leader[order[again]] = order[first[again]]
+        order, group, run = order[~again], group[~again], run[~again]
+    while True:
+        up = leader[leader]
+        if (up == leader).all():
+            return leader
+        leader = up
+
+
+def _later_windows(e: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For each entry the windows that another one with a smaller doc_id has, by sorting all of them."""
+    n = e["n"].astype(np.int64)
+    owner = np.repeat(np.arange(len(e)), n)
+    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    starts = owner * CONTEXT + np.repeat(e["first"].astype(np.int64), n) + step
+    leader = suffix_groups(np.ascontiguousarray(e["text"]).reshape(-1), starts)
+    who = ids[owner]
+    least = np.full(len(starts), np.iinfo(np.int64).max)
+    np.minimum.at(least, leader, who)
+    gone = who > least[leader]
+    hit = np.zeros(len(e), np.uint64)
+    np.bitwise_or.at(hit, owner[gone], np.uint64(1) << step[gone].astype(np.uint64))
+    return hit
 
 
 def removed_bits(entries: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -195,22 +232,16 @@ def removed_bits(entries: np.ndarray, ids: np.ndarray) -> np.ndarray:
     name = np.cumsum(new_name) - 1
     several = np.bincount(name[heads])[name[heads]] > 1
     chosen = order[heads[several]]
-    e = entries[chosen]
-    n = e["n"].astype(np.int64)
-    owner = np.repeat(np.arange(len(e)), n)
-    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    starts = owner * CONTEXT + np.repeat(e["first"].astype(np.int64), n) + step
-    text = np.ascontiguousarray(e["text"]).reshape(-1)
-    starts, same = suffix_order(text, starts)
-    if len(starts):
-        owner = starts // CONTEXT
-        run = repeats.firsts(np.cumsum(~same))
-        of_run = np.cumsum(~same) - 1
-        who = ids[chosen][owner]
-        gone = who > np.minimum.reduceat(who, run)[of_run]
-        step = starts - owner * CONTEXT - e["first"][owner]
-        hit = np.zeros(len(e), np.uint64)
-        np.bitwise_or.at(hit, owner[gone], np.uint64(1) << step[gone].astype(np.uint64))
+    if len(chosen):
+        hit = np.zeros(len(chosen), np.uint64)
+        e, of_name = entries[chosen], name[heads[several]]
+        upto = np.cumsum(e["n"].astype(np.int64))
+        first = 0
+        while first < len(chosen):  # whole names at a time, so that windows in hand stay few
+            last = int(np.searchsorted(upto, (upto[first - 1] if first else 0) + SLICE, "right"))
+            last = int(np.searchsorted(of_name, of_name[max(first, last - 1)], "right"))
+            hit[first:last] = _later_windows(e[first:last], ids[chosen[first:last]])
+            first = last
         # members of a class with the head's doc_id have its windows too
         ours = np.zeros(len(heads), np.uint64)
         ours[several] = hit
