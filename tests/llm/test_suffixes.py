@@ -52,10 +52,10 @@ def test_suffix_groups():
 def test_slices_of_names_change_nothing(monkeypatch):
     rng = np.random.default_rng(9)
     e = np.zeros(400, suffixes.ENTRY)
-    e["name"] = rng.integers(0, 40, 400)
+    e["name"] = rng.integers(0, 12, 400)  # equal windows have equal names, so texts follow from names
     e["first"], e["n"] = rng.integers(0, 10, 400), rng.integers(1, 25, 400)
-    e["text"] = rng.integers(97, 99, (400, suffixes.CONTEXT))
-    e["text"][:200] = e["text"][rng.integers(0, 5, 200)]
+    e["text"] = rng.integers(97, 99, (12, suffixes.CONTEXT))[e["name"]]
+    e["text"][np.arange(400), rng.integers(40, suffixes.CONTEXT, 400)] = 120
     ids = rng.integers(0, 50, 400)
     whole = suffixes.removed_bits(e, ids)
     monkeypatch.setattr(suffixes, "SLICE", 60)
