@@ -104,9 +104,10 @@ def trigram_query(pattern: str) -> list[frozenset[str]]:
 
 def postings(docs: DataFrame, trigrams: list[str]) -> DataFrame:
     """trigram, text_key: one row for each of the trigrams that a text holds."""
-    text = F.lower(F.col("text").cast("string"))
-    held = F.filter(F.array(*(F.when(F.contains(text, F.lit(t)), F.lit(t)) for t in trigrams)), lambda x: x.isNotNull())
-    return docs.select(F.xxhash64(F.col("text").cast("string")).alias("text_key"), held.alias("held")).select(F.explode("held").alias("trigram"), "text_key")
+    text = F.col("text").cast("string")
+    low = docs.select(F.xxhash64(text).alias("text_key"), F.lower(text).alias("low"))  # a column of its own, else it is folded anew for every trigram
+    held = F.array(*(F.when(F.contains("low", F.lit(t)), F.lit(t)) for t in trigrams))  # no lambda around it, which would keep it out of generated code
+    return low.select(F.explode(held).alias("trigram"), "text_key").filter("trigram is not null")
 
 
 def candidates(index: DataFrame, rules: tuple[Rule, ...], trigrams: list[str]) -> DataFrame:
