@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from marquee.llm import common
 
@@ -47,19 +48,24 @@ def majority(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * counts > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    """A value for each shingle of a text, in their order; a text of fewer words is one shingle."""
     from xxhash import xxh64_intdigest
 
     words = text.lower().split()
     if not words:
-        return 0
-    if len(words) <= shingle:
-        return xxh64_intdigest(b" ".join(words), SEED)
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
+    if len(words) <= shingle:
+        return np.array([xxh64_intdigest(joined, SEED)], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.append(0, ends[:-1] + 1)
     pieces = (joined[a:b] for a, b in zip(starts[: len(words) - shingle + 1].tolist(), ends[shingle - 1 :].tolist(), strict=True))
-    return majority(np.fromiter((xxh64_intdigest(x, SEED) for x in pieces), np.uint64, len(words) - shingle + 1))
+    return np.fromiter((xxh64_intdigest(x, SEED) for x in pieces), np.uint64, len(words) - shingle + 1)
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+    return majority(shingle_hashes(text, shingle))
 
 
 def fingerprints(docs: DataFrame, *kept: Column) -> DataFrame:
@@ -243,12 +249,29 @@ def components(docs: DataFrame, distance: int = DISTANCE, crowd: int = CROWD) ->
     return with_components(rows, distance, crowd).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """r1 and r2, a 128-bit name of doc_id and text, both of these, and doc, the row."""
+    rows = docs.select(F.struct(*[F.col(n) for n in docs.columns]).alias("doc")).select("doc", F.col("doc")["doc_id"].cast("long").alias("doc_id"), F.col("doc")["text"].cast("string").alias("text"))
+    return rows.select(F.xxhash64("doc_id", "text").alias("r1"), F.xxhash64(F.lit(1), "doc_id", "text").alias("r2"), "doc_id", "text", "doc")
+
+
+def first_row(*more: str) -> Column:
+    """The row that stays: the least doc_id, one without a doc_id last, of equals the least name."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "r1", "r2", *more))
+
+
+def one_of_each(rows: DataFrame, groups: DataFrame, edges: DataFrame) -> DataFrame:
+    """One of the keyed rows of each component. groups: node and first, the group's row that stays; edges: u, v between nodes."""
+    roots = stars(edges).withColumnRenamed("node", "_n")
+    linked = groups.join(roots, groups["node"] == roots["_n"], "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
+    kept = linked.select(F.col("first.r1").alias("_k1"), F.col("first.r2").alias("_k2"))
+    rows = rows.select("r1", "r2", "doc").join(kept.hint("shuffle_hash"), (F.col("r1") == F.col("_k1")) & (F.col("r2") == F.col("_k2")), "left_semi")
+    return rows.withColumn("_n", F.row_number().over(Window.partitionBy("r1", "r2").orderBy("r1"))).filter("_n = 1").select("doc.*")
+
+
 def distinct(docs: DataFrame, distance: int = DISTANCE, crowd: int = CROWD) -> DataFrame:
-    """The rows of docs whose doc_id is the least of their component, and those without a doc_id in components without any."""
-    slim = common.cut(fingerprints(docs, F.col("doc_id").cast("long").alias("doc_id")))
-    others = with_components(slim, distance, crowd).filter("component_id < doc_id or (doc_id is null and component_id is not null)").select("doc_id").distinct()
-    names = docs.columns
-    key = F.col("doc_id").cast("long")
-    rows = docs.select(key.alias("_1"), F.struct(*[F.col(n) for n in names]).alias("_2"))
-    others = others.withColumnRenamed("doc_id", "_3")
-    return rows.join(others.hint("shuffle_hash"), rows["_1"].eqNullSafe(others["_3"]), "left_anti").select("_2.*")
+    """One row of docs of each component: that with the least doc_id, one without a doc_id if no other is in it."""
+    rows = keyed(docs)
+    slim = fingerprints(rows, F.col("r1"), F.col("r2"), F.col("doc_id"))
+    groups = common.cut(slim.groupBy("fp").agg(first_row().alias("first")).withColumnRenamed("fp", "node"))
+    return one_of_each(rows, groups, links(groups.select(F.col("node").alias("fp")), distance, crowd))

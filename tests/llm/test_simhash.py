@@ -71,3 +71,12 @@ def test_distinct_keeps_one_of_each(odd_documents, no_documents):
     pairs = {(r.doc_id, r.component_id) for r in simhash.components(odd_documents).collect()}
     assert {r.doc_id for r in kept.collect()} == {d for d, c in pairs if d == c}
     assert simhash.distinct(no_documents).collect() == [] and simhash.components(no_documents).collect() == []
+
+
+def test_distinct_decides_by_row(spark):
+    rng = np.random.default_rng(11)
+    text = lambda: " ".join(f"w{i}" for i in rng.integers(0, 5000, 60))
+    shared, lone, clean, other, unnamed = (text() for _ in range(5))
+    rows = [(1, shared), (None, shared), (None, lone), (2, shared), (2, clean), (7, other), (7, other), (None, unnamed), (None, unnamed)]
+    kept = [tuple(r) for r in simhash.distinct(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(kept, key=str) == sorted([(1, shared), (None, lone), (2, clean), (7, other), (None, unnamed)], key=str)
