@@ -4,8 +4,9 @@ Every document gives a vector of statistics, each put on a log scale: mean word
 lines to words, repeated words to words. Per language and source the mean and covariance of the half that lies closest
 together are estimated: from medians and quartiles as a start, STEPS concentration steps each keep the SUBSET share of a
 group's documents with the least Mahalanobis distance and estimate anew. A document that passes the base rules is
-rejected if its squared distance is above CUTOFF, the 0.999 quantile of chi-square with four degrees of freedom. A group with under LEAST documents is judged with its language's, a
-small language with all. FLOORS are the standard deviations added to each statistic, so that a group in which a
+rejected if its squared distance is above CUTOFF, the 0.999 quantile of chi-square with four degrees of freedom. A group
+with under LEAST documents that pass is judged with the estimate of its whole language, and a language with under LEAST
+with that of the whole table; both come from all documents that pass, those of large groups too. FLOORS are the standard deviations added to each statistic, so that a group in which a
 statistic hardly varies doesn't reject a single symbol or repeated line.
 
 Main path: DataFrame functions only. Text is read once; the steps run over the checkpointed statistics, groups are
@@ -114,11 +115,18 @@ def consistency(subset: float = SUBSET) -> float:
 
 
 def _groups(stats: DataFrame) -> DataFrame:
-    """lang, source, grp: the group that each language and source is judged in."""
+    """lang, source, grp: the group that each language and source is judged in; into: the groups in use that it counts for."""
     both = stats.groupBy("lang", "source").agg(F.sum(F.when(base_failed(), 0).otherwise(1)).alias("n"))
-    of_lang = F.sum("n").over(Window.partitionBy("lang"))
-    name = F.when(F.col("n") >= LEAST, F.to_json(F.struct("lang", "source"), {"ignoreNullFields": "false"})).when(of_lang >= LEAST, F.to_json(F.struct("lang"), {"ignoreNullFields": "false"})).otherwise("all")
-    return both.select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), name.alias("grp"))
+    whole = Window.partitionBy("lang")
+    both = both.withColumn("of_lang", F.sum("n").over(whole)).withColumn("least", F.min("n").over(whole))
+    own, lang = (F.to_json(F.struct(*names), {"ignoreNullFields": "false"}) for names in (("lang", "source"), ("lang",)))
+    large, large_lang = F.col("n") >= LEAST, F.col("of_lang") >= LEAST
+    name = F.when(large, own).when(large_lang, lang).otherwise("all")
+    into = [F.when(large, own), F.when(large_lang & (F.col("least") < LEAST), lang)]
+    groups = common.cut(both.select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), name.alias("grp"), F.array_compact(F.array(*into)).alias("into")))
+    if groups.filter("grp = 'all'").isEmpty():
+        return groups
+    return groups.withColumn("into", F.array_append("into", "all"))
 
 
 def _start(rows: DataFrame) -> DataFrame:
@@ -166,8 +174,10 @@ def _concentrated(rows: DataFrame, params: DataFrame) -> DataFrame:
 
 def estimates(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The groups of languages and sources, and each group's factored estimate. stats: checkpointed statistics."""
-    groups = common.cut(_groups(stats))
-    rows = with_groups(stats, groups).filter(~base_failed()).select("grp", *(v.alias(k) for k, v in zip(X, vector(), strict=True)))
+    groups = _groups(stats)
+    counting = groups.select("g_lang", "g_source", "into")
+    groups = groups.drop("into")
+    rows = with_groups(stats, counting).filter(~base_failed()).select(F.explode("into").alias("grp"), *(v.alias(k) for k, v in zip(X, vector(), strict=True)))
     params = common.cut(_start(rows))
     for _ in range(STEPS):
         params = common.cut(_concentrated(rows, params))

@@ -131,3 +131,15 @@ def test_mix_repeats_rows(odd_documents, no_documents):
 @pytest.mark.parametrize("op", [quality.judge, secrets.scan, mixing.amounts, quality.accepted, secrets.redact])
 def test_empty_tables(no_documents, op):
     assert op(no_documents).collect() == []
+
+
+@pytest.mark.parametrize("lang", ["en", "de"])
+def test_small_sources_are_judged_with_all_documents(spark, lang):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9)))
+    prose = lambda: " ".join(word() for _ in range(80))
+    junk = lambda: " ".join(word() + "#$%&*" * 3 for _ in range(80))
+    rows = [(i, prose(), "en", "large") for i in range(300)] + [(1000 + i, junk(), lang, "junk") for i in range(20)] + [(2000, junk(), lang, "one"), (3000, prose(), lang, "fine")]
+    kept = {r.doc_id for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).filter("kept").collect()}
+    assert {d for d in kept if 1000 <= d < 3000} == set()
+    assert 3000 in kept and len(kept) > 280
