@@ -43,6 +43,10 @@ RULES = (
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
 )
 BASE = ("assign", "access", "hex")
+#: For masking, the pem rule goes on to the END line, or without one to the end of the base64 block.
+_PEM = next(r.pattern for r in RULES if r.kind == "pem")
+_KEY = r"(?:(?:\s*(?:Proc-Type|DEK-Info):[^\r\n]*){0,4}(?:[^-]*-----END [A-Z ]*PRIVATE KEY-----|(?:(?:\s|\\[nr])*[A-Za-z0-9+/]{40,}={0,2}){1,1000}(?:[\r\n]+[A-Za-z0-9+/]{1,76}={0,2}(?![^\r\n]))?))?"
+MASKED = tuple(Rule(r.kind, r.pattern + _KEY) if r.kind == "pem" else r for r in RULES)
 MOST_STRINGS = 64
 MASK = "[SECRET]"
 
@@ -176,7 +180,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: tuple[str, ...]
     return find(docs, F.col("doc_id").cast("long"), rules).select(F.col("row").alias("doc_id"), *counts, digest.alias("base_sha256"), _text_of(found, rules).alias("spans"))
 
 
-def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = MASK) -> DataFrame:
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = MASKED, mask: str = MASK) -> DataFrame:
     """docs with every secret in text replaced by the mask, overlapping spans by one; n_chars follows the new text."""
     body = F.col("body")
 

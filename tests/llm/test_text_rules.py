@@ -143,3 +143,19 @@ def test_small_sources_are_judged_with_all_documents(spark, lang):
     kept = {r.doc_id for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).filter("kept").collect()}
     assert {d for d in kept if 1000 <= d < 3000} == set()
     assert 3000 in kept and len(kept) > 280
+
+
+def test_whole_keys_are_masked(spark):
+    lines = ["MIIEpAIBAAKCAQEA" + "abCD12+/" * 6, "Zm9vYmFy" * 8, "c2hvcnQ="]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    headers = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n\n"
+    texts = {
+        "a [SECRET] b": f"a {begin}\n" + "\n".join(lines) + f"\n{end} b",
+        "c [SECRET] d": f"c {begin}\r\n{headers}" + "\r\n".join(lines) + f"\r\n{end} d",
+        "e [SECRET]\nsome prose follows": f"e {begin}\n" + "\n".join(lines) + "\nsome prose follows",
+        "f [SECRET] g": f"f {begin}\\n" + "\\n".join(lines) + f"\\n{end} g",
+        "[SECRET] is a header": f"{begin} is a header",
+        "[SECRET] and [SECRET]": " and ".join(f"{begin}\n{lines[0]}\n{end}" for _ in range(2)),
+    }
+    got = secrets.redact(spark.createDataFrame([(x,) for x in texts.values()], "text string")).collect()
+    assert sorted(r.text for r in got) == sorted(texts)
