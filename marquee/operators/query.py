@@ -34,13 +34,24 @@ class FilterState:
         return self != FilterState(today=self.today)
 
 
-def numbered(df: DataFrame, *keys: str, name: str = "ord") -> DataFrame:
-    """Adds a running number in the order of keys without sorting all rows in one task: ranges are numbered each for itself and shifted by the sizes of those before."""
-    ranged = df.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id())
-    local = ranged.withColumn("_row", F.row_number().over(Window.partitionBy("_part").orderBy(*keys)))
-    before = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = before.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    return local.join(F.broadcast(before), "_part").withColumn(name, F.col("_row") + F.col("_before")).drop("_part", "_row", "_before")
+def numbered(df: DataFrame, *keys: str, name: str = "ord", ranges: int | None = None) -> DataFrame:
+    """Adds a running number in the order of keys without sorting all rows in one task.
+
+    Rows are cut into ranges of the first key at values fixed here, counted once, and each range is numbered for itself from
+    the count of those before. Cuts and counts are literals of the plan, so every part of a query that uses it, whatever it
+    filters or reads, sees the same numbers; a query that doesn't read the number neither shuffles nor sorts for it. df must
+    give the same rows whenever it is read."""
+    n = ranges or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cuts = df.agg(F.percentile_approx(keys[0], [i / n for i in range(1, n)], 10_000)).first()[0]
+    if not cuts:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*keys)).cast("long"))
+    above = F.array(*map(F.lit, sorted(set(cuts))))
+    part = F.coalesce(F.size(F.filter(above, lambda c: c < F.col(keys[0]))), F.lit(0))
+    ranged = df.withColumn("_part", part)
+    sizes = {r["_part"]: r["n"] for r in ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}
+    before = F.array(*(F.lit(sum(v for k, v in sizes.items() if k < i)).cast("long") for i in range(len(set(cuts)) + 1)))
+    row = F.row_number().over(Window.partitionBy("_part").orderBy(*keys))
+    return ranged.withColumn(name, F.get(before, F.col("_part")) + row).drop("_part")
 
 
 def passes_others(f: FilterState) -> Column:

@@ -172,3 +172,29 @@ def test_shown_dates(spark):
     a, b = F.col("c0"), F.col("c1")
     got = values(spark, rows, D.human_datetime(a, b), D.display_datetime(F.lit("soon"), a, b, "2026-10-01"))
     assert got == [("Wed 30 Sep, 7:00 PM – Fri 2 Oct", "On now — until 2 Oct"), ("Wed 30 Dec 2026 – Sat 2 Jan 2027", "soon"), ("Wed 30 Sep", "soon"), ("", "soon")]
+
+
+def test_numbers_are_a_permutation_under_filters_and_columns(spark):
+    from marquee.plans.tables import listing, week_listing
+
+    whole = {r.ord: (r.title, r.event_key) for r in listing(spark, SF).select("ord", "title", "event_key").collect()}
+    assert sorted(whole) == list(range(1, len(whole) + 1))
+    for columns in (["ord", "title", "event_key"], ["ord", "title", "event_key", "provider", "score"]):
+        week = week_listing(spark, SF).select(*columns).collect()
+        assert week and all(whole[r.ord] == (r.title, r.event_key) for r in week)
+        again = week_listing(spark, SF).filter("provider = 'A'").select(*columns, F.col("provider").alias("p")).collect()
+        assert again and all(whole[r.ord] == (r.title, r.event_key) for r in again)
+
+
+def test_numbers_of_ties_nulls_and_empty_tables(spark):
+    rows = spark.createDataFrame([(None, 3), (None, 1), (5, 2), (5, 1), (9, 0), (-1, 7)], "a int, b int")
+    got = {(r.a, r.b): r.ord for r in query.numbered(rows, "a", "b", ranges=3).collect()}
+    assert [got[k] for k in ((None, 1), (None, 3), (-1, 7), (5, 1), (5, 2), (9, 0))] == [1, 2, 3, 4, 5, 6]
+    assert query.numbered(rows.filter("b > 99"), "a", "b").collect() == []
+
+
+def test_a_query_without_numbers_does_not_sort_for_them(spark):
+    from marquee.plans.tables import listing
+
+    plan = listing(spark, SF).groupBy("city_key").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
