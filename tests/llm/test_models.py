@@ -1,14 +1,20 @@
 """Packing, top-k search, language ID, toxicity."""
 
 import itertools
+import math
+import operator
 import random
 import zlib
 
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from marquee.llm import langid, mtree, packing, toxicity
 
+
+
 WORDS = {"en": ["the", "house", "water", "light", "window", "garden", "people", "winter"], "de": ["das", "haus", "wasser", "licht", "fenster", "garten", "leute", "winterzeit"]}
 
 
@@ -43,23 +49,43 @@ def test_pieces_cover():
         assert sum(s for _, s in parts) == n and [a for a, _ in parts] == list(itertools.accumulate([0] + [s for _, s in parts[:-1]]))
 
 
+def plain_top_k(rows, query_of, k=10):
+    """Query, rank, candidate and score by Python integers, every row against every other."""
+    whole = [(i, [math.floor(1024 * v) for v in x]) for i, x in rows if i is not None and x and None not in x and np.isfinite(x).all()]
+    out = []
+    for a, (i, q) in enumerate(whole):
+        if query_of(i):
+            best = sorted((-sum(map(operator.mul, q, x)), j) for b, (j, x) in enumerate(whole) if a != b and len(x) == len(q))[:k]
+            out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
+    return sorted(out)
+
+
 def test_top_k_against_brute_force(spark):
     rng = np.random.default_rng(2)
     v = rng.normal(size=(400, 8)).astype(np.float32)
     v[50:120] = v[50]
-    rows = [(i, x.tolist(), "v") for i, x in enumerate(v)] + [(None, v[3].tolist(), "v"), (900, None, "v"), (901, [1.0, None] * 4, "v"), (902, [float("nan")] * 8, "v"), (903, [float("inf")] * 8, "v"), (904, [], "v"), (905, [1.0, 2.0], "v"), (100, v[7].tolist(), "v")]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, v string")
-    whole = [(i, np.floor(1024 * np.array(x, np.float64)).astype(np.int64)) for i, x, _ in rows if i is not None and x and len(x) == 8 and None not in x and np.isfinite(x).all()]
-    for part in (60, 8192):
-        vectors = mtree.whole_vectors(df)
-        got = sorted(tuple(r) for r in mtree.search(vectors, vectors.filter("vec_id % 50 = 0"), part=part, page=8, block=3).collect())
-        want = []
-        for i, q in whole:
-            if i % 50 == 0:
-                best = sorted((-int(q @ x), j) for j, x in whole if j != i)[:10]
-                want += [(i, k + 1, j, -s) for k, (s, j) in enumerate(best)]
-        assert got == sorted(want)
-    assert mtree.top_k(df.limit(0), df.vec_id % 50 == 0).collect() == []
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(None, v[3].tolist()), (900, None), (901, [1.0, None] * 4), (902, [float("nan")] * 8), (903, [float("inf")] * 8), (904, []), (950, [1.0, 2.0]), (951, [2.0, 1.0])]
+    rows += [(100, v[7].tolist()), (100, v[100].tolist()), (3, v[3].tolist())]
+    df = spark.createDataFrame([(*r, "v", 1) for r in rows], "vec_id long, embedding array<float>, row string, size int")
+    want = plain_top_k(rows, lambda i: i % 50 == 0)
+    for options in ({"part": 60, "page": 8, "block": 3, "most_routes": 4}, {"part": 20, "page": 4}, {}):
+        got = sorted(tuple(r) for r in mtree.search(df, F.col("vec_id") % 50 == 0, **options).collect())
+        assert got == want
+    assert mtree.top_k(df.limit(0), F.col("vec_id") % 50 == 0).collect() == []
+    assert mtree.top_k(df, F.col("vec_id") < 0).collect() == []
+
+
+def test_top_k_of_large_components_and_repeated_ids(spark):
+    rows = [(2000, [2000.0, 1.0]), (1, [3000.0, 0.0]), (2, [1500.0, 5.0]), (3, [1.0, 2.0]), (3, [1.0, 2.0]), (2000, [-5.0, 1e5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = mtree.top_k(df, F.col("vec_id") == 2000).collect()
+    assert sorted(tuple(r) for r in got) == plain_top_k(rows, lambda i: i == 2000)
+    wide = [(i, [(-1.0) ** i * 2.0**k, 3.0 + i, 2.0**-9]) for i, k in enumerate((0, 20, 21, 21, 18, 12, 21, 3))]
+    df = spark.createDataFrame(wide, "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in mtree.search(df, F.col("vec_id") % 2 == 0, k=3).collect()) == plain_top_k(wide, lambda i: i % 2 == 0, 3)
+    df = spark.createDataFrame([(1, [1e12]), (2, [1e12])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit"):
+        mtree.top_k(df, F.col("vec_id") == 1).collect()
 
 
 def sentences(rng, lang, n):
