@@ -38,7 +38,7 @@ from marquee.llm import common
 
 K = 10
 SCALE = 1024
-PAGE = 64
+PAGE = 256
 PART = 8192
 ROUTES = 2048
 QUERIES = 16_384
@@ -272,7 +272,7 @@ def met(vectors: DataFrame, queries: DataFrame, table: dict[tuple[int, int], tup
     with_pieces = lambda x: x.withColumn("size", F.size("embedding")).join(units_of, ["size", "route"])
     rows = with_pieces(vectors).withColumns({"piece": F.pmod(F.xxhash64("row"), number).cast("int"), "copy": each(F.lit(copies)), "kind": F.lit(0), "floor": F.lit(None).cast("long")})
     asks = with_pieces(queries).withColumns({"piece": each(number), "copy": F.pmod(F.xxhash64("row"), F.lit(copies)).cast("int"), "kind": F.lit(1)})
-    units = min(10_000, copies * sum(pieces.values()))
+    units = min(10_000, 4 * copies * sum(pieces.values()))  # more than there are units, so that few share a task
     both = rows.select(*columns).unionByName(asks.select(*columns)).repartition(units, "size", "route", "piece", "copy")
 
     def run(batches):
