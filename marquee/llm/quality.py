@@ -1,17 +1,23 @@
 """Quality rules: robust multivariate outliers by minimum covariance determinant.
 
 Every document gives a vector of statistics, each put on a log scale: mean word length, symbols to letters, repeated
-lines to words, repeated words to words. Per language and source the mean and covariance of the half that lies closest
-together are estimated: from medians and quartiles as a start, STEPS concentration steps each keep the SUBSET share of a
-group's documents with the least Mahalanobis distance and estimate anew. A document that passes the base rules is
+lines to words, repeated words to words. Per language and source the mean and covariance of the share SUBSET of a group's
+documents whose covariance has the least determinant are sought from several starts: one from medians and quartiles,
+RANDOM from few documents drawn by hash. FIRST concentration steps from each start keep the SUBSET share with the least
+Mahalanobis distance and estimate anew; the start whose covariance then has the least determinant goes on for STEPS more,
+and of all its estimates that with the least determinant is the group's. A document that passes the base rules is
 rejected if its squared distance is above CUTOFF, the 0.999 quantile of chi-square with four degrees of freedom. A group
 with under LEAST documents that pass is judged with the estimate of its whole language, and a language with under LEAST
-with that of the whole table; both come from all documents that pass, those of large groups too. FLOORS are the standard deviations added to each statistic, so that a group in which a
-statistic hardly varies doesn't reject a single symbol or repeated line.
+with that of the whole table; both come from all documents that pass, those of large groups too.
+
+Most documents have no symbol, repeated line or repeated word at all, so the least covariance of these statistics is
+zero and its inverse has no bound. The covariance is therefore regularised before its determinant is taken: the squares of
+FLOORS are added to its diagonal. A floor is what one accident changes in the shortest document that passes the base rules
+(50 words of four letters): a pair of symbols, one repeated line, one window of three words that occurs twice.
 
 Main path: DataFrame functions only. Text is read once; the steps run over the checkpointed statistics, groups are
 summed before they are shuffled, and medians and the nearest share come from histograms with fixed bins, so no group is
-ever gathered or sorted.
+ever gathered or sorted. Tables of groups are sent to every task up to SENT rows and joined by salted keys beyond.
 
 Cases: a null text has no words and fails the base rules; null languages and sources are groups like others; documents
 that fail the base rules take no part in the estimates; repeated rows count as often as they stand there; an empty table
@@ -22,7 +28,7 @@ from __future__ import annotations
 
 import math
 from functools import reduce
-from operator import add
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,10 +37,15 @@ from pyspark.sql.window import Window
 from marquee.llm import common
 
 SUBSET = 0.75
+RANDOM = 3
+DRAWN = 40
+FIRST = 2
 STEPS = 3
 CUTOFF = 18.47
-FLOORS = (0.25, 0.75, 0.75, 0.75)
+FLOORS = (0.25, math.log1p(100 * 2 / 200), math.log1p(100 / 50), math.log1p(100 * 6 / 50))
 LEAST = 60
+SENT = 50_000
+SALTS = 64
 SYMBOLS = "[#*$%&|<>]"
 FINE = 128
 SPAN = 12.0
@@ -123,14 +134,26 @@ def _groups(stats: DataFrame) -> DataFrame:
     large, large_lang = F.col("n") >= LEAST, F.col("of_lang") >= LEAST
     name = F.when(large, own).when(large_lang, lang).otherwise("all")
     into = [F.when(large, own), F.when(large_lang & (F.col("least") < LEAST), lang)]
-    groups = common.cut(both.select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), name.alias("grp"), F.array_compact(F.array(*into)).alias("into")))
+    groups = common.cut(both.select("lang", "source", name.alias("grp"), F.array_compact(F.array(*into)).alias("into")))
     if groups.filter("grp = 'all'").isEmpty():
         return groups
     return groups.withColumn("into", F.array_append("into", "all"))
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """Medians, and variances from quartiles, of each statistic of each group."""
+def with_table(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "left", sent: int = SENT) -> DataFrame:
+    """rows with the columns of a checkpointed table of groups; keys may be null. Groups are few beside rows, and one may hold a third of these."""
+    table = table.select(*(F.col(c).alias(f"_t_{c}") if c in keys else F.col(c) for c in table.columns))
+    on = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys))
+    if table.limit(sent + 1).count() <= sent:
+        out = rows.join(F.broadcast(table), on, how)
+    else:
+        salted = table.withColumn("_t_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        out = rows.withColumn("_salt", (F.monotonically_increasing_id() % SALTS).cast("int")).join(salted, on & (F.col("_salt") == F.col("_t_salt")), how).drop("_salt", "_t_salt")
+    return out.drop(*(f"_t_{k}" for k in keys))
+
+
+def _robust_start(rows: DataFrame) -> DataFrame:
+    """Start 0 of each group: medians, and variances from quartiles."""
     long = rows.select("grp", F.posexplode(F.array(*X)).alias("k", "x")).groupBy("grp", "k", F.floor(F.col("x") * FINE).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     whole = Window.partitionBy("grp", "k")
     long = long.withColumn("upto", F.sum("n").over(whole.orderBy("bin"))).withColumn("all", F.sum("n").over(whole))
@@ -139,57 +162,80 @@ def _start(rows: DataFrame) -> DataFrame:
     mids = [F.max(F.when(F.col("k") == i, F.col("mid"))).alias(f"m{i}") for i in range(P)]
     variances = [F.max(F.when(F.col("k") == i, F.col("sd") * F.col("sd"))).alias(f"c{i}{i}") for i in range(P)]
     zero = [F.lit(0.0).alias(f"c{i}{j}") for i in range(P) for j in range(i)]
-    return spread.groupBy("grp").agg(*mids, *variances).select("*", *zero)
+    return spread.groupBy("grp").agg(*mids, *variances).select("*", F.lit(0).alias("start"), *zero)
+
+
+def _drawn_starts(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Starts 1 to RANDOM of each group: mean and covariance of about DRAWN documents. sizes: grp, n."""
+    draw = lambda i: F.pmod(F.xxhash64(F.lit(i), *X), F.lit(1 << 30)) * F.col("n") < DRAWN * float(1 << 30)
+    starts = F.array_compact(F.array(*(F.when(draw(i), i) for i in range(1, RANDOM + 1))))
+    return _moments(with_table(rows, sizes, ["grp"]).select("grp", *X, F.explode(starts).alias("start")), 1.0)
+
+
+def _moments(rows: DataFrame, scale: float) -> DataFrame:
+    sums = [F.avg(x).alias(f"m{i}") for i, x in enumerate(X)] + [F.avg(F.col(X[i]) * F.col(X[j])).alias(f"s{i}{j}") for i in range(P) for j in range(i + 1)]
+    summed = rows.groupBy("grp", "start").agg(*sums)
+    return summed.select("grp", "start", *(F.round(f"m{i}", 9).alias(f"m{i}") for i in range(P)), *(F.round(scale * (F.col(f"s{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}")), 9).alias(f"c{i}{j}") for i in range(P) for j in range(i + 1)))
 
 
-def _factored(params: DataFrame) -> DataFrame:
-    """grp, the means, and the Cholesky factor of the covariance with the floors added."""
+def factored(params: DataFrame) -> DataFrame:
+    """The means, the Cholesky factor of the regularised covariance, and det, the logarithm of its determinant."""
     for i in range(P):
         for j in range(i + 1):
             total = F.col(f"c{i}{j}") + (FLOORS[i] ** 2 if i == j else 0.0) - reduce(add, (F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
             params = params.withColumn(f"l{i}{j}", F.sqrt(F.greatest(total, F.lit(1e-9))) if i == j else total / F.col(f"l{j}{j}"))
-    return params.select("grp", *(f"m{i}" for i in range(P)), *(f"l{i}{j}" for i in range(P) for j in range(i + 1)))
+    det = F.round(2 * reduce(add, (F.log(f"l{i}{i}") for i in range(P))), 9)
+    return params.withColumn("det", det)
+
+
+FACTORS = [f"m{i}" for i in range(P)] + [f"l{i}{j}" for i in range(P) for j in range(i + 1)]
 
 
 def _measured(rows: DataFrame, factors: DataFrame) -> DataFrame:
-    """Adds d2, the squared Mahalanobis distance."""
-    out = rows.join(factors, "grp", "left")
+    """Adds d2, the squared Mahalanobis distance; one row for each start of the row's group."""
+    out = with_table(rows, factors.select("grp", "start", *FACTORS), ["grp"])
     for i in range(P):
         out = out.withColumn(f"z{i}", (F.col(X[i]) - F.col(f"m{i}") - reduce(add, (F.col(f"l{i}{k}") * F.col(f"z{k}") for k in range(i)), F.lit(0.0))) / F.col(f"l{i}{i}"))
     return out.withColumn("d2", reduce(add, (F.col(f"z{i}") * F.col(f"z{i}") for i in range(P))))
 
 
-def _concentrated(rows: DataFrame, params: DataFrame) -> DataFrame:
-    """Means and covariances of the nearest share of each group."""
-    near = _measured(rows, _factored(params)).select("grp", *X, F.floor(F.log1p("d2") * FINE).alias("bin"))
-    bins = near.groupBy("grp", "bin").agg(F.count(F.lit(1)).alias("n"))
-    whole = Window.partitionBy("grp")
+def concentrated(rows: DataFrame, factors: DataFrame) -> DataFrame:
+    """One concentration step: means and covariances of the nearest share of each group, from each of its starts."""
+    near = _measured(rows, factors).select("grp", "start", *X, F.floor(F.log1p("d2") * FINE).alias("bin"))
+    bins = near.groupBy("grp", "start", "bin").agg(F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy("grp", "start")
     bins = bins.withColumn("upto", F.sum("n").over(whole.orderBy("bin"))).withColumn("all", F.sum("n").over(whole))
-    limit = bins.filter(F.col("upto") >= SUBSET * F.col("all")).groupBy("grp").agg(F.min("bin").alias("last"))
-    sums = [F.avg(x).alias(f"m{i}") for i, x in enumerate(X)] + [F.avg(F.col(X[i]) * F.col(X[j])).alias(f"s{i}{j}") for i in range(P) for j in range(i + 1)]
-    kept = near.join(limit, "grp").filter("bin <= last").groupBy("grp").agg(*sums)
-    scale = consistency()
-    return kept.select("grp", *(F.round(f"m{i}", 9).alias(f"m{i}") for i in range(P)), *(F.round(scale * (F.col(f"s{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}")), 9).alias(f"c{i}{j}") for i in range(P) for j in range(i + 1)))
+    limit = common.cut(bins.filter(F.col("upto") >= SUBSET * F.col("all")).groupBy("grp", "start").agg(F.min("bin").alias("last")))
+    return _moments(with_table(near, limit, ["grp", "start"]).filter("bin <= last"), consistency())
+
+
+def _least(estimates: DataFrame, *order: str) -> DataFrame:
+    """The estimate of each group with the least determinant, the first of equal ones."""
+    kept = [c for c in estimates.columns if c != "grp"]
+    best = estimates.groupBy("grp").agg(F.min_by(F.struct(*kept), F.struct("det", *order)).alias("e"))
+    return best.select("grp", "e.*")
 
 
 def estimates(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The groups of languages and sources, and each group's factored estimate. stats: checkpointed statistics."""
     groups = _groups(stats)
-    counting = groups.select("g_lang", "g_source", "into")
-    groups = groups.drop("into")
-    rows = with_groups(stats, counting).filter(~base_failed()).select(F.explode("into").alias("grp"), *(v.alias(k) for k, v in zip(X, vector(), strict=True)))
-    params = common.cut(_start(rows))
-    for _ in range(STEPS):
-        params = common.cut(_concentrated(rows, params))
-    return groups, _factored(params)
-
-
-def with_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    return rows.join(groups, rows["lang"].eqNullSafe(groups["g_lang"]) & rows["source"].eqNullSafe(groups["g_source"]), "left").drop("g_lang", "g_source")
+    counting = groups.select("lang", "source", "into")
+    groups = groups.select("lang", "source", "grp")
+    rows = with_table(stats, counting, ["lang", "source"]).filter(~base_failed()).select(F.explode("into").alias("grp"), *(v.alias(k) for k, v in zip(X, vector(), strict=True)))
+    sizes = common.cut(rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n")))
+    now = common.cut(factored(_robust_start(rows).unionByName(_drawn_starts(rows, sizes))))
+    for _ in range(FIRST):
+        now = common.cut(factored(concentrated(rows, now)))
+    now = common.cut(_least(now, "start"))
+    found = now.withColumn("step", F.lit(0))
+    for step in range(1, STEPS + 1):
+        now = common.cut(factored(concentrated(rows, now)))
+        found = found.unionByName(now.withColumn("step", F.lit(step)))
+    return groups, common.cut(_least(found, "step"))
 
 
 def _judged(stats: DataFrame, groups: DataFrame, factors: DataFrame, cutoff: float) -> DataFrame:
-    rows = with_groups(stats, groups).select("*", *(v.alias(k) for k, v in zip(X, vector(), strict=True)))
+    rows = with_table(stats, groups, ["lang", "source"]).select("*", *(v.alias(k) for k, v in zip(X, vector(), strict=True)))
     out = _measured(rows, factors).withColumn("base_failed", base_failed())
     return out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("d2") <= cutoff, F.lit(True)))
 
@@ -202,7 +248,7 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
 
 
 def accepted(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
-    """The rows of docs that are kept."""
-    groups, factors = estimates(common.cut(counted(docs)))
-    judged = _judged(counted(docs, F.struct("*").alias("row")), groups, factors, cutoff).select("row", "kept")
-    return common.times(judged, F.col("kept").cast("int")).select("row.*")
+    """The rows of docs that are kept. The counts are written with the rows, so no text is counted twice, and read apart from them for the estimates."""
+    counts = common.cut(counted(docs, F.struct("*").alias("row")))
+    groups, factors = estimates(common.cut(counts.drop("row")))
+    return _judged(counts, groups, factors, cutoff).filter("kept").select("row.*")

@@ -5,7 +5,9 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marquee.llm import mixing, quality, secrets
 
@@ -159,3 +161,88 @@ def test_whole_keys_are_masked(spark):
     }
     got = secrets.redact(spark.createDataFrame([(x,) for x in texts.values()], "text string")).collect()
     assert sorted(r.text for r in got) == sorted(texts)
+
+
+def mcd(x):
+    """A plain version of one group's estimate: starts, concentration steps by bins of the distance, least determinant."""
+    floors = np.diag(np.square(quality.FLOORS))
+    scale = quality.consistency()
+
+    def factor(m, c):
+        return m, np.linalg.cholesky(c + floors)
+
+    def moments(rows, by):
+        m = np.round(rows.mean(axis=0), 9)
+        return m, np.round(by * ((rows.T @ rows) / len(rows) - np.outer(m, m)), 9)
+
+    def distance(m, low):
+        return (np.linalg.solve(low, (x - m).T) ** 2).sum(axis=0)
+
+    def step(m, low):
+        bins = np.floor(np.log1p(distance(m, low)) * quality.FINE)
+        return factor(*moments(x[bins <= np.sort(bins)[int(np.ceil(quality.SUBSET * len(x))) - 1]], scale))
+
+    det = lambda e: round(2 * np.log(np.diag(e[1])).sum(), 9)
+    bins = np.sort(np.floor(x * quality.FINE), axis=0)
+    at = lambda q: (bins[int(np.ceil(q * len(x))) - 1] + 0.5) / quality.FINE
+    starts = [factor(at(0.5), np.diag(((at(0.75) - at(0.25)) / 1.349) ** 2))]
+    for rows in drawn(x):
+        starts.append(factor(*moments(rows, 1.0)))
+    for _ in range(quality.FIRST):
+        starts = [step(*e) for e in starts]
+    now = min(starts, key=det)
+    found = [now]
+    for _ in range(quality.STEPS):
+        now = step(*now)
+        found.append(now)
+    return distance(*min(found, key=det))
+
+
+def drawn(x):
+    for i in range(1, quality.RANDOM + 1):
+        yield x[np.array(DRAWS[i]) * len(x) < quality.DRAWN * float(1 << 30)]
+
+
+DRAWS = {}
+
+
+def test_verdicts_against_plain_estimates(spark):
+    """kept and the distances of two languages and sources by numpy, with the hash that draws the starts asked of the engine."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9)))
+
+    def text():
+        words = [word() for _ in range(rng.randrange(50, 120))]
+        for _ in range(rng.choice([0, 0, 0, 1, 4, 400])):
+            words[rng.randrange(len(words))] += rng.choice("#$%&*|<>")
+        lines = [" ".join(words[i : i + 12]) for i in range(0, len(words), 12)]
+        return "\n".join(lines + lines[:1] * rng.choice([0, 0, 0, 1, 2]))
+
+    rows = [(i, text(), rng.choice(["en", None]), rng.choice(["s1", "s2"])) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = quality.judge(docs).withColumns(dict(zip(quality.X, quality.vector()))).join(docs.drop("text"), "doc_id")
+    draws = [F.pmod(F.xxhash64(F.lit(i), *quality.X), F.lit(1 << 30)).alias(f"draw{i}") for i in range(1, quality.RANDOM + 1)]
+    got = got.select("*", *draws).orderBy("doc_id").collect()
+    assert {r.kept for r in got if not r.base_failed} == {True, False}
+    for lang in ("en", None):
+        for source in ("s1", "s2"):
+            mine = [r for r in got if (r.lang, r.source) == (lang, source) and not r.base_failed]
+            DRAWS.update({i: [r[f"draw{i}"] for r in mine] for i in range(1, quality.RANDOM + 1)})
+            d2 = mcd(np.array([[r[k] for k in quality.X] for r in mine]))
+            assert np.allclose(d2, [r.distance2 for r in mine], atol=1e-4)
+            assert [bool(d <= quality.CUTOFF) for d in d2] == [r.kept for r in mine]
+
+
+def test_tables_of_groups_beyond_what_is_sent(spark):
+    rows = spark.createDataFrame([(i, ["a", "b", None][i % 3]) for i in range(30)], "i int, k string")
+    table = spark.createDataFrame([("a", 1), (None, 2)], "k string, n int")
+    for sent in (0, 10):
+        got = {r.i: r.n for r in quality.with_table(rows, table, ["k"], sent=sent).collect()}
+        assert got == {i: [1, None, 2][i % 3] for i in range(30)}
+
+
+def test_accepted_keeps_clashing_columns(spark):
+    rng = random.Random(1)
+    text = " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(80))
+    docs = spark.createDataFrame([(1, text, "en", "s", "w", 1.0, "r", 3)], "doc_id long, text string, lang string, source string, _words string, d2 double, row string, grp int")
+    assert [tuple(r) for r in quality.accepted(docs).collect()] == [(1, text, "en", "s", "w", 1.0, "r", 3)]
