@@ -5,6 +5,9 @@ White space is the six ASCII characters space, \\t, \\n, \\v, \\f and \\r everyw
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +16,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
 CHUNK = 1 << 18
+SENT = 50_000
+SALTS = 64
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -37,13 +42,18 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
 def cut(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and go on from there.
 
-    The folder is the session's spark.checkpoint.dir; only where that is unset (local tests) one is made here.
+    The folder is the session's spark.checkpoint.dir. Only a session on this machine alone gets one made where that is unset.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        import tempfile
-
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="marquee-checkpoints-"))
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if folder is None and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if folder is None:
+            import tempfile
+
+            folder = tempfile.mkdtemp(prefix="marquee-checkpoints-")
+        context.setCheckpointDir(folder)
     return df.checkpoint()
 
 
@@ -126,5 +136,37 @@ def times(rows: DataFrame, copies) -> DataFrame:
     return rows.withColumn("_one", F.explode_outer(F.array_repeat(F.lit(1), copies))).filter("_one is not null").drop("_one")
 
 
+def with_table(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "left", sent: int = SENT) -> DataFrame:
+    """rows with the columns of a checkpointed table of groups; keys may be null. Groups are few beside rows, and one may hold a third of these.
+
+    The table goes to every task if it has `sent` rows at most; else both sides are shuffled by the keys and a salt."""
+    table = table.select(*(F.col(c).alias(f"_t_{c}") if c in keys else F.col(c) for c in table.columns))
+    on = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys))
+    if table.limit(sent + 1).count() <= sent:
+        out = rows.join(F.broadcast(table), on, how)
+    else:
+        salted = table.withColumn("_t_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        out = rows.withColumn("_salt", (F.monotonically_increasing_id() % SALTS).cast("int")).join(salted, on & (F.col("_salt") == F.col("_t_salt")), how).drop("_salt", "_t_salt")
+    return out.drop(*(f"_t_{k}" for k in keys))
+
+
+def let(value, body):
+    """Column: body of a value that is computed once, however often body or a lambda in it uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(values, join, zero, block: int = 64):
+    """Column: for each place of an array what join makes of all values up to it. Blocks are joined first, so the work is all but linear."""
+    fold = lambda xs: F.aggregate(xs, zero, join)
+    part = lambda v, b, n: F.slice(v, b * block + 1, n)
+    numbers = lambda v: F.transform(F.sequence(F.lit(0), F.floor(F.size(v) / block).cast("int")), lambda b: b)
+
+    def scan(v, sums):
+        before = F.transform(numbers(v), lambda b: fold(F.slice(sums, F.lit(1), b)))
+        return let(before, lambda o: F.transform(v, lambda x, i: join(F.get(o, F.floor(i / block).cast("int")), fold(part(v, F.floor(i / block).cast("int"), i % block + 1)))))
+
+    return let(values, lambda v: let(F.transform(numbers(v), lambda b: fold(part(v, b, F.lit(block)))), lambda sums: scan(v, sums)))
+
+
 def bucket_count(spark: SparkSession) -> int:
     return max(32, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -8,8 +8,10 @@ more is a certain copy, all others are ranked by the odds of a random number ove
 and taken in this order up to the fixed total that comes nearest to the target. The random number is a hash of seed,
 doc_id and text, so reruns agree and no state is kept.
 
-No source is ever sorted whole: ranks fall into BINS bins, a source's bins are summed, and only the bin that holds the
-end of its sample is ordered. The table of sources is small beside the documents; its weights need one total order.
+No source is ever sorted whole: ranks fall into BINS bins, a source's bins are summed, and the bin that holds the end of
+its sample is divided into BINS again, LEVELS times in all. Of the last one only the sums of equal ranks are ordered; all
+certain copies have rank 0 and are one such sum. The table of sources is small beside the documents; its weights need one
+total order.
 
 Cases: a null text has size 0; null is a source like others and the last; rows that repeat doc_id and text have one rank
 and are taken or left together; sources without words have target 0; an empty table gives no rows; other columns of
@@ -28,7 +30,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 LIMIT = 2.0
 SEED = "mix"
-BINS = 4096
+BINS = 256
+LEVELS = 3
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, limit: float = LIMIT) -> DataFrame:
@@ -66,32 +69,38 @@ def _ranked(rows: DataFrame) -> DataFrame:
         rows.withColumn("whole", F.when(F.col("target") <= 0, 0).otherwise(F.floor(F.col("target") / F.col("source_size"))).cast("int"))
         .withColumn("rest", F.when(F.col("target") <= 0, 0.0).otherwise(F.col("target") - F.col("whole") * F.col("source_size")))
         .withColumn("rank", rank)
-        .withColumn("bin", F.floor(BINS * (F.col("rank") / (1 + F.col("rank")))))
     )
 
 
-def _same_source(rows: DataFrame, by_source: DataFrame) -> DataFrame:
-    by_source = by_source.withColumnRenamed("source", "its_source")
-    return rows.join(by_source, rows["source"].eqNullSafe(by_source["its_source"]), "left").drop("its_source")
+def _cell(level: int) -> Column:
+    """The number of the bin that holds a rank when the line of ranks is divided so many times."""
+    return F.floor(float(BINS**level) * (F.col("rank") / (1 + F.col("rank"))))
 
 
 def _ends(ranked: DataFrame) -> DataFrame:
-    """source, last_bin, last_rank: where each source's sample ends."""
-    bins = ranked.filter("rank is not null").groupBy("source", "bin").agg(F.sum("size").alias("words"), F.max("rest").alias("rest"))
-    so_far = F.sum("words").over(Window.partitionBy("source").orderBy("bin"))
-    last = bins.withColumn("so_far", so_far).filter("so_far >= rest").groupBy("source").agg(F.min_by(F.struct("bin", (F.col("so_far") - F.col("words")).alias("before")), "bin").alias("end"))
-    last = last.select("source", F.col("end.bin").alias("last_bin"), F.col("end.before").alias("before"))
-    by_rank = Window.partitionBy("source").orderBy("rank")
-    inside = _same_source(ranked.select("source", "size", "rest", "rank", "bin"), last).filter("bin = last_bin")
-    inside = inside.withColumn("upto", F.col("before") + F.sum("size").over(by_rank.rangeBetween(Window.unboundedPreceding, 0)))
-    inside = inside.withColumn("under", F.col("upto") - F.sum("size").over(Window.partitionBy("source", "rank")))
-    ends = inside.groupBy("source").agg(F.max("bin").alias("last_bin"), F.max(F.when(F.col("upto") - F.col("rest") <= F.col("rest") - F.col("under"), F.col("rank"))).alias("last_rank"))
-    return ends
+    """source, last_cell, last_rank: where each source's sample ends."""
+    ranked = ranked.filter("rank is not null").select("source", "size", "rest", "rank")
+    last = None
+    for level in range(1, LEVELS + 1):
+        inside = ranked.withColumn("before", F.lit(0).cast("long")) if last is None else _inside(ranked, last, level - 1)
+        bins = inside.groupBy("source", _cell(level).alias("cell")).agg(F.sum("size").alias("words"), F.max("rest").alias("rest"), F.max("before").alias("before"))
+        so_far = F.col("before") + F.sum("words").over(Window.partitionBy("source").orderBy("cell"))
+        ends = bins.withColumn("so_far", so_far).filter("so_far >= rest").groupBy("source").agg(F.min(F.struct("cell", (F.col("so_far") - F.col("words")).alias("before"))).alias("end"))
+        last = common.cut(ends.select("source", F.col("end.cell").alias("last_cell"), F.col("end.before").alias("before")))
+    same = _inside(ranked, last, LEVELS).groupBy("source", "rank").agg(F.sum("size").alias("words"), F.max("rest").alias("rest"), F.max("before").alias("before"), F.max("last_cell").alias("last_cell"))
+    same = same.withColumn("upto", F.col("before") + F.sum("words").over(Window.partitionBy("source").orderBy("rank")))
+    nearer = F.col("upto") - F.col("rest") <= F.col("rest") - (F.col("upto") - F.col("words"))
+    return same.groupBy("source").agg(F.max("last_cell").alias("last_cell"), F.max(F.when(nearer, F.col("rank"))).alias("last_rank"))
+
+
+def _inside(ranked: DataFrame, last: DataFrame, level: int) -> DataFrame:
+    return common.with_table(ranked, last, ["source"]).filter(_cell(level) == F.col("last_cell"))
 
 
 def _copies(ranked: DataFrame, ends: DataFrame) -> DataFrame:
-    drawn = (F.col("bin") < F.col("last_bin")) | ((F.col("bin") == F.col("last_bin")) & (F.col("rank") <= F.col("last_rank")))
-    return _same_source(ranked, ends).withColumn("copies", F.col("whole") + F.coalesce(drawn, F.lit(False)).cast("int"))
+    cell = _cell(LEVELS)
+    drawn = (cell < F.col("last_cell")) | ((cell == F.col("last_cell")) & (F.col("rank") <= F.col("last_rank")))
+    return common.with_table(ranked, ends, ["source"]).withColumn("copies", F.col("whole") + F.coalesce(drawn, F.lit(False)).cast("int"))
 
 
 def _sized(docs: DataFrame, seed: str, *kept: Column) -> DataFrame:
@@ -102,17 +111,17 @@ def _sized(docs: DataFrame, seed: str, *kept: Column) -> DataFrame:
 def amounts(docs: DataFrame, seed: str = SEED, **shares) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken."""
     sized = common.cut(_sized(docs, seed, F.col("doc_id").cast("long").alias("doc_id")))
-    ranked = _ranked(_same_source(sized, common.cut(source_targets(sized, **shares))))
-    mixed = _copies(ranked, _ends(ranked))
+    ranked = _ranked(common.with_table(sized, common.cut(source_targets(sized, **shares)), ["source"]))
+    mixed = _copies(ranked, common.cut(_ends(ranked)))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mix(docs: DataFrame, seed: str = SEED, **shares) -> DataFrame:
     """The mix: the rows of docs, each as many times as it is taken."""
-    slim = common.cut(_sized(docs, seed, F.lit(0).alias("row")))
+    slim = common.cut(_sized(docs, seed))
     by_source = common.cut(source_targets(slim, **shares))
-    ends = common.cut(_ends(_ranked(_same_source(slim, by_source))))
-    rows = _copies(_ranked(_same_source(_sized(docs, seed, F.struct("*").alias("row")), by_source)), ends)
+    ends = common.cut(_ends(_ranked(common.with_table(slim, by_source, ["source"]))))
+    rows = _copies(_ranked(common.with_table(_sized(docs, seed, F.struct("*").alias("row")), by_source, ["source"])), ends)
     return common.times(rows.select("row", "copies"), F.col("copies")).select("row.*")
 
 

@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import math
 from functools import reduce
-from operator import add, and_
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,8 +44,6 @@ STEPS = 3
 CUTOFF = 18.47
 FLOORS = (0.25, math.log1p(100 * 2 / 200), math.log1p(100 / 50), math.log1p(100 * 6 / 50))
 LEAST = 60
-SENT = 50_000
-SALTS = 64
 SYMBOLS = "[#*$%&|<>]"
 FINE = 128
 SPAN = 12.0
@@ -140,18 +138,6 @@ def _groups(stats: DataFrame) -> DataFrame:
     return groups.withColumn("into", F.array_append("into", "all"))
 
 
-def with_table(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "left", sent: int = SENT) -> DataFrame:
-    """rows with the columns of a checkpointed table of groups; keys may be null. Groups are few beside rows, and one may hold a third of these."""
-    table = table.select(*(F.col(c).alias(f"_t_{c}") if c in keys else F.col(c) for c in table.columns))
-    on = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys))
-    if table.limit(sent + 1).count() <= sent:
-        out = rows.join(F.broadcast(table), on, how)
-    else:
-        salted = table.withColumn("_t_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        out = rows.withColumn("_salt", (F.monotonically_increasing_id() % SALTS).cast("int")).join(salted, on & (F.col("_salt") == F.col("_t_salt")), how).drop("_salt", "_t_salt")
-    return out.drop(*(f"_t_{k}" for k in keys))
-
-
 def _robust_start(rows: DataFrame) -> DataFrame:
     """Start 0 of each group: medians, and variances from quartiles."""
     long = rows.select("grp", F.posexplode(F.array(*X)).alias("k", "x")).groupBy("grp", "k", F.floor(F.col("x") * FINE).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
@@ -169,7 +155,7 @@ def _drawn_starts(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     """Starts 1 to RANDOM of each group: mean and covariance of about DRAWN documents. sizes: grp, n."""
     draw = lambda i: F.pmod(F.xxhash64(F.lit(i), *X), F.lit(1 << 30)) * F.col("n") < DRAWN * float(1 << 30)
     starts = F.array_compact(F.array(*(F.when(draw(i), i) for i in range(1, RANDOM + 1))))
-    return _moments(with_table(rows, sizes, ["grp"]).select("grp", *X, F.explode(starts).alias("start")), 1.0)
+    return _moments(common.with_table(rows, sizes, ["grp"]).select("grp", *X, F.explode(starts).alias("start")), 1.0)
 
 
 def _moments(rows: DataFrame, scale: float) -> DataFrame:
@@ -193,7 +179,7 @@ FACTORS = [f"m{i}" for i in range(P)] + [f"l{i}{j}" for i in range(P) for j in r
 
 def _measured(rows: DataFrame, factors: DataFrame) -> DataFrame:
     """Adds d2, the squared Mahalanobis distance; one row for each start of the row's group."""
-    out = with_table(rows, factors.select("grp", "start", *FACTORS), ["grp"])
+    out = common.with_table(rows, factors.select("grp", "start", *FACTORS), ["grp"])
     for i in range(P):
         out = out.withColumn(f"z{i}", (F.col(X[i]) - F.col(f"m{i}") - reduce(add, (F.col(f"l{i}{k}") * F.col(f"z{k}") for k in range(i)), F.lit(0.0))) / F.col(f"l{i}{i}"))
     return out.withColumn("d2", reduce(add, (F.col(f"z{i}") * F.col(f"z{i}") for i in range(P))))
@@ -206,7 +192,7 @@ def concentrated(rows: DataFrame, factors: DataFrame) -> DataFrame:
     whole = Window.partitionBy("grp", "start")
     bins = bins.withColumn("upto", F.sum("n").over(whole.orderBy("bin"))).withColumn("all", F.sum("n").over(whole))
     limit = common.cut(bins.filter(F.col("upto") >= SUBSET * F.col("all")).groupBy("grp", "start").agg(F.min("bin").alias("last")))
-    return _moments(with_table(near, limit, ["grp", "start"]).filter("bin <= last"), consistency())
+    return _moments(common.with_table(near, limit, ["grp", "start"]).filter("bin <= last"), consistency())
 
 
 def _least(estimates: DataFrame, *order: str) -> DataFrame:
@@ -221,7 +207,7 @@ def estimates(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
     groups = _groups(stats)
     counting = groups.select("lang", "source", "into")
     groups = groups.select("lang", "source", "grp")
-    rows = with_table(stats, counting, ["lang", "source"]).filter(~base_failed()).select(F.explode("into").alias("grp"), *(v.alias(k) for k, v in zip(X, vector(), strict=True)))
+    rows = common.with_table(stats, counting, ["lang", "source"]).filter(~base_failed()).select(F.explode("into").alias("grp"), *(v.alias(k) for k, v in zip(X, vector(), strict=True)))
     sizes = common.cut(rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n")))
     now = common.cut(factored(_robust_start(rows).unionByName(_drawn_starts(rows, sizes))))
     for _ in range(FIRST):
@@ -235,7 +221,7 @@ def estimates(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _judged(stats: DataFrame, groups: DataFrame, factors: DataFrame, cutoff: float) -> DataFrame:
-    rows = with_table(stats, groups, ["lang", "source"]).select("*", *(v.alias(k) for k, v in zip(X, vector(), strict=True)))
+    rows = common.with_table(stats, groups, ["lang", "source"]).select("*", *(v.alias(k) for k, v in zip(X, vector(), strict=True)))
     out = _measured(rows, factors).withColumn("base_failed", base_failed())
     return out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("d2") <= cutoff, F.lit(True)))
 

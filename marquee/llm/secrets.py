@@ -1,10 +1,14 @@
 """Secret scans over a trigram inverted index.
 
 From each rule's regular expression a Boolean trigram query is derived: an OR of alternatives, each an AND of trigrams
-that every match of the alternative must hold. The index keeps, for each trigram that occurs in any query, the postings
-of the texts that hold it; texts are named by a hash of their content, so copies share postings and a hash collision adds
-a candidate at most. Postings are intersected as bit masks, and each rule then verifies its candidates with its regular
-expression. Rules whose expression has no mandatory trigram (long hexadecimal runs) scan every text.
+that every match of the alternative must hold. The index has a row for each trigram of any query and each text that
+holds it, its posting; texts are named by a hash of their content, so copies share postings and a hash collision adds a
+candidate at most. An alternative looks its trigrams' postings up and intersects them: the texts that are in all of them
+are the candidates, and only those are matched against the rule's regular expression. Rules whose expression has no
+mandatory trigram (long hexadecimal runs) scan every text. An index may be written once by postings() and given to later
+scans of the same texts whose rules need no other trigrams.
+
+Candidates meet the documents by text key and a salt, so the copies of one text are spread over SALTS tasks.
 
 Main path: DataFrame functions only. Trigrams and masks fold case, which keeps them necessary for either case.
 
@@ -48,6 +52,8 @@ _PEM = next(r.pattern for r in RULES if r.kind == "pem")
 _KEY = r"(?:(?:\s*(?:Proc-Type|DEK-Info):[^\r\n]*){0,4}(?:[^-]*-----END [A-Z ]*PRIVATE KEY-----|(?:(?:\s|\\[nr])*[A-Za-z0-9+/]{40,}={0,2}){1,1000}(?:[\r\n]+[A-Za-z0-9+/]{1,76}={0,2}(?![^\r\n]))?))?"
 MASKED = tuple(Rule(r.kind, r.pattern + _KEY) if r.kind == "pem" else r for r in RULES)
 MOST_STRINGS = 64
+FEW = 64
+SALTS = 32
 MASK = "[SECRET]"
 
 
@@ -114,19 +120,18 @@ def postings(docs: DataFrame, trigrams: list[str]) -> DataFrame:
     return low.select(F.explode(held).alias("trigram"), "text_key").filter("trigram is not null")
 
 
-def candidates(index: DataFrame, rules: tuple[Rule, ...], trigrams: list[str]) -> DataFrame:
-    """text_key, rules: the bit mask of the rules whose query the text's postings meet."""
-    bit = {t: 1 << i for i, t in enumerate(trigrams)}
-    bits = F.element_at(F.create_map(*(F.lit(x) for t in trigrams for x in (t, bit[t]))), F.col("trigram"))
-    texts = index.groupBy("text_key").agg(F.bit_or(bits.cast("long")).alias("held"))
-    mask = F.lit(0)
-    for i, rule in enumerate(rules):
-        meets = F.lit(False)
-        for needed in trigram_query(rule.pattern):
-            want = sum(bit[t] for t in needed)
-            meets = meets | (F.col("held").bitwiseAND(F.lit(want).cast("long")) == want)
-        mask = mask + F.when(meets, 1 << i).otherwise(0)
-    return texts.select("text_key", mask.alias("rules")).filter("rules > 0")
+def lookups(rules: tuple[Rule, ...]) -> list[tuple[int, int, str, int]]:
+    """(rule, alternative, trigram, trigrams of the alternative) of every rule's query."""
+    return [(i, k, t, len(needed)) for i, rule in enumerate(rules) for k, needed in enumerate(trigram_query(rule.pattern)) for t in sorted(needed)]
+
+
+def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """text_key, rules: the bit mask of the rules whose query the text meets. Postings of each alternative's trigrams are looked up and intersected."""
+    wanted = index.sparkSession.createDataFrame(lookups(rules), "rule int, alternative int, trigram string, needed int")
+    found = index.join(F.broadcast(wanted), "trigram")  # a row for each trigram of a rule, however many texts there are
+    bit = F.element_at(F.array(*(F.lit(1 << i) for i in range(len(rules)))), F.col("rule") + 1)
+    inside = found.groupBy("text_key", "rule", "alternative").agg(F.count_distinct("trigram").alias("held"), F.max("needed").alias("needed")).filter("held = needed")
+    return inside.groupBy("text_key").agg(F.bit_or(bit).alias("rules"))
 
 
 def spans(text: Column, rule: Rule, order: int) -> Column:
@@ -135,28 +140,25 @@ def spans(text: Column, rule: Rule, order: int) -> Column:
     measured = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else found
     between = F.split(text, rule.pattern, -1)
     steps = F.zip_with(F.zip_with(found, measured, lambda a, b: F.struct(F.length(a).alias("n"), F.length(b).alias("m"))), F.slice(between, 1, F.size(found)), lambda x, y: F.struct(x["n"].alias("n"), x["m"].alias("m"), F.length(y).alias("gap")))
-    none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
 
-    def step(acc, x):
-        start = acc["at"] + x["gap"]
-        end = start + x["n"]
-        one = F.array(F.struct(start.alias("start"), F.lit(order).alias("kind"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(x["m"] >= rule.least, F.concat(acc["spans"], one)).otherwise(acc["spans"]).alias("spans"))
+    def placed(x: Column) -> Column:
+        ends = common.running(F.transform(x, lambda y: (y["n"] + y["gap"]).cast("long")), lambda a, b: a + b, F.lit(0).cast("long"))
+        every = F.zip_with(x, ends, lambda y, e: F.struct((e - y["n"]).alias("start"), F.lit(order).alias("kind"), e.alias("end"), y["m"].alias("m")))
+        return F.transform(F.filter(every, lambda y: y["m"] >= rule.least), lambda y: F.struct(y["start"].alias("start"), y["kind"].alias("kind"), y["end"].alias("end")))
 
-    return F.aggregate(steps, F.struct(F.lit(0).cast("long").alias("at"), none.alias("spans")), step, lambda acc: acc["spans"])
+    return common.let(steps, placed)
 
 
-def find(docs: DataFrame, kept: Column, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """row (the kept column), body (the text, null as empty) and found, the sorted spans of all rules."""
+def find(docs: DataFrame, kept: Column, rules: tuple[Rule, ...] = RULES, index: DataFrame | None = None) -> DataFrame:
+    """row (the kept column), body (the text, null as empty) and found, the sorted spans of all rules. index: postings of these texts, made here if not given."""
     queries = [trigram_query(r.pattern) for r in rules]
     trigrams = sorted({t for q in queries for alternative in q for t in alternative})
-    if len(trigrams) > 63:
-        raise ValueError("the rules need more than 63 trigrams; scan with fewer rules at a time")
     texts = docs.select(kept.alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("body"))
-    texts = texts.withColumn("key", F.xxhash64("body"))
     if trigrams:
-        hits = candidates(postings(docs, trigrams), rules, trigrams)
-        texts = texts.join(hits.hint("shuffle_hash"), texts["key"] == hits["text_key"], "left")
+        hits = candidates(postings(docs, trigrams) if index is None else index, rules)
+        hits = hits.withColumn("hit_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        texts = texts.withColumns({"key": F.xxhash64("body"), "salt": (F.monotonically_increasing_id() % SALTS).cast("int")})
+        texts = texts.join(hits.hint("shuffle_hash"), (F.col("key") == F.col("text_key")) & (F.col("salt") == F.col("hit_salt")), "left")
     else:
         texts = texts.withColumn("rules", F.lit(0))
     none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
@@ -180,18 +182,26 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: tuple[str, ...]
     return find(docs, F.col("doc_id").cast("long"), rules).select(F.col("row").alias("doc_id"), *counts, digest.alias("base_sha256"), _text_of(found, rules).alias("spans"))
 
 
-def redact(docs: DataFrame, rules: tuple[Rule, ...] = MASKED, mask: str = MASK) -> DataFrame:
-    """docs with every secret in text replaced by the mask, overlapping spans by one; n_chars follows the new text."""
-    body = F.col("body")
+def _masked(body: Column, found: Column, mask: str) -> Column:
+    """body with each of the sorted spans as the mask, spans that overlap as one. With many spans the text is cut into characters once, since finding a place in a text takes a walk."""
+    few = lambda at, n: F.substring(body, (at + 1).cast("int"), n.cast("int"))
 
-    def step(acc, x):
-        gap = F.substring(body, (acc["at"] + 1).cast("int"), F.greatest(x["start"] - acc["at"], F.lit(0)).cast("int"))
-        new = F.concat(acc["out"], F.when(x["start"] >= acc["at"], F.concat(gap, F.lit(mask))).otherwise(F.lit("")))
-        return F.struct(F.greatest(x["end"], acc["at"]).alias("at"), new.alias("out"))
+    def pieces(cut, reached: Column) -> Column:
+        before = lambda i: F.when(i == 0, F.lit(0).cast("long")).otherwise(F.get(reached, i - 1))
+        gaps = F.transform(found, lambda x, i: F.when(x["start"] >= before(i), F.concat(cut(before(i), x["start"] - before(i)), F.lit(mask))).otherwise(F.lit("")))
+        end = F.element_at(reached, -1)
+        return F.concat(F.array_join(gaps, ""), cut(end, F.length(body).cast("long") - end))
 
-    tail = lambda acc: F.concat(acc["out"], F.substring(body, (acc["at"] + 1).cast("int"), F.length(body)))
-    clean = F.aggregate(F.col("found"), F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")), step, tail)
-    rows = find(docs, F.struct("*"), rules).withColumn("clean", F.when(F.size("found") > 0, clean))
+    def joined(reached: Column) -> Column:
+        many = common.let(F.split(body, ""), lambda chars: pieces(lambda at, n: F.array_join(F.slice(chars, (at + 1).cast("int"), n.cast("int")), ""), reached))
+        return F.when(F.size(found) <= FEW, pieces(few, reached)).otherwise(many)
+
+    return common.let(common.running(F.transform(found, lambda x: x["end"]), lambda a, b: F.greatest(a, b), F.lit(0).cast("long")), joined)
+
+
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = MASKED, mask: str = MASK) -> DataFrame:
+    """docs with every secret in text replaced by the mask, overlapping spans by one; n_chars follows the new text."""
+    rows = find(docs, F.struct("*"), rules).withColumn("clean", F.when(F.size("found") > 0, _masked(F.col("body"), F.col("found"), mask)))
     out = []
     for name, kind in docs.dtypes:
         old = F.col("row")[name]
