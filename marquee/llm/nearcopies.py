@@ -1,4 +1,9 @@
-"""One of each group of near copies by the Jaccard similarity of word shingles, exact.
+"""One of each group of near copies by the Jaccard similarity of word shingles, exact: SimHash first, then what it can't see.
+
+Each text has a SimHash fingerprint of its shingles; marquee.llm.simhash links those that few bits tell apart by its
+Gray-order index, and every link is verified by the similarity of the whole sets. A similarity of SIMILARITY leaves some ten
+of 64 bits different, more than any index of equal blocks can search, so the links found are a beginning, and a prefix
+filter completes them:
 
 A text's set holds the XXH64 values of its shingles. Texts of SIMILARITY or more share at least `need` = ceil(SIMILARITY *
 n) of their n values, so in any one order of all values the least value they share is among the first n - need + 1 of
@@ -6,8 +11,9 @@ each (prefix filter), at places that leave room for the overlap (positional filt
 sample of texts come last in that order, which keeps common passages out of the prefixes; the order decides on cost
 only, never on what is found. Texts that share a prefix value are candidates, and sets are compared whole.
 
-Equal sets are one candidate. First each candidate meets PIVOTS of those it shares a value with, which joins crowds of
-copies without comparing all pairs; then every pair of candidates that is still in two components is compared. A crowd
+Equal sets are one candidate. First each candidate meets two of those it shares a value with: the most central, whose
+prefix values have the most texts in all, as the text that a crowd was copied from has, and one drawn by hash. This joins
+crowds of copies without comparing all pairs; then every pair of candidates that is still in two components is compared. A crowd
 that shares its rare values and still isn't similar is compared pair by pair.
 
 Cases: texts without words have equal (empty) sets; a text of SHINGLE words or fewer is one shingle; of a component the
@@ -29,7 +35,6 @@ from marquee.llm import common, simhash
 
 SHINGLE = 5
 SIMILARITY = 0.8
-PIVOTS = 2
 SAMPLE = 8
 OFTEN = 3
 MOST_COMMON = 50_000
@@ -74,22 +79,23 @@ def common_values(rows: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray
 
 
 def prefixes(rows: DataFrame, shingle: int, share: Fraction, names: np.ndarray, rank: np.ndarray) -> DataFrame:
-    """r1, r2, doc_id, k1 and k2 (a 128-bit name of the set), n (its size), vals, its prefix, and packed, the text."""
+    """r1, r2, doc_id, k1 and k2 (a 128-bit name of the set), n (its size), vals, its prefix, packed, the text, and fp, the fingerprint."""
 
     def run(batches):
         from xxhash import xxh3_128_intdigest
 
         for batch in batches:
             texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            whole = [shingle_set(t, shingle) for t in texts]
+            every = [simhash.shingle_hashes(t, shingle) for t in texts]
+            whole = [np.unique(x) for x in every]
             keys = [xxh3_128_intdigest(x.tobytes()) for x in whole]
             first = [_ordered(x, names, rank)[: len(x) - -(-share.numerator * len(x) // share.denominator) + 1] for x in whole]
             halves = [pa.array(_signed(np.array([k >> s & 0xFFFFFFFFFFFFFFFF for k in keys], np.uint64))) for s in (64, 0)]
             packed = pa.array([zlib.compress(t, 1) for t in texts], pa.binary())
-            columns = {k: batch.column(k) for k in ("r1", "r2", "doc_id")} | {"k1": halves[0], "k2": halves[1], "n": pa.array([len(x) for x in whole], pa.int32()), "vals": _lists(first), "packed": packed}
+            columns = {k: batch.column(k) for k in ("r1", "r2", "doc_id")} | {"k1": halves[0], "k2": halves[1], "n": pa.array([len(x) for x in whole], pa.int32()), "vals": _lists(first), "packed": packed, "fp": pa.array(np.array([simhash.majority(x) for x in every], np.uint64).view(np.int64))}
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return rows.select("r1", "r2", "doc_id", "text").mapInArrow(run, "r1 long, r2 long, doc_id long, k1 long, k2 long, n int, vals array<long>, packed binary")
+    return rows.select("r1", "r2", "doc_id", "text").mapInArrow(run, "r1 long, r2 long, doc_id long, k1 long, k2 long, n int, vals array<long>, packed binary, fp long")
 
 
 def _by_value(rows: DataFrame, found, schema: str) -> DataFrame:
@@ -121,8 +127,8 @@ def _by_value(rows: DataFrame, found, schema: str) -> DataFrame:
 
 
 def _shared(x: dict, start: np.ndarray):
-    kept = np.repeat(np.diff(start) > 1, np.diff(start))
-    yield {k: c[kept] for k, c in x.items()}
+    size = np.repeat(np.diff(start), np.diff(start))
+    yield {k: c[size > 1] for k, c in x.items()} | {"size": size[size > 1]}
 
 
 def _fit(x: dict, i: np.ndarray, j: np.ndarray, share: Fraction) -> np.ndarray:
@@ -141,8 +147,8 @@ def _to_pivots(share: Fraction):
     def found(x, start):
         at, sizes = np.arange(start[-1]), np.diff(start)
         group = np.repeat(np.arange(len(sizes)), sizes)
-        for salt in range(PIVOTS):
-            order = np.lexsort((common.mix(x["_row"].view(np.uint64) + np.uint64((salt + 1) * common.BASE % (1 << 64))), group))
+        drawn = common.mix(x["_row"].view(np.uint64) + np.uint64(common.BASE))
+        for order in (np.lexsort((drawn, -x["central"], group)), np.lexsort((drawn, group))):
             pivot = np.repeat(order[start[:-1]], sizes)
             fit = _fit(x, at, pivot, share)
             yield _pairs(x, at[fit], pivot[fit])
@@ -187,12 +193,23 @@ def similar(pairs: DataFrame, texts: DataFrame, shingle: int, share: Fraction) -
     return common.cut(both.mapInArrow(run, "u long, v long"))
 
 
+def linked_fingerprints(sets: DataFrame) -> DataFrame:
+    """Pairs a, b of rows whose fingerprints are equal or linked; one row stands for those of a fingerprint."""
+    least = common.cut(sets.groupBy("fp").agg(F.min("_row").alias("first")))
+    equal = sets.join(least, "fp").filter("_row <> first").select("_row", "first")
+    of = lambda k: least.select(F.col("fp").alias(k), F.col("first").alias(f"row_{k}"))
+    near = simhash.links(least.select("fp")).join(of("u"), "u").join(of("v"), "v").select("row_u", "row_v")
+    return equal.union(near).toDF("x", "y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
 def links(sets: DataFrame, shingle: int, share: Fraction) -> DataFrame:
-    """Edges u, v: enough of them that components are those of all similar pairs. sets: _row, n, vals, packed of distinct sets."""
+    """Edges u, v: enough of them that components are those of all similar pairs. sets: _row, n, vals, packed, fp of distinct sets."""
     texts = sets.select("_row", "packed")
     places = sets.select("_row", "n", F.posexplode("vals").alias("pos", "v"))
-    shared = common.cut(_by_value(places, _shared, "_row long, n int, pos int, v long"))
-    near = common.cut(_by_value(shared, _to_pivots(share), "a long, b long").distinct())
+    shared = common.cut(_by_value(places, _shared, "_row long, n int, pos int, v long, size long"))
+    central = shared.groupBy("_row").agg(F.sum("size").alias("central"))
+    shared = common.cut(shared.drop("size").join(central, "_row"))
+    near = common.cut(_by_value(shared, _to_pivots(share), "a long, b long").union(linked_fingerprints(sets.select("_row", "fp"))).distinct())
     edges = similar(near, texts, shingle, share)
     roots = simhash.stars(edges)
     placed = shared.join(roots, shared["_row"] == roots["node"], "left").select("_row", "n", "pos", "v", F.coalesce("root", "_row").alias("root"))

@@ -127,7 +127,8 @@ def lookups(rules: tuple[Rule, ...]) -> list[tuple[int, int, str, int]]:
 
 def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """text_key, rules: the bit mask of the rules whose query the text meets. Postings of each alternative's trigrams are looked up and intersected."""
-    wanted = index.sparkSession.createDataFrame(lookups(rules), "rule int, alternative int, trigram string, needed int")
+    rows = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(("rule", "alternative", "trigram", "needed"), x, strict=True))) for x in lookups(rules)))
+    wanted = index.sparkSession.range(1).select(F.inline(rows))
     found = index.join(F.broadcast(wanted), "trigram")  # a row for each trigram of a rule, however many texts there are
     bit = F.element_at(F.array(*(F.lit(1 << i) for i in range(len(rules)))), F.col("rule") + 1)
     inside = found.groupBy("text_key", "rule", "alternative").agg(F.count_distinct("trigram").alias("held"), F.max("needed").alias("needed")).filter("held = needed")
