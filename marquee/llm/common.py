@@ -18,6 +18,7 @@ SPACES = r"[\x20\x09-\x0D]+"
 CHUNK = 1 << 18
 SENT = 50_000
 SALTS = 64
+BUCKET = 8 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -168,5 +169,7 @@ def running(values, join, zero, block: int = 64):
     return let(values, lambda v: let(F.transform(numbers(v), lambda b: fold(part(v, b, F.lit(block)))), lambda sums: scan(v, sums)))
 
 
-def bucket_count(spark: SparkSession) -> int:
-    return max(32, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def bucket_count(docs: DataFrame, size: int = BUCKET) -> int:
+    """Buckets for what is found in texts: one for each `size` bytes of them, so that a bucket stays small however many there are."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(32, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // size))

@@ -1,16 +1,24 @@
 """Substring dedup over words by recompression.
 
-Words become 64-bit symbols. In each of ROUNDS rounds a coin, a bit hashed from round and symbol, makes every symbol a left
-or a right one, and each left symbol followed by a right one is replaced by the name of the pair: a hash of both names and
-the round. Names depend on content alone, so all documents agree on them without a table, and equal passages get equal
-symbols inside: whether two symbols merge is seen from the two alone, so a window of 50 words is cut alike everywhere but
-for the 2 ** ROUNDS - 1 words at either end. A run of one symbol has one coin and is left as it is, since a name for a
-whole run would reach past the window.
-
-The cuts between the symbols of the last round are the candidates for anchors. A window takes the candidate within
-[15, 34] whose name, the hash of the 16 words that follow, is least; a symbol is at most 16 words long, so there is one.
-Round 1 of marquee.llm.repeats finds the names that two documents share, round 2 compares the windows at those by 96-bit
-hashes (64 bits in names alone would collide at 10 ** 10 windows) and keeps those that also start in a smaller doc_id.
+Words are 64-bit symbols of level 0. Each of ROUNDS rounds names first the runs, maximal repetitions of one symbol, by
+symbol and length, and then pairs: a coin, a bit hashed from round and symbol, makes every symbol a left or a right one, and
+each left symbol followed by a right one becomes the name of the pair. Last, each symbol is named together with those
+after it until PHRASE words are reached. Names are hashes of what they stand for, so all documents give equal things
+equal names; Spark rounds find out which names the corpus shares:
+
+1. Symbols of level ROUNDS are named by all documents and grouped by name: those in two documents at least are shared.
+2. A phrase all of whose symbols are shared is named and grouped in the same way; other symbols are dead, since nothing that
+   holds one is repeated.
+3. Windows of WINDOW words that a shared phrase stands for are compared, and those that also start in a smaller doc_id go.
+
+Which phrase stands for a window is seen from the window alone. Every symbol carries the range of words that its name and
+its ends were derived from: a run must see that its neighbours differ, an unpaired symbol the neighbour it did not pair
+with. A window's candidates are the phrases whose range lies inside it; of those the least hash stands for it. A window
+without any (long runs and periods leave none) takes the least symbol of level ROUNDS inside it, else the least word. So
+equal windows have equal names wherever they stand, and no repeat is lost.
+
+Windows count as equal by 96 bits of two hashes with keys of their own over the bytes of their words (64 bits alone would
+collide at 10 ** 10 windows); names, 48 bits, only find candidates.
 
 Cases: a null or empty text has no words and keeps none; documents under 50 words keep all; rows with a null doc_id are
 neither smaller nor larger than others, so they keep all and remove nothing; rows that repeat a doc_id don't remove each
@@ -19,6 +27,8 @@ other's words; an empty table gives no rows; other columns of any name are ignor
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,88 +37,223 @@ from pyspark.sql import functions as F
 from marquee.llm import common, repeats
 
 WINDOW = 50
-ROUNDS = 4
-REACH = 16
-LOW, HIGH = REACH - 1, WINDOW - REACH
+ROUNDS = 3
+PHRASE = 16
+FAR = np.int64(1) << np.int64(60)
 WORD_WINDOW = np.dtype([("h", "<u8"), ("g", "<u4"), ("start", "<u4")])
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
-def symbols(words: np.ndarray, first_of_doc: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """The symbols after some rounds, and the word at which each begins."""
-    names, at, fresh = words, np.arange(len(words)), first_of_doc
-    for r in range(rounds):
-        right = (common.mix(names + np.uint64(r + 1)) & np.uint64(1)).astype(bool)
-        pair = np.zeros(len(names), bool)
-        pair[:-1] = ~right[:-1] & right[1:] & ~fresh[1:]
-        joined = common.mix(names[:-1] * np.uint64(0xD6E8FEB86659FD93) + names[1:] + np.uint64(r))
-        names = names.copy()
-        names[:-1][pair[:-1]] = joined[pair[:-1]]
-        kept = np.append(True, ~pair[:-1])[: len(names)]
-        names, at, fresh = names[kept], at[kept], fresh[kept]
-    return names, at
+@dataclass
+class Symbols:
+    """Symbols in order: name, first word, document, and the range [low, high) of words that name and ends depend on, one word beyond the document where it depends on its end. Both ends rise from symbol to symbol."""
+
+    name: np.ndarray
+    at: np.ndarray
+    doc: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+    def of(self, kept: np.ndarray) -> Symbols:
+        return Symbols(*(x[kept] for x in (self.name, self.at, self.doc, self.low, self.high)))
+
+    def beside(self) -> tuple[np.ndarray, np.ndarray]:
+        """The range's low end of each one's neighbour before it, and the high end of that after it."""
+        before, after = self.at - 1, np.append(self.at[1:] + 1, FAR)
+        same = self.doc[1:] == self.doc[:-1]
+        before[1:][same] = self.low[:-1][same]
+        after[:-1][same] = self.high[1:][same]
+        return before, after
+
+
+def _named(*parts) -> np.ndarray:
+    out = np.uint64(0)
+    for i, part in enumerate(parts):
+        out = common.mix(out * np.uint64(0xD6E8FEB86659FD93) + part + np.uint64(i + 1))
+    return out
+
+
+def runs(s: Symbols, level: int) -> Symbols:
+    """Every maximal run of one symbol as one symbol; single ones keep their names."""
+    if not len(s.name):
+        return s
+    before, after = s.beside()
+    first = np.flatnonzero(np.append(True, (s.name[1:] != s.name[:-1]) | (s.doc[1:] != s.doc[:-1])))
+    last = np.append(first[1:], len(s.name)) - 1
+    n = (last - first + 1).astype(np.uint64)
+    name = np.where(n > 1, _named(s.name[first], n, np.uint64(2 * level)), s.name[first])
+    return Symbols(name, s.at[first], s.doc[first], before[first], after[last])
+
+
+def pairs(s: Symbols, level: int) -> Symbols:
+    """Every left symbol and the right one after it as one symbol."""
+    if not len(s.name):
+        return s
+    right = (common.mix(s.name + np.uint64(level + 1)) & np.uint64(1)).astype(bool)
+    before, after = s.beside()
+    joined = np.zeros(len(s.name), bool)
+    joined[:-1] = ~right[:-1] & right[1:] & (s.doc[1:] == s.doc[:-1])
+    second = np.append(False, joined[:-1])
+    low, high, name = np.where(right & ~second, before, s.low), np.where(~right, after, s.high), s.name.copy()
+    name[:-1][joined[:-1]] = _named(s.name[:-1][joined[:-1]], s.name[1:][joined[:-1]], np.uint64(2 * level + 1))
+    return Symbols(name, s.at, s.doc, low, high).of(~second)
+
+
+def symbols(words: np.ndarray, doc: np.ndarray, rounds: int = ROUNDS) -> Symbols:
+    """The symbols of words after some rounds."""
+    at = np.arange(len(words), dtype=np.int64)
+    s = Symbols(words, at, doc, at, at + 1)
+    for level in range(rounds):
+        s = pairs(runs(s, level), level)
+    return s
+
+
+def phrases(s: Symbols, ends: np.ndarray, live: np.ndarray) -> Symbols:
+    """The symbols with those after each until PHRASE words, as far as their documents go and all of them are live. ends: one past each document's last word."""
+    if not len(s.name):
+        return s
+    stop = np.append(s.at[1:], 0)
+    last_of_doc = np.append(s.doc[1:] != s.doc[:-1], True)
+    stop[last_of_doc] = ends[s.doc[last_of_doc]]
+    last = np.searchsorted(stop, s.at + PHRASE)
+    fits = last < len(stop)
+    last = np.minimum(last, len(stop) - 1)
+    dead = np.append(0, np.cumsum(~live))
+    i = np.flatnonzero(fits & (s.doc[last] == s.doc) & (dead[last + 1] == dead[:-1]))
+    names = common.span_hash(common.prefix_hash(s.name), i, last[i] + 1)
+    return Symbols(names, s.at[i], s.doc[i], s.low[i], s.high[last[i]])
+
+
+def least_inside(s: Symbols, at: np.ndarray, width: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """For each window [at, at + width) whether any symbol's range lies in it, and the least name of those that do."""
+    first, last = np.searchsorted(s.low, at), np.searchsorted(s.high, at + width, "right")
+    n = last - first
+    out = np.zeros(len(at), np.uint64)
+    level, least, size = 0, s.name, 1
+    while True:
+        mine = np.flatnonzero((n >= size) & (n < 2 * size))
+        if len(mine):
+            out[mine] = np.minimum(least[first[mine]], least[last[mine] - size])
+        if not (n >= 2 * size).any():
+            return n > 0, out
+        least, level, size = np.minimum(least[:-size], least[size:]), level + 1, 2 * size
+
+
+@dataclass
+class Words:
+    """The words of some documents: two prefix hashes of them, the first word of each document, symbols, and the windows with their documents."""
 
+    prefix: np.ndarray
+    second: np.ndarray
+    first: np.ndarray
+    names: np.ndarray
+    symbols: Symbols
+    at: np.ndarray
+    doc: np.ndarray
 
-def windows(data: np.ndarray, offsets: np.ndarray):
-    """Word hashes' prefix sums, the first word of each document, and for each window: its first word, document and anchor's name."""
+
+def read(data: np.ndarray, offsets: np.ndarray, exact: bool = False) -> Words:
+    """exact: the second hashes too."""
     start, end, counts = common.word_spans(data, offsets)
     words = common.span_hash(common.prefix_hash(common.BYTE_KEYS[data]), start, end)
-    prefix = common.prefix_hash(words)
-    first = np.append(0, np.cumsum(counts))
-    n = len(words)
-    if n < WINDOW:
-        nothing = np.zeros(0, np.int64)
-        return prefix, first, nothing, nothing, np.zeros(0, np.uint64)
-    fresh = np.zeros(n, bool)
-    fresh[first[:-1][counts > 0]] = True
-    _, cuts = symbols(words, fresh)
-    cuts = cuts[cuts <= n - REACH]
-    values = np.full(n, repeats.NONE, np.uint64)
-    values[cuts] = np.minimum(common.span_hash(prefix, cuts, cuts + REACH), repeats.NONE - np.uint64(1))
-    anchor = repeats.anchors_of_windows(values, LOW, HIGH)
+    other = common.span_hash(common.prefix_hash(SECOND_KEYS[data]), start, end) if exact else words[:0]
     doc = np.repeat(np.arange(len(counts)), counts)
-    at = np.arange(n - WINDOW + 1)
+    at = np.arange(max(0, len(words) - WINDOW + 1))
     at = at[doc[at] == doc[at + WINDOW - 1]]
-    return prefix, first, at, doc[at], values[anchor[at]]
+    return Words(common.prefix_hash(words), common.prefix_hash(other), np.append(0, np.cumsum(counts)), words, symbols(words, doc), at, doc[at])
+
+
+#: Keys of the second hash: another bijection of those of the first.
+SECOND_KEYS = common.mix(common.BYTE_KEYS + np.uint64(common.BASE)) | np.uint64(1)
+
+
+def window_names(w: Words, live: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each window whether a phrase stands for it, and the name of what does. live: the symbols that are shared."""
+    by_phrase, name = least_inside(phrases(w.symbols, w.first[1:], np.ones(len(live), bool)), w.at)
+    if not live.all():
+        alive, among = least_inside(phrases(w.symbols, w.first[1:], live), w.at)
+        name = np.where(alive & (among == name), name, repeats.NONE)
+    by_symbol = np.flatnonzero(~by_phrase)
+    if len(by_symbol):
+        inside, least = least_inside(w.symbols, w.at[by_symbol])
+        words = Symbols(w.names, np.arange(len(w.names)), w.names, np.arange(len(w.names)), np.arange(len(w.names)) + 1)
+        _, word = least_inside(words, w.at[by_symbol])
+        name[by_symbol] = np.where(inside, _named(least, np.uint64(1)), _named(word, np.uint64(2)))
+    return by_phrase, name
+
+
+def _each_once(owner: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((name, owner))
+    owner, name = owner[order], name[order]
+    new = np.append(True, (owner[1:] != owner[:-1]) | (name[1:] != name[:-1])) if len(owner) else np.zeros(0, bool)
+    return owner[new], name[new]
+
+
+def _by_chunk(data: np.ndarray, offsets: np.ndarray, found) -> tuple[np.ndarray, ...]:
+    """What found(first document, its end, data, offsets) gives for each chunk, as whole arrays."""
+    parts = [found(a, b, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in common.chunks(offsets)]
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
 
+def symbol_names(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Round 1: the symbols of documents that have windows, and what stands for windows without a phrase."""
 
-def _names(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    owners, names = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-    for a, b in common.chunks(offsets):
-        _, _, _, doc, name = windows(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-        order = np.lexsort((name, doc))
-        doc, name = doc[order], name[order]
-        new = np.append(True, (doc[1:] != doc[:-1]) | (name[1:] != name[:-1])) if len(doc) else np.zeros(0, bool)
-        owners.append(doc[new] + a)
-        names.append(name[new])
-    return np.concatenate(owners), np.concatenate(names)
+    def found(a, b, data, offsets):
+        w = read(data, offsets)
+        long = np.diff(w.first) >= WINDOW
+        by_phrase, name = window_names(w, np.ones(len(w.symbols.name), bool))
+        s = w.symbols.of(long[w.symbols.doc])
+        owner, name = _each_once(np.concatenate([s.doc, w.doc[~by_phrase]]), np.concatenate([s.name & repeats.NAME_BITS, name[~by_phrase] & repeats.NAME_BITS]))
+        return owner + a, name
+
+    return _by_chunk(*common.columnar(batch.column("text")), found)
+
+
+def _read_live(a: int, b: int, data, offsets, known_owner, known, exact: bool = False):
+    w = read(data, offsets, exact)
+    inside = (known_owner >= a) & (known_owner < b)
+    owner, names = known_owner[inside] - a, known[inside]
+    by_phrase, name = window_names(w, repeats.held(w.symbols.doc, w.symbols.name, owner, names))
+    return w, by_phrase, name, owner, names
+
+
+def phrase_names(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Round 2: of documents with their shared symbols in found, the phrases of shared symbols, and again what stands for windows without one if it is shared."""
+    known_owner, known = repeats.names_by_document(batch)
+
+    def found(a, b, data, offsets):
+        w, by_phrase, name, owner, names = _read_live(a, b, data, offsets, known_owner, known)
+        kept = np.where(by_phrase, name != repeats.NONE, repeats.held(w.doc, name, owner, names))
+        owner, name = _each_once(w.doc[kept], name[kept] & repeats.NAME_BITS)
+        return owner + a, name
+
+    return _by_chunk(*common.columnar(batch.column("text")), found)
 
 
 def removed_windows(docs: DataFrame, buckets: int) -> DataFrame:
     """doc_id, text_hash, found: the first words of the windows that a smaller doc_id has."""
-    shared = repeats.with_found(docs, repeats.shared_names(docs, _names, buckets))
+    shared = repeats.with_found(docs, repeats.shared_names(docs, symbol_names, buckets))
+    named = repeats.with_found(docs, repeats.shared_names(shared, phrase_names, buckets))
 
     def send(batches):
         for batch in repeats.regrouped(batches):
-            heads = repeats.heads_of(batch)
             known_owner, known = repeats.names_by_document(batch)
-            data, offsets = common.columnar(batch.column("text"))
-            owners, found = [], []
-            for a, b in common.chunks(offsets):
-                prefix, first, at, doc, name = windows(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+
+            def found(a, b, data, offsets, known_owner=known_owner, known=known):
+                w = read(data, offsets, exact=True)
+                _, name = window_names(w, np.ones(len(w.symbols.name), bool))
                 inside = (known_owner >= a) & (known_owner < b)
-                keep = repeats.held(doc + a, name, known_owner[inside], known[inside])
-                at, doc = at[keep], doc[keep]
-                w = np.zeros(len(at), WORD_WINDOW)
-                w["h"] = common.span_hash(prefix, at, at + WINDOW)
-                half = WINDOW // 2
-                w["g"] = common.mix(common.span_hash(prefix, at, at + half) * np.uint64(3) + common.span_hash(prefix, at + half, at + WINDOW)) >> np.uint64(32)
-                w["start"] = at - first[doc]
-                owners.append(doc + a)
-                found.append(w)
-            yield from send_windows(heads, np.concatenate(owners), np.concatenate(found), buckets)
-
-    moved = shared.mapInArrow(send, repeats.MOVED)
+                keep = repeats.held(w.doc + a, name, known_owner[inside], known[inside])
+                at, doc = w.at[keep], w.doc[keep]
+                out = np.zeros(len(at), WORD_WINDOW)
+                out["h"] = common.span_hash(w.prefix, at, at + WINDOW)
+                out["g"] = common.span_hash(w.second, at, at + WINDOW) >> np.uint64(32)
+                out["start"] = at - w.first[doc]
+                return doc + a, out
+
+            yield from send_windows(repeats.heads_of(batch), *_by_chunk(*common.columnar(batch.column("text")), found), buckets)
+
+    moved = named.mapInArrow(send, repeats.MOVED)
     return repeats.by_bucket(moved, buckets, lambda batches: repeats.gathered(batches, lambda b: np.frombuffer(b, WORD_WINDOW), buckets, _settle))
 
 
@@ -149,10 +294,9 @@ def covered(starts: np.ndarray, n: int, width: int = WINDOW) -> np.ndarray:
 
 def dedup(docs: DataFrame, texts: bool = False) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256; texts: kept_text too."""
-    spark = docs.sparkSession
-    common.small_batches(spark)
+    common.small_batches(docs.sparkSession)
     rows = repeats.keyed(docs)
-    found = removed_windows(rows, common.bucket_count(spark))
+    found = removed_windows(rows, common.bucket_count(rows))
 
     def run(batches):
         for batch in batches:

@@ -1,10 +1,11 @@
 """Distributed search for windows that several documents share, common to both substring operators.
 
 Each operator marks, for every window of a document, one anchor inside it by a rule that sees nothing but the window, so
-equal windows have equal anchors. Anchors are named by content. Round 1 finds the names that two documents have; round 2
-sends what lies around those, and its reducers decide which windows also start in a document with a smaller doc_id.
+equal windows have equal anchors. Anchors are named by content. A round of naming finds the names that two documents have;
+the last round sends what lies around those, and its reducers decide which windows also start in a document with a smaller
+doc_id.
 
-Both rounds move packed columns: a row is what one batch of documents has for one bucket of names. What a batch can
+All rounds move packed columns: a row is what one batch of documents has for one bucket of names. What a batch can
 settle itself - a name that two of its documents have, a window that a smaller doc_id of the batch has - goes past the
 buckets as finished rows dealt evenly, and one copy of it goes to its bucket. So a name that a third of all documents
 have costs its bucket one entry for each batch, not one for each document.
@@ -24,6 +25,7 @@ from marquee.llm import common
 
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 BATCH = 8 << 20
+TASKS = 20_000
 MOVED = "bucket long, docs binary, owners binary, body binary"
 FOUND = "doc_id long, text_hash int, found binary"
 
@@ -135,7 +137,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def by_bucket(moved: DataFrame, buckets: int, run: Callable, schema: str = FOUND) -> DataFrame:
-    return moved.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
+    return moved.repartition(min(buckets, TASKS), "bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
 
 
 def with_found(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -192,12 +194,12 @@ def short(names: np.ndarray) -> np.ndarray:
 
 
 def shared_names(docs: DataFrame, names_of: Callable, buckets: int) -> DataFrame:
-    """Round 1: for each document the names that it shares with another. names_of(data, offsets) gives (document, name) pairs, each once."""
+    """A round of naming: for each document the names that it shares with another. names_of(batch) gives (document, name) pairs, each once."""
 
     def send(batches):
         for batch in regrouped(batches):
             heads = heads_of(batch)
-            owner, name = names_of(*common.columnar(batch.column("text")))
+            owner, name = names_of(batch)
             name = name & NAME_BITS
             order = np.argsort(name, kind="stable")
             owner, name = owner[order], name[order]

@@ -58,7 +58,8 @@ def occurrences(data: np.ndarray, offsets: np.ndarray):
     return doc[first], place[first].astype(np.int64), name[first], at[first], np.diff(np.append(first, len(place)))
 
 
-def _names(data: np.ndarray, offsets: np.ndarray):
+def _names(batch: pa.RecordBatch):
+    data, offsets = common.columnar(batch.column("text"))
     owners, names = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     for a, b in common.chunks(offsets):
         doc, _, name, _, _ = occurrences(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
@@ -306,10 +307,9 @@ def kept_spans(gone: np.ndarray, n: int) -> np.ndarray:
 
 def dedup(docs: DataFrame, texts: bool = False) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256; texts: kept, the bytes, too."""
-    spark = docs.sparkSession
-    common.small_batches(spark)
+    common.small_batches(docs.sparkSession)
     rows = repeats.keyed(docs)
-    found = removed_windows(rows, common.bucket_count(spark))
+    found = removed_windows(rows, common.bucket_count(rows))
 
     def run(batches):
         for batch in batches:

@@ -35,16 +35,48 @@ def test_empty_table(no_documents):
     assert recompress.dedup(no_documents).collect() == []
 
 
-def test_equal_windows_have_equal_anchors():
+def test_equal_windows_have_equal_names():
     rng = np.random.default_rng(1)
-    for kinds in (2, 5, 1000):
-        passage = rng.integers(0, kinds, 50)
-        seen = set()
-        for _ in range(30):
-            words = np.concatenate([rng.integers(0, kinds, rng.integers(0, 40)), passage, rng.integers(0, kinds, rng.integers(0, 40))])
-            text = " ".join(map(str, words)).encode()
-            at = " ".join(map(str, words)).encode().split()
-            _, _, starts, _, names = recompress.windows(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    passages = [rng.integers(0, kinds, 50) for kinds in (2, 5, 1000)]
+    passages += [np.zeros(50, int), np.arange(50) % 2, np.arange(50) % 7, np.r_[np.zeros(25, int), np.arange(25)], np.r_[np.arange(20), np.zeros(30, int)], np.repeat(np.arange(5), 10)]
+    for passage in passages:
+        seen, kinds = set(), int(passage.max()) + 1
+        for k in range(60):
+            left, right = (rng.integers(0, kinds, rng.integers(0, 40)) if k % 2 else passage[rng.integers(0, 50)].repeat(rng.integers(0, 30)) for _ in "ab")
+            words = [str(w).encode() for w in np.concatenate([left, passage, right])]
+            text = b" ".join(words)
+            w = recompress.read(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+            _, names = recompress.window_names(w, np.ones(len(w.symbols.name), bool))
             want = [str(x).encode() for x in passage]
-            seen |= {int(n) for s, n in zip(starts, names) if at[s : s + 50] == want}
+            seen |= {int(n) for s, n in zip(w.at, names) if words[s : s + 50] == want}
         assert len(seen) == 1
+
+
+def test_runs_and_pairs_become_symbols():
+    words = np.array([7, 7, 7, 1, 2, 7, 7, 7, 1, 2, 7, 7], np.uint64)
+    doc = np.array([0] * 10 + [1] * 2)
+    got = recompress.runs(recompress.Symbols(words, np.arange(12), doc, np.arange(12), np.arange(12) + 1), 0)
+    assert got.at.tolist() == [0, 3, 4, 5, 8, 9, 10] and got.name[0] == got.name[3] != got.name[6] and got.name[1] == 1
+    assert (got.low[3], got.high[3]) == (4, 9) and got.low[0] == -1 and got.high[5] == 11 and got.low[6] == 9 and got.high[6] > 12
+    top = recompress.symbols(np.tile(np.array([5, 6, 9, 4], np.uint64), 20), np.zeros(80, int), 12)
+    assert len(top.name) < 10
+
+
+def test_what_is_found_depends_on_the_symbols(spark, odd_documents, monkeypatch):
+    plain = recompress.symbols
+    rng = np.random.default_rng(3)
+
+    def strange(words, doc, rounds=recompress.ROUNDS):
+        s = plain(words, doc, rounds)
+        s.name = rng.integers(0, 1 << 62, len(s.name)).astype(np.uint64)
+        return s
+
+    monkeypatch.setattr(recompress, "symbols", strange)
+    import pyarrow as pa
+
+    text = pa.array(["w" + " w".join(map(str, range(80)))] * 2)
+    owner, name = recompress.symbol_names(pa.RecordBatch.from_arrays([text], ["text"]))
+    assert not set(name[owner == 0]) & set(name[owner == 1])
+    monkeypatch.setattr(recompress, "symbols", plain)
+    owner, name = recompress.symbol_names(pa.RecordBatch.from_arrays([text], ["text"]))
+    assert set(name[owner == 0]) == set(name[owner == 1])
