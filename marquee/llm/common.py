@@ -18,7 +18,7 @@ SPACES = r"[\x20\x09-\x0D]+"
 CHUNK = 1 << 18
 SENT = 50_000
 SALTS = 64
-BUCKET = 8 << 20
+BUCKET = 32 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True

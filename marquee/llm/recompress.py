@@ -6,9 +6,9 @@ each left symbol followed by a right one becomes the name of the pair. Last, eac
 after it until PHRASE words are reached. Names are hashes of what they stand for, so all documents give equal things
 equal names; Spark rounds find out which names the corpus shares:
 
-1. Symbols of level ROUNDS are named by all documents and grouped by name: those in two documents at least are shared.
-2. A phrase all of whose symbols are shared is named and grouped in the same way; other symbols are dead, since nothing that
-   holds one is repeated.
+1. Of each phrase that stands for a window the symbol with the most words is sent and grouped by name: those in two
+   documents at least are shared.
+2. Phrases whose symbol is shared are sent and grouped in the same way; what holds another symbol is not repeated.
 3. Windows of WINDOW words that a shared phrase stands for are compared, and those that also start in a smaller doc_id go.
 
 Which phrase stands for a window is seen from the window alone. Every symbol carries the range of words that its name and
@@ -108,35 +108,48 @@ def symbols(words: np.ndarray, doc: np.ndarray, rounds: int = ROUNDS) -> Symbols
     return s
 
 
-def phrases(s: Symbols, ends: np.ndarray, live: np.ndarray) -> Symbols:
-    """The symbols with those after each until PHRASE words, as far as their documents go and all of them are live. ends: one past each document's last word."""
-    if not len(s.name):
-        return s
+def ends_of(s: Symbols, ends: np.ndarray) -> np.ndarray:
+    """One past each symbol's last word. ends: the same of each document."""
     stop = np.append(s.at[1:], 0)
     last_of_doc = np.append(s.doc[1:] != s.doc[:-1], True)
     stop[last_of_doc] = ends[s.doc[last_of_doc]]
+    return stop
+
+
+def phrases(s: Symbols, ends: np.ndarray) -> tuple[Symbols, np.ndarray]:
+    """The symbols with those after each until PHRASE words, as far as their documents go, and the name of the longest symbol of each, the greatest of equally long ones."""
+    if not len(s.name):
+        return s, s.name
+    stop = ends_of(s, ends)
     last = np.searchsorted(stop, s.at + PHRASE)
-    fits = last < len(stop)
-    last = np.minimum(last, len(stop) - 1)
-    dead = np.append(0, np.cumsum(~live))
-    i = np.flatnonzero(fits & (s.doc[last] == s.doc) & (dead[last + 1] == dead[:-1]))
-    names = common.span_hash(common.prefix_hash(s.name), i, last[i] + 1)
-    return Symbols(names, s.at[i], s.doc[i], s.low[i], s.high[last[i]])
+    i = np.flatnonzero((last < len(stop)) & (s.doc[np.minimum(last, len(stop) - 1)] == s.doc))
+    last = last[i]
+    size = np.minimum(stop - s.at, 63).astype(np.uint64)
+    key = ~(size << np.uint64(58) | s.name >> np.uint64(6))
+    longest = key[least_of(key, i, last + 1)]
+    names = common.span_hash(common.prefix_hash(s.name), i, last + 1)
+    return Symbols(names, s.at[i], s.doc[i], s.low[i], s.high[last]), longest
 
 
-def least_inside(s: Symbols, at: np.ndarray, width: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """For each window [at, at + width) whether any symbol's range lies in it, and the least name of those that do."""
-    first, last = np.searchsorted(s.low, at), np.searchsorted(s.high, at + width, "right")
+def least_of(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """For each range [first, last) the place of its least value; 0 for an empty one."""
     n = last - first
-    out = np.zeros(len(at), np.uint64)
-    level, least, size = 0, s.name, 1
-    while True:
+    out, best, size = np.zeros(len(n), np.int64), np.arange(len(values)), 1
+    while (n >= size).any():
         mine = np.flatnonzero((n >= size) & (n < 2 * size))
-        if len(mine):
-            out[mine] = np.minimum(least[first[mine]], least[last[mine] - size])
-        if not (n >= 2 * size).any():
-            return n > 0, out
-        least, level, size = np.minimum(least[:-size], least[size:]), level + 1, 2 * size
+        a, b = best[first[mine]], best[last[mine] - size]
+        out[mine] = np.where(values[b] < values[a], b, a)
+        if (n < 2 * size).all():
+            break
+        a, b = best[:-size], best[size:]
+        best, size = np.where(values[b] < values[a], b, a), 2 * size
+    return out
+
+
+def least_inside(s: Symbols, at: np.ndarray, width: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """For each window [at, at + width) whether any symbol's range lies in it, and the place of the least name of those that do."""
+    first, last = np.searchsorted(s.low, at), np.searchsorted(s.high, at + width, "right")
+    return last > first, least_of(s.name, first, last)
 
 
 @dataclass
@@ -167,19 +180,19 @@ def read(data: np.ndarray, offsets: np.ndarray, exact: bool = False) -> Words:
 SECOND_KEYS = common.mix(common.BYTE_KEYS + np.uint64(common.BASE)) | np.uint64(1)
 
 
-def window_names(w: Words, live: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each window whether a phrase stands for it, and the name of what does. live: the symbols that are shared."""
-    by_phrase, name = least_inside(phrases(w.symbols, w.first[1:], np.ones(len(live), bool)), w.at)
-    if not live.all():
-        alive, among = least_inside(phrases(w.symbols, w.first[1:], live), w.at)
-        name = np.where(alive & (among == name), name, repeats.NONE)
-    by_symbol = np.flatnonzero(~by_phrase)
-    if len(by_symbol):
-        inside, least = least_inside(w.symbols, w.at[by_symbol])
-        words = Symbols(w.names, np.arange(len(w.names)), w.names, np.arange(len(w.names)), np.arange(len(w.names)) + 1)
-        _, word = least_inside(words, w.at[by_symbol])
-        name[by_symbol] = np.where(inside, _named(least, np.uint64(1)), _named(word, np.uint64(2)))
-    return by_phrase, name
+def window_names(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """For each window the name of what stands for it, and that of its longest symbol; both are the same where no phrase does."""
+    found, longest = phrases(w.symbols, w.first[1:])
+    by_phrase, place = least_inside(found, w.at)
+    name, symbol = np.zeros(len(w.at), np.uint64), np.zeros(len(w.at), np.uint64)
+    name[by_phrase], symbol[by_phrase] = found.name[place[by_phrase]], _named(longest[place[by_phrase]], np.uint64(0))
+    rest = np.flatnonzero(~by_phrase)
+    if len(rest):
+        inside, place = least_inside(w.symbols, w.at[rest])
+        at = np.arange(len(w.names), dtype=np.int64)
+        _, word = least_inside(Symbols(w.names, at, at, at, at + 1), w.at[rest])
+        name[rest] = symbol[rest] = np.where(inside, _named(w.symbols.name[place], np.uint64(1)), _named(w.names[word], np.uint64(2)))
+    return name, symbol
 
 
 def _each_once(owner: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,34 +209,25 @@ def _by_chunk(data: np.ndarray, offsets: np.ndarray, found) -> tuple[np.ndarray,
 
 
 def symbol_names(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Round 1: the symbols of documents that have windows, and what stands for windows without a phrase."""
+    """Round 1: the longest symbols of the phrases that stand for windows."""
 
     def found(a, b, data, offsets):
         w = read(data, offsets)
-        long = np.diff(w.first) >= WINDOW
-        by_phrase, name = window_names(w, np.ones(len(w.symbols.name), bool))
-        s = w.symbols.of(long[w.symbols.doc])
-        owner, name = _each_once(np.concatenate([s.doc, w.doc[~by_phrase]]), np.concatenate([s.name & repeats.NAME_BITS, name[~by_phrase] & repeats.NAME_BITS]))
+        owner, name = _each_once(w.doc, window_names(w)[1] & repeats.NAME_BITS)
         return owner + a, name
 
     return _by_chunk(*common.columnar(batch.column("text")), found)
 
 
-def _read_live(a: int, b: int, data, offsets, known_owner, known, exact: bool = False):
-    w = read(data, offsets, exact)
-    inside = (known_owner >= a) & (known_owner < b)
-    owner, names = known_owner[inside] - a, known[inside]
-    by_phrase, name = window_names(w, repeats.held(w.symbols.doc, w.symbols.name, owner, names))
-    return w, by_phrase, name, owner, names
-
-
 def phrase_names(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Round 2: of documents with their shared symbols in found, the phrases of shared symbols, and again what stands for windows without one if it is shared."""
+    """Round 2: the phrases whose longest symbols are shared, as found says."""
     known_owner, known = repeats.names_by_document(batch)
 
     def found(a, b, data, offsets):
-        w, by_phrase, name, owner, names = _read_live(a, b, data, offsets, known_owner, known)
-        kept = np.where(by_phrase, name != repeats.NONE, repeats.held(w.doc, name, owner, names))
+        w = read(data, offsets)
+        name, symbol = window_names(w)
+        inside = (known_owner >= a) & (known_owner < b)
+        kept = repeats.held(w.doc + a, symbol, known_owner[inside], known[inside])
         owner, name = _each_once(w.doc[kept], name[kept] & repeats.NAME_BITS)
         return owner + a, name
 
@@ -241,7 +245,7 @@ def removed_windows(docs: DataFrame, buckets: int) -> DataFrame:
 
             def found(a, b, data, offsets, known_owner=known_owner, known=known):
                 w = read(data, offsets, exact=True)
-                _, name = window_names(w, np.ones(len(w.symbols.name), bool))
+                name, _ = window_names(w)
                 inside = (known_owner >= a) & (known_owner < b)
                 keep = repeats.held(w.doc + a, name, known_owner[inside], known[inside])
                 at, doc = w.at[keep], w.doc[keep]

@@ -153,6 +153,10 @@ def heads_of(batch: pa.RecordBatch) -> np.ndarray:
     return out
 
 
+def with_id(batch: pa.RecordBatch) -> pa.RecordBatch:
+    return batch.filter(batch.column("doc_id").is_valid())
+
+
 def regrouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches of about BATCH bytes, without the documents in which nothing was found."""
     held, size = [], 0
@@ -197,7 +201,7 @@ def shared_names(docs: DataFrame, names_of: Callable, buckets: int) -> DataFrame
     """A round of naming: for each document the names that it shares with another. names_of(batch) gives (document, name) pairs, each once."""
 
     def send(batches):
-        for batch in regrouped(batches):
+        for batch in regrouped(with_id(batch) for batch in batches):
             heads = heads_of(batch)
             owner, name = names_of(batch)
             name = name & NAME_BITS
@@ -222,7 +226,7 @@ def shared_names(docs: DataFrame, names_of: Callable, buckets: int) -> DataFrame
         shared = np.repeat(count > 1, np.diff(np.append(first, len(name)))) & (owner >= 0)
         return owner[shared], short(name[shared])
 
-    moved = docs.filter("doc_id is not null").mapInArrow(send, MOVED)
+    moved = docs.mapInArrow(send, MOVED)  # a filter on doc_id would be pushed below the join with the texts, which then were shuffled once more
     return by_bucket(moved, buckets, lambda batches: gathered(batches, names_in, buckets, settle))
 
 

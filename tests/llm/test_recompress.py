@@ -46,9 +46,8 @@ def test_equal_windows_have_equal_names():
             words = [str(w).encode() for w in np.concatenate([left, passage, right])]
             text = b" ".join(words)
             w = recompress.read(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
-            _, names = recompress.window_names(w, np.ones(len(w.symbols.name), bool))
             want = [str(x).encode() for x in passage]
-            seen |= {int(n) for s, n in zip(w.at, names) if words[s : s + 50] == want}
+            seen |= {pair for s, pair in zip(w.at, zip(*(n.tolist() for n in recompress.window_names(w)))) if words[s : s + 50] == want}
         assert len(seen) == 1
 
 
@@ -62,6 +61,15 @@ def test_runs_and_pairs_become_symbols():
     assert len(top.name) < 10
 
 
+def test_least_of_ranges():
+    rng = np.random.default_rng(5)
+    values = rng.integers(0, 30, 200)
+    first = rng.integers(0, 190, 500)
+    last = np.minimum(200, first + rng.integers(0, 60, 500))
+    got = recompress.least_of(values, first, last)
+    assert all(values[g] == values[a:b].min() and a <= g < b for g, a, b in zip(got, first, last) if b > a)
+
+
 def test_what_is_found_depends_on_the_symbols(spark, odd_documents, monkeypatch):
     plain = recompress.symbols
     rng = np.random.default_rng(3)
