@@ -40,7 +40,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: The rejecting distances, XXH64 and the tokenizer can't be written in SQL; near-dedup has a plain version in tests/llm/test_nearcopies.py, run() as a whole has none.
+#: The rejecting distances, XXH64 and the tokenizer can't be written in SQL; tests/llm/test_pipeline.py holds each stage and run() against plain versions.
 ORACLE_SQL = None
 
 
