@@ -39,6 +39,7 @@ SAMPLE = 8
 OFTEN = 3
 MOST_COMMON = 50_000
 PAIRS = 1 << 20
+WANTED = 1_000_000
 
 
 def shingle_set(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
@@ -79,7 +80,7 @@ def common_values(rows: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray
 
 
 def prefixes(rows: DataFrame, shingle: int, share: Fraction, names: np.ndarray, rank: np.ndarray) -> DataFrame:
-    """r1, r2, doc_id, k1 and k2 (a 128-bit name of the set), n (its size), vals, its prefix, packed, the text, and fp, the fingerprint."""
+    """r1, r2, doc_id, k1 and k2 (a 128-bit name of the set), n (its size), vals, its prefix, and fp, the fingerprint."""
 
     def run(batches):
         from xxhash import xxh3_128_intdigest
@@ -91,11 +92,10 @@ def prefixes(rows: DataFrame, shingle: int, share: Fraction, names: np.ndarray,
             keys = [xxh3_128_intdigest(x.tobytes()) for x in whole]
             first = [_ordered(x, names, rank)[: len(x) - -(-share.numerator * len(x) // share.denominator) + 1] for x in whole]
             halves = [pa.array(_signed(np.array([k >> s & 0xFFFFFFFFFFFFFFFF for k in keys], np.uint64))) for s in (64, 0)]
-            packed = pa.array([zlib.compress(t, 1) for t in texts], pa.binary())
-            columns = {k: batch.column(k) for k in ("r1", "r2", "doc_id")} | {"k1": halves[0], "k2": halves[1], "n": pa.array([len(x) for x in whole], pa.int32()), "vals": _lists(first), "packed": packed, "fp": pa.array(np.array([simhash.majority(x) for x in every], np.uint64).view(np.int64))}
+            columns = {k: batch.column(k) for k in ("r1", "r2", "doc_id")} | {"k1": halves[0], "k2": halves[1], "n": pa.array([len(x) for x in whole], pa.int32()), "vals": _lists(first), "fp": pa.array(np.array([simhash.majority(x) for x in every], np.uint64).view(np.int64))}
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return rows.select("r1", "r2", "doc_id", "text").mapInArrow(run, "r1 long, r2 long, doc_id long, k1 long, k2 long, n int, vals array<long>, packed binary, fp long")
+    return rows.select("r1", "r2", "doc_id", "text").mapInArrow(run, "r1 long, r2 long, doc_id long, k1 long, k2 long, n int, vals array<long>, fp long")
 
 
 def _by_value(rows: DataFrame, found, schema: str) -> DataFrame:
@@ -173,8 +173,22 @@ def _across(share: Fraction):
     return found
 
 
-def similar(pairs: DataFrame, texts: DataFrame, shingle: int, share: Fraction) -> DataFrame:
-    """Those of the pairs a, b whose sets are similar enough, as edges u, v. texts: _row, packed."""
+def texts_of(pairs: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
+    """_row and packed, the text, of the rows in pairs a, b; no other text is moved."""
+    named = pairs.select(F.col("a").alias("_row")).union(pairs.select("b")).distinct()
+    wanted = common.cut(named.join(sets.select("_row", "r1", "r2"), "_row"))
+    found = common.with_table(rows.select("r1", "r2", "text"), wanted, ["r1", "r2"], "inner", WANTED).select("_row", "text")
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array([zlib.compress(t or b"", 1) for t in texts], pa.binary())], ["_row", "packed"])
+
+    return found.mapInArrow(run, "_row long, packed binary").dropDuplicates(["_row"])
+
+
+def similar(pairs: DataFrame, sets: DataFrame, rows: DataFrame, shingle: int, share: Fraction) -> DataFrame:
+    """Those of the checkpointed pairs a, b whose sets are similar enough, as edges u, v. sets: _row, r1, r2. rows: r1, r2, text."""
 
     def run(batches):
         before, x = None, None
@@ -188,6 +202,7 @@ def similar(pairs: DataFrame, texts: DataFrame, shingle: int, share: Fraction) -
                 kept.append(share.denominator * same >= share.numerator * (len(x) + len(y) - same))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["u", "v"]).filter(pa.array(kept, pa.bool_()))
 
+    texts = texts_of(pairs, sets, rows)
     of = lambda k: texts.select(F.col("_row").alias(k), F.col("packed").alias(f"packed_{k}"))
     both = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "packed_a", "packed_b")
     return common.cut(both.mapInArrow(run, "u long, v long"))
@@ -202,19 +217,18 @@ def linked_fingerprints(sets: DataFrame) -> DataFrame:
     return equal.union(near).toDF("x", "y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
-def links(sets: DataFrame, shingle: int, share: Fraction) -> DataFrame:
-    """Edges u, v: enough of them that components are those of all similar pairs. sets: _row, n, vals, packed, fp of distinct sets."""
-    texts = sets.select("_row", "packed")
+def links(sets: DataFrame, rows: DataFrame, shingle: int, share: Fraction) -> DataFrame:
+    """Edges u, v: enough of them that components are those of all similar pairs. sets: _row, r1, r2, n, vals, fp of distinct sets. rows: r1, r2, text."""
     places = sets.select("_row", "n", F.posexplode("vals").alias("pos", "v"))
     shared = common.cut(_by_value(places, _shared, "_row long, n int, pos int, v long, size long"))
     central = shared.groupBy("_row").agg(F.sum("size").alias("central"))
-    shared = common.cut(shared.drop("size").join(central, "_row"))
+    shared = shared.drop("size").join(central, "_row")
     near = common.cut(_by_value(shared, _to_pivots(share), "a long, b long").union(linked_fingerprints(sets.select("_row", "fp"))).distinct())
-    edges = similar(near, texts, shingle, share)
+    edges = similar(near, sets, rows, shingle, share)
     roots = simhash.stars(edges)
     placed = shared.join(roots, shared["_row"] == roots["node"], "left").select("_row", "n", "pos", "v", F.coalesce("root", "_row").alias("root"))
-    others = _by_value(placed, _across(share), "a long, b long").distinct().join(near, ["a", "b"], "left_anti")
-    return edges.union(similar(others, texts, shingle, share))
+    others = common.cut(_by_value(placed, _across(share), "a long, b long").distinct().join(near, ["a", "b"], "left_anti"))
+    return edges.union(similar(others, sets, rows, shingle, share))
 
 
 def distinct(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
@@ -227,4 +241,4 @@ def distinct(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILA
     slim = common.cut(prefixes(rows, shingle, share, *common_values(rows, shingle)).withColumn("_row", F.monotonically_increasing_id()))
     groups = common.cut(slim.groupBy("k1", "k2").agg(simhash.first_row("_row").alias("first")).select("first", F.col("first._row").alias("node")))
     one = slim.join(groups.select("node").hint("shuffle_hash"), F.col("_row") == F.col("node"), "left_semi")
-    return simhash.one_of_each(rows, groups, links(one, shingle, share))
+    return simhash.one_of_each(rows, groups, links(one, rows, shingle, share))
