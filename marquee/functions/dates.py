@@ -102,3 +102,17 @@ def date_hits(text: Column) -> Column:
     for p in patterns:
         total = total + F.regexp_count(text, F.lit(p))
     return total
+
+
+def date_window(week_start: str, week_end: str, today: str) -> tuple[str, str]:
+    """From today, or from the week's start once today is past the window, to a week after the week's end."""
+    from datetime import date, timedelta
+
+    last = (date.fromisoformat(week_end) + timedelta(days=7)).isoformat()
+    return (today if today <= last else week_start), last
+
+
+def lane_percent(minutes: Column, first_hour: Column, last_hour: Column) -> Column:
+    """Where a minute of the day lies between two hours, in percent; 0 for an empty span."""
+    span = (last_hour - first_hour) * 60
+    return F.when(span <= 0, 0.0).otherwise((minutes - first_hour * 60) / span * 100)

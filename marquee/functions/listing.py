@@ -162,12 +162,6 @@ def _any_finds(tags: Column, pattern: str) -> Column:
     return F.exists(tags, lambda t: t.rlike(pattern))
 
 
-def cost_amount(raw: Column) -> Column:
-    """0 for free, the amount if the text has just one, else null."""
-    amounts = F.regexp_extract_all(raw, F.lit(r"(\d+(?:\.\d+)?)"), F.lit(1))
-    return F.when(raw.rlike(r"(?i)\bfree\b"), 0.0).when(F.size(amounts) == 1, F.get(amounts, 0).cast("double"))
-
-
 def completeness(image: Column, location: Column, link: Column, description: Column, tags: Column, cost: Column, start: Column) -> Column:
     """0 to 11: how much of a record is filled in."""
     has = lambda c, n: F.when(F.coalesce(c, F.lit("")) != "", n).otherwise(0)
@@ -184,5 +178,41 @@ def specific_link(link: Column) -> Column:
     return F.coalesce(F.regexp_replace(path, "/+$", "") != "", F.lit(False)) | F.coalesce(query != "", F.lit(False))
 
 
+def place_text(location: Column) -> Column:
+    """Lower case, all but a-z, 0-9 and single spaces dropped; "" if missing."""
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(location, F.lit(""))), "[^a-z0-9 ]", " "), " +", " "))
+
+
+def acronym_match(a: Column, b: Column) -> Column:
+    """Whether the first letters of three or more leading words of one text are a word of the other; words of 3 letters at least."""
+    words = lambda x: F.filter(F.split(x, " "), lambda w: F.length(w) >= 3)
+    initials = lambda x: F.array_join(F.transform(words(x), lambda w: F.substring(w, 1, 1)), "")
+    heads = lambda x: F.transform(F.sequence(F.lit(3), F.greatest(F.length(initials(x)), F.lit(3))), lambda n: F.substr(initials(x), F.lit(1), n))
+    return F.arrays_overlap(heads(a), words(b)) | F.arrays_overlap(heads(b), words(a))
+
+
+def venues_agree(a: Column, b: Column) -> Column:
+    """Whether two place_text()s may be one place: a missing one, one inside the other, alike, the same first two words, or an acronym."""
+    first = lambda x: F.array_join(F.slice(F.split(x, " "), 1, 2), " ")
+    inside = F.contains(a, b) | F.contains(b, a)
+    return (a == "") | (b == "") | inside | (dice(a, b) > 0.6) | (first(a) == first(b)) | acronym_match(a, b)
+
+
+def distinctive_title(title: Column) -> Column:
+    """Four words or more."""
+    return F.size(F.filter(F.split(title, " "), lambda w: w != "")) >= 4
+
+
+def image_url(url: Column) -> Column:
+    """https, with an image's extension before query and fragment."""
+    return F.coalesce(url.rlike("^(?i)https://") & F.get(F.split(url, "[?#]"), 0).rlike(r"(?i)\.(jpe?g|png|webp|gif|avif)$"), F.lit(False))
+
+
+def pref_tier(tags: Column, wanted: Column, unwanted: Column) -> Column:
+    """-1 with an unwanted tag, else 1 with a wanted one, else 0. The lists may be null."""
+    meets = lambda x: F.coalesce(F.arrays_overlap(tags, x), F.lit(False))
+    return F.when(meets(unwanted), -1).when(meets(wanted), 1).otherwise(0)
+
+
 def human_day(date: Column) -> Column:
     return F.date_format(date, "EEEE d MMM")

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What counts as free, one amount, a marked amount, and the symbols of the currencies in use.
+# What counts as free, one amount, a marked amount, no price, and the symbols of the currencies in use.
 FREE = r"(?i)\bfree\b|^(?:[a-z]{3}\s*)?[$€£¥]?\s*0(?:[.,]00?)?$"
 AMOUNT = r"^(?:([A-Za-z]{3})\s*)?[$€£¥]?\s*(\d+(?:[.,]\d{1,2})?)$"
 MARKED = r"[$€£¥]\s*(\d+(?:[.,]\d{1,2})?)"
 SYMBOLS = {"AUD": "$", "USD": "$", "NZD": "$", "CAD": "$", "EUR": "€", "GBP": "£", "JPY": "¥"}
+NO_PRICE = r"(?i)^(?:see (?:link|website|site)|check (?:website|site|ticket price|prices?)|tba|tbc|unknown|not specified|paid|price on application|poa|varies|various|buy tickets?|tickets?|ticketed|book(?: now)?|register|n/?a|—|-|\?+)$"
 FLOOR = r"(?i)^(level|lvl|floor|shop|suite|unit)\s*\d+[a-z]?$"
 
 
@@ -30,13 +31,13 @@ def cost_range(raw: Column) -> Column:
 
 
 def cost_label(raw: Column, currency: str = "AUD") -> Column:
-    """`free`, a single amount with its currency's symbol, else the text; null if empty. Another currency's code is kept before the amount."""
+    """`free`, a single amount with its currency's symbol, else the text; null if it is empty or names no price. Another currency's code is kept before the amount."""
     value = F.trim(raw)
     n = cost_amount(raw)
     digits = F.when(n == F.floor(n), F.format_number(n, 0)).otherwise(F.format_number(n, 2))
     declared = F.upper(F.regexp_extract(value, AMOUNT, 1))
     mark = F.when((declared == "") | (declared == currency), F.lit(SYMBOLS.get(currency, currency + " "))).otherwise(F.concat(declared, F.lit(" ")))
-    return F.when(value == "", None).when(value.rlike(FREE), "free").when(value.rlike(AMOUNT), F.concat(mark, digits)).otherwise(value)
+    return F.when(value == "", None).when(value.rlike(FREE), "free").when(value.rlike(NO_PRICE), None).when(value.rlike(AMOUNT), F.concat(mark, digits)).otherwise(value)
 
 
 def offer(raw: Column, url: Column, currency: str = "AUD") -> Column:

@@ -9,11 +9,11 @@ LOW_SCORE = 4.0
 MAX_PICKS = 9
 NO_DATE = "9999"
 VACUOUS_TAGS = (
-    "social, creative, intellectual, hands on, hands-on, handson, workshop, workshops, talk, talks, lecture, lectures, discussion, "
-    "party, parties, networking, meetup, meetups, interactive, live, entertainment, immersive, unique, fun, exciting, event, events, "
-    "experience, special, popular, amazing, interesting, various, general, misc, miscellaneous, other, local, new, active, relax, "
-    "skills, learning"
-).split(", ")
+    "social", "creative", "intellectual", "hands on", "hands-on", "handson", "workshop", "workshops", "talk", "talks", "lecture",
+    "lectures", "discussion", "party", "parties", "networking", "meetup", "meetups", "interactive", "live", "entertainment",
+    "immersive", "unique", "fun", "exciting", "event", "events", "experience", "special", "popular", "amazing", "interesting",
+    "various", "general", "misc", "miscellaneous", "other", "local", "new", "active", "relax", "skills", "learning",
+)
 # A tag is implied by any tag that one of its patterns finds.
 IMPLIED_TAGS = {
     "music": [r"music", r"acoustic", r"^dj$", r"^(singing|classical)$", r"^(jazz|rock|indie|punk|metal|pop|hip hop|electronic|folk|blues|country)$", r"^(piano|reggae|dub)$"],

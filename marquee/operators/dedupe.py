@@ -2,38 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from marquee.functions import listing as L
 
 
-def block_pairs(events: DataFrame, *by: str) -> DataFrame:
-    """Pairs a < b (by ord) on the same day or neighbouring days, with the block as an equi-join key, and their similarity.
+def _titled(events: DataFrame, by: tuple[str, ...], place: Column | None, link: Column | None) -> DataFrame:
+    p = F.lit("") if place is None else L.place_text(place)
+    s = F.lit(False) if link is None else F.coalesce(L.specific_link(link), F.lit(False))
+    return events.select(*by, "ord", L.day(F.col("datetime_iso")).alias("d"), L.normal_text(F.col("title")).alias("t"), p.alias("p"), s.alias("s")).filter("d is not null and t <> ''")
 
-    Rows with the same block and title are compared once through their representatives, so a title repeated n times costs n rows, not n squared."""
-    d = L.day(F.col("datetime_iso"))
-    rows = events.select(*by, "ord", d.alias("d"), L.normal_text(F.col("title")).alias("t")).filter("d is not null and t <> ''")
-    distinct = rows.groupBy(*by, "d", "t").agg(F.min("ord").alias("ord"))
-    left = distinct.select(*by, F.explode(F.array("d", F.date_format(F.date_add(F.col("d").cast("date"), 1), "yyyy-MM-dd"))).alias("block"), F.col("d").alias("d1"), F.col("t").alias("t1"), F.col("ord").alias("a"))
-    right = distinct.select(*by, F.col("d").alias("block"), F.col("d").alias("d2"), F.col("t").alias("t2"), F.col("ord").alias("b"))
+
+def block_pairs(events: DataFrame, *by: str, place: Column | None = None, link: Column | None = None) -> DataFrame:
+    """Pairs a < b (by ord) on the same day or neighbouring days, with the block as an equi-join key, their similarity, and whether they are settled as one.
+
+    On one day titles must match, and places agree unless the title is distinctive. On neighbouring days titles must be alike,
+    places agree, and just one of the two have a link of its own. Without place or link nothing is known of them.
+    Rows with the same block, title, place and link are compared once through their representatives, so a title repeated n times costs n rows, not n squared."""
+    distinct = _titled(events, by, place, link).groupBy(*by, "d", "t", "p", "s").agg(F.min("ord").alias("ord"))
+    side = lambda n, ord_: [F.col(c).alias(f"{c}{n}") for c in ("d", "t", "p", "s")] + [F.col("ord").alias(ord_)]
+    left = distinct.select(*by, F.explode(F.array("d", F.date_format(F.date_add(F.col("d").cast("date"), 1), "yyyy-MM-dd"))).alias("block"), *side(1, "a"))
+    right = distinct.select(*by, F.col("d").alias("block"), *side(2, "b"))
     pairs = left.join(right, [*by, "block"]).filter("d1 < d2 or (d1 = d2 and a < b)")
-    same_day = F.col("d1") == F.col("d2")
-    settled = F.when(same_day, L.titles_match(F.col("t1"), F.col("t2"))).otherwise(F.col("t1") == F.col("t2"))
-    near = pairs.withColumn("sim", L.dice(F.col("t1"), F.col("t2"))).withColumn("settled", settled)
-    return near.select(*by, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), same_day.alias("same_day"), "sim", "settled")
+    same_day, agree = F.col("d1") == F.col("d2"), L.venues_agree(F.col("p1"), F.col("p2"))
+    near = pairs.withColumn("sim", L.dice(F.col("t1"), F.col("t2")))
+    settled = F.when(same_day, L.titles_match(F.col("t1"), F.col("t2")) & (agree | L.distinctive_title(F.col("t1")))).otherwise((F.col("sim") >= 0.85) & agree & (F.col("s1") != F.col("s2")))
+    return near.select(*by, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), same_day.alias("same_day"), "sim", settled.alias("settled"))
 
 
-def same_title_links(events: DataFrame, *by: str) -> DataFrame:
-    """Each later row of a day and title, linked to the first."""
-    rows = events.select(*by, "ord", L.day(F.col("datetime_iso")).alias("d"), L.normal_text(F.col("title")).alias("t")).filter("d is not null and t <> ''")
-    first = rows.groupBy(*by, "d", "t").agg(F.min("ord").alias("a"))
-    return rows.join(first, [*by, "d", "t"]).filter("ord > a").select("a", F.col("ord").alias("b"))
+def same_title_links(events: DataFrame, *by: str, place: Column | None = None) -> DataFrame:
+    """Each later row of a day, title and place, linked to the first."""
+    rows = _titled(events, by, place, None)
+    first = rows.groupBy(*by, "d", "t", "p").agg(F.min("ord").alias("a"))
+    return rows.join(first, [*by, "d", "t", "p"]).filter("ord > a").select("a", F.col("ord").alias("b"))
 
 
-def components(nodes: DataFrame, links: DataFrame, most_rounds: int = 50) -> DataFrame:
-    """ord, comp: the least ord reachable over links a, b. Labels spread to neighbours and jump to their own label until none changes."""
+def components(nodes: DataFrame, links: DataFrame, most_rounds: int = 200) -> DataFrame:
+    """ord, comp: the least ord reachable over links a, b. Labels spread to neighbours and jump to their own label until none changes; an error if that takes more than most_rounds."""
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = _kept(both)
     labels = _kept(nodes.select("ord", F.col("ord").alias("comp")))
@@ -44,17 +51,22 @@ def components(nodes: DataFrame, links: DataFrame, most_rounds: int = 50) -> Dat
         new = _kept(step.join(jump, "mid", "left").select("ord", "old", F.least("mid", F.coalesce("far", "mid")).alias("comp")))
         labels = new.select("ord", "comp")
         if new.filter("comp <> old").isEmpty():
-            break
-    return labels
+            return labels
+    raise RuntimeError(f"components not settled after {most_rounds} rounds")
 
 
 def _kept(df: DataFrame) -> DataFrame:
-    """Lineage cut in the shared checkpoint folder if the session has one."""
+    """Lineage cut in the session's spark.checkpoint.dir. Only a session on this machine alone gets a folder made where that is unset."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        import tempfile
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if folder is None and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if folder is None:
+            import tempfile
 
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="marquee-"))
+            folder = tempfile.mkdtemp(prefix="marquee-")
+        context.setCheckpointDir(folder)
     return df.checkpoint()
 
 

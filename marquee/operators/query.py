@@ -160,6 +160,13 @@ def expand_days(events: DataFrame, first: str, last: str) -> DataFrame:
     return events.filter(L.overlaps(F.col("datetime_iso"), F.col("datetime_end_iso"), first, last)).filter(a <= b).withColumn("day", F.explode(F.sequence(a, b)))
 
 
+def preferred_order(events: DataFrame, prefs: DataFrame, *by: str) -> DataFrame:
+    """Adds tier and place: what a reader wants first, what they don't last, the canonical order within. prefs: one row of each `by` at most, with wanted and unwanted tags."""
+    tiered = events.join(prefs, list(by), "left").withColumn("tier", L.pref_tier(F.col("tags"), F.col("wanted"), F.col("unwanted"))).drop("wanted", "unwanted")
+    w = Window.partitionBy(*by).orderBy(F.desc("tier"), *L.canonical_order(F.col("score"), F.col("datetime_iso"), F.col("ord")))
+    return tiered.withColumn("place", F.row_number().over(w))
+
+
 def window_order(events: DataFrame, first: str, last: str, limit: int, *by: str) -> DataFrame:
     """The first `limit` rows of each `by`, those that start in the window before others, with totals."""
     inside = F.coalesce(L.day(F.col("datetime_iso")).between(first, last), F.lit(False))

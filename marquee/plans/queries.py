@@ -46,12 +46,13 @@ def window_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(
     f"""SELECT ord, title, coalesce(score < 4, false) AS low FROM v WHERE category = 'Concert / Music' AND d <= '1998-03-31' AND e >= '1998-03-01'
-AND list_contains(tags, 'steel') AND social AND datetime_iso[12:13] <> '' AND (CAST(datetime_iso[12:13] AS INT) BETWEEN 5 AND 11 OR CAST(datetime_iso[12:13] AS INT) >= 17 OR CAST(datetime_iso[12:13] AS INT) < 5)
+AND list_contains(tags, 'small') AND item % 13 <> 0 AND social AND datetime_iso[12:13] <> '' AND (CAST(datetime_iso[12:13] AS INT) BETWEEN 5 AND 11 OR CAST(datetime_iso[12:13] AS INT) >= 17 OR CAST(datetime_iso[12:13] AS INT) < 5)
 AND NOT coalesce(e < '{TODAY}', false)"""
 )
 def filter_bar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state = query.FilterState(category="Concert / Music", first="1998-03-01", last="1998-03-31", tags=("steel",), vibes=("social",), bands=("morning", "evening"), today=TODAY)
-    return query.apply_filters(listing(spark, sf_dir), state).select("ord", "title", "low")
+    state = query.FilterState(category="Concert / Music", first="1998-03-01", last="1998-03-31", tags=("small",), vibes=("social",), bands=("morning", "evening"), today=TODAY)
+    rows = listing(spark, sf_dir)
+    return query.apply_filters(rows, state, rows.filter("item % 13 = 0").select("ord"), "ord").select("ord", "title", "low")
 
 
 PICKABLE = f"sc >= 7 AND d BETWEEN '{A}' AND '{B}' AND (nullif(datetime_end_iso, '') IS NULL OR datetime_end_iso <= '{B}')"
@@ -181,11 +182,11 @@ def implied_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(
     """SELECT ord, title FROM (SELECT ord, title, trim(regexp_replace(lower(title || ' ' || location || ' ' || category || ' ' || array_to_string(tags, ' ')), '[^a-z0-9]+', ' ', 'g')) AS h FROM v)
-WHERE (contains(h, 'stele') OR len(list_filter(string_split(h, ' '), lambda w: abs(length(w) - 5) <= 1 AND damerau_levenshtein(w, 'stele') <= 1)) > 0)
-AND (contains(h, 'music') OR len(list_filter(string_split(h, ' '), lambda w: abs(length(w) - 5) <= 1 AND damerau_levenshtein(w, 'music') <= 1)) > 0)"""
+WHERE (contains(h, 'smlal') OR len(list_filter(string_split(h, ' '), lambda w: abs(length(w) - 5) <= 1 AND damerau_levenshtein(w, 'smlal') <= 1)) > 0)
+AND (contains(h, 'concrt') OR len(list_filter(string_split(h, ' '), lambda w: abs(length(w) - 6) <= 1 AND damerau_levenshtein(w, 'concrt') <= 1)) > 0)"""
 )
 def search_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return query.apply_filters(listing(spark, sf_dir), query.FilterState(query="stele music", past="all")).select("ord", "title")
+    return query.apply_filters(listing(spark, sf_dir), query.FilterState(query="smlal concrt", past="all")).select("ord", "title")
 
 
 PAIR_SQL = """, w AS (SELECT city_key, d, trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g')) AS t, min(ord) AS ord FROM v WHERE d BETWEEN '{A}' AND '{B}' GROUP BY 1, 2, 3),
@@ -206,7 +207,8 @@ def dedupe_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered()
 def dedupe_survivor(spark: SparkSession, sf_dir: str) -> DataFrame:
     week = week_listing(spark, sf_dir)
-    links = dedupe.block_pairs(week, "city_key").filter("settled").select("a", "b").union(dedupe.same_title_links(week, "city_key"))
+    place = F.col("location")
+    links = dedupe.block_pairs(week, "city_key", place=place).filter("settled").select("a", "b").union(dedupe.same_title_links(week, "city_key", place=place))
     comps = dedupe.components(week.select("ord"), links)
     none = F.lit("")
     scored = week.withColumn("completeness", L.completeness(none, F.col("location"), none, none, F.col("tags"), none, F.col("datetime_iso")))
@@ -431,9 +433,11 @@ def zone_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("SELECT ord, CASE WHEN item % 4 = 0 THEN 0.0::DOUBLE WHEN item % 4 = 1 THEN (item % 90 + 5)::DOUBLE END AS amount FROM v")
 def cost_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marquee.functions import records as R
+
     n = (F.col("item") % 90 + 5).cast("string")
-    raw = F.when(F.col("item") % 4 == 0, "Free entry").when(F.col("item") % 4 == 1, F.concat(F.lit("$"), n)).when(F.col("item") % 4 == 2, F.concat(F.lit("$5 to $"), n)).otherwise("See link")
-    return listing(spark, sf_dir).select("ord", L.cost_amount(raw).alias("amount"))
+    raw = F.when(F.col("item") % 4 == 0, "Free entry").when(F.col("item") % 4 == 1, F.concat(F.lit("$"), n)).when(F.col("item") % 4 == 2, F.concat(F.lit("from $"), n)).otherwise("See link")
+    return listing(spark, sf_dir).select("ord", R.cost_amount(raw).alias("amount"))
 
 
 @registered("SELECT ord, rtrim(trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g'))[1:60]).replace(' ', '-') AS slug FROM v")
@@ -544,3 +548,57 @@ def page_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "pages").withColumn("text", readable("html", "url"))
     hits, size = date_hits(F.col("text")), F.length("text")
     return rows.select("page_id", size.alias("n_text"), hits.alias("n_dates"), blocked(F.lit(200), F.col("html"), size).alias("blocked"), ((size >= 1200) & (hits >= 5)).alias("passes"))
+
+
+@registered(
+    """, t AS (SELECT city_key, ord, sc, sd, CASE WHEN city_key = 'asia' THEN 0 WHEN list_contains(tags, 'red') OR list_contains(tags, 'anvil') THEN -1 WHEN list_contains(tags, 'ring') OR list_contains(tags, 'small') THEN 1 ELSE 0 END AS tier FROM v)
+SELECT * FROM (SELECT city_key, ord, tier, row_number() OVER (PARTITION BY city_key ORDER BY tier DESC, sc DESC, sd, ord) AS place FROM t) WHERE place <= 200 OR tier = -1"""
+)
+def preferred_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = listing(spark, sf_dir)
+    prefs = rows.select("city_key").distinct().filter("city_key <> 'asia'").select("city_key", F.array(F.lit("ring"), F.lit("small")).alias("wanted"), F.array(F.lit("red"), F.lit("anvil")).alias("unwanted"))
+    return query.preferred_order(rows, prefs, "city_key").filter("place <= 200 or tier = -1").select("city_key", "ord", "tier", "place")
+
+
+@registered(
+    """ SELECT item, a = '' OR b = '' OR contains(a, b) OR contains(b, a) OR (len(x) > 0 AND len(y) > 0 AND 2.0 * shared / (len(x) + len(y)) > 0.6) OR array_to_string(string_split(a, ' ')[1:2], ' ') = array_to_string(string_split(b, ' ')[1:2], ' ')
+  OR list_has_any(list_transform(range(3, length(ia) + 1), lambda k: ia[1:k]), wb) OR list_has_any(list_transform(range(3, length(ib) + 1), lambda k: ib[1:k]), wa) AS agree,
+  len(list_filter(string_split(a, ' '), lambda w: w <> '')) >= 4 AS distinctive FROM h""",
+    """p AS (SELECT p_partkey AS item, p_name || CASE p_partkey % 4 WHEN 0 THEN ' hall' WHEN 1 THEN ', new ' || p_brand WHEN 2 THEN '' ELSE ' ' || p_name END AS a,
+  CASE p_partkey % 5 WHEN 0 THEN '' WHEN 1 THEN p_name WHEN 2 THEN p_type || ' place' WHEN 3 THEN 'The ' || left(p_name, 1) || left(split_part(p_name, ' ', 2), 1) || 'n' ELSE upper(p_name) || '!' END AS b FROM part),
+n AS (SELECT item, trim(regexp_replace(regexp_replace(lower(a), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g')) AS a, trim(regexp_replace(regexp_replace(lower(b), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g')) AS b FROM p),
+g AS (SELECT *, list_transform(range(1, length(a)), lambda i: a[i:i + 1]) AS x, list_transform(range(1, length(b)), lambda i: b[i:i + 1]) AS y,
+  list_filter(string_split(a, ' '), lambda w: length(w) >= 3) AS wa, list_filter(string_split(b, ' '), lambda w: length(w) >= 3) AS wb FROM n),
+h AS (SELECT *, array_to_string(list_transform(wa, lambda w: w[1]), '') AS ia, array_to_string(list_transform(wb, lambda w: w[1]), '') AS ib,
+  coalesce(list_sum(list_transform(list_distinct(x), lambda k: least(len(list_filter(x, lambda z: z = k)), len(list_filter(y, lambda z: z = k))))), 0) AS shared FROM g)""",
+)
+def venue_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether two spellings of a place agree, and whether the first would be distinctive as a title."""
+    name, item = F.col("p_name"), F.col("p_partkey")
+    a = F.concat(name, F.when(item % 4 == 0, " hall").when(item % 4 == 1, F.concat(F.lit(", new "), "p_brand")).when(item % 4 == 2, "").otherwise(F.concat(F.lit(" "), name)))
+    short = F.concat(F.lit("The "), F.substring(name, 1, 1), F.substring(F.split_part(name, F.lit(" "), F.lit(2)), 1, 1), F.lit("n"))
+    b = F.when(item % 5 == 0, "").when(item % 5 == 1, name).when(item % 5 == 2, F.concat("p_type", F.lit(" place"))).when(item % 5 == 3, short).otherwise(F.concat(F.upper(name), F.lit("!")))
+    rows = read(spark, sf_dir, "part").select(item.alias("item"), L.place_text(a).alias("a"), L.place_text(b).alias("b"))
+    return rows.select("item", L.venues_agree(F.col("a"), F.col("b")).alias("agree"), L.distinctive_title(F.col("a")).alias("distinctive"))
+
+
+@registered(
+    """ SELECT event_id, round(CASE WHEN hi <= lo THEN 0 ELSE (m - lo * 60) / ((hi - lo) * 60)::DOUBLE * 100 END, 6) AS percent FROM (SELECT event_id, extract(hour FROM ts) * 60 + extract(minute FROM ts) AS m, user_id % 12 AS lo, 8 + user_id % 7 AS hi FROM events)""",
+    "",
+)
+def lane_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marquee.functions.dates import lane_percent as percent
+
+    m = F.hour("ts") * 60 + F.minute("ts")
+    return read(spark, sf_dir, "events").select("event_id", F.round(percent(m, F.col("user_id") % 12, 8 + F.col("user_id") % 7), 6).alias("percent"))
+
+
+@registered(
+    """ SELECT page_id, regexp_matches(link, '^https://', 'i') AND regexp_matches(regexp_extract(link, '^[^?#]*'), '[.](jpe?g|png|webp|gif|avif)$', 'i') AS image
+FROM (SELECT page_id, url || CASE page_id % 5 WHEN 0 THEN '/a.JPG?w=800' WHEN 1 THEN '/b.webp#x' WHEN 2 THEN '/c.html?f=x.png' WHEN 3 THEN '.avif' ELSE '/d.svg' END AS link FROM pages)""",
+    "",
+)
+def image_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("page_id") % 5
+    link = F.concat("url", F.when(k == 0, "/a.JPG?w=800").when(k == 1, "/b.webp#x").when(k == 2, "/c.html?f=x.png").when(k == 3, ".avif").otherwise("/d.svg"))
+    return read(spark, sf_dir, "pages").select("page_id", L.image_url(link).alias("image"))

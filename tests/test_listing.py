@@ -144,7 +144,7 @@ def test_costs(spark):
     rows = [("Free entry",), ("$25",), ("AUD 12.50",), ("$5 to $15",), ("",), ("EUR 9",), ("0",), ("See site",)]
     c = F.col("c0")
     got = values(spark, rows, R.cost_amount(c), R.cost_label(c), R.cost_range(c)["high"])
-    assert got == [(0.0, "free", None), (25.0, "$25", None), (12.5, "$12.50", None), (None, "$5 to $15", 15.0), (None, None, None), (9.0, "EUR 9", None), (0.0, "free", None), (None, "See site", None)]
+    assert got == [(0.0, "free", None), (25.0, "$25", None), (12.5, "$12.50", None), (None, "$5 to $15", 15.0), (None, None, None), (9.0, "EUR 9", None), (0.0, "free", None), (None, None, None)]
     offers = [r[0] for r in values(spark, rows[:4], R.offer(c, F.lit("http://x.y")))]
     assert '"@type":"AggregateOffer"' in offers[3] and '"price":25.0' in offers[1]
 
@@ -198,3 +198,39 @@ def test_a_query_without_numbers_does_not_sort_for_them(spark):
 
     plan = listing(spark, SF).groupBy("city_key").count()._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan
+
+
+def test_settled_pairs_look_at_places_and_links(spark):
+    rows = [
+        (1, "c", "Trivia Night", "2026-03-03T19:00:00", "The Triffid", "https://a.org/x"),
+        (2, "c", "Trivia night!", "2026-03-03T19:00:00", "The Triffid, Newstead", "https://b.org/"),
+        (3, "c", "Trivia Night", "2026-03-03", "Junk Bar", ""),
+        (4, "c", "Strong is the new pretty", "2026-03-03", "South Bank Parklands", ""),
+        (5, "c", "Strong is the new pretty", "2026-03-03", "Playhouse, QPAC", ""),
+        (6, "c", "Trivia Night", "2026-03-04", "The Triffid", "https://b.org/"),
+        (7, "c", "Trivia Night", "2026-03-04", "The Triffid", "https://c.org/y"),
+    ]
+    events = spark.createDataFrame(rows, "ord long, city_key string, title string, datetime_iso string, location string, link string")
+    got = dedupe.block_pairs(events, "city_key", place=F.col("location"), link=F.col("link")).filter("settled").collect()
+    assert {(r.a, r.b) for r in got} == {(1, 2), (4, 5), (1, 6), (2, 7), (6, 7)}
+    blind = dedupe.block_pairs(events, "city_key").filter("settled").collect()
+    assert {(r.a, r.b) for r in blind} == set()
+
+
+def test_places_and_acronyms(spark):
+    rows = [("queensland performing arts centre south brisbane", "playhouse qpac"), ("the triffid", "the triffid newstead"), ("", "x"), ("junk bar", "netherworld"), ("city hall", "city hill park"), ("old museum brisbane", "old museum annex")]
+    got = values(spark, rows, L.acronym_match(F.col("c0"), F.col("c1")), L.venues_agree(F.col("c0"), F.col("c1")))
+    assert got == [(True, True), (False, True), (False, True), (False, False), (False, True), (False, True)]
+
+
+def test_tiers_windows_and_prices(spark):
+    from marquee.functions import records as R
+    from marquee.functions.dates import date_window
+
+    rows = [(["a", "b"], ["a"], ["b"]), (["a"], ["a"], []), (["c"], ["a"], ["b"]), (["a"], None, None)]
+    df = spark.createDataFrame(rows, "t array<string>, w array<string>, u array<string>")
+    assert [r[0] for r in df.select(L.pref_tier(F.col("t"), F.col("w"), F.col("u"))).collect()] == [-1, 1, 0, 0]
+    assert date_window("2026-03-02", "2026-03-08", "2026-03-15") == ("2026-03-15", "2026-03-15")
+    assert date_window("2026-03-02", "2026-03-08", "2026-03-16") == ("2026-03-02", "2026-03-15")
+    labels = [r[0] for r in values(spark, [("See link",), ("TBA",), ("$20",), ("from $20",), ("?",), ("Free entry",)], R.cost_label(F.col("c0")))]
+    assert labels == [None, None, "$20", "from $20", None, "free"]
