@@ -214,8 +214,8 @@ def links(fps: DataFrame, distance: int = DISTANCE, crowd: int = CROWD) -> DataF
     return rows.mapInArrow(run, "u long, v long").distinct()
 
 
-def stars(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """node, root for every node of the edges u, v: large and small stars in turn until nothing changes."""
+def stars(edges: DataFrame, most_rounds: int = 200) -> DataFrame:
+    """node, root for every node of the edges u, v: large and small stars in turn until nothing changes; an error if that takes more than most_rounds."""
     edges = common.cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct())
     seen = None
     for _ in range(most_rounds):
@@ -229,9 +229,9 @@ def stars(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         edges = common.cut(small)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.count_if(F.lit(False))).first()
         if now == seen:
-            break
+            return edges.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
         seen = now
-    return edges.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
+    raise RuntimeError(f"components not settled after {most_rounds} rounds")
 
 
 def with_components(rows: DataFrame, distance: int = DISTANCE, crowd: int = CROWD) -> DataFrame:
