@@ -241,4 +241,4 @@ def distinct(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILA
     slim = common.cut(prefixes(rows, shingle, share, *common_values(rows, shingle)).withColumn("_row", F.monotonically_increasing_id()))
     groups = common.cut(slim.groupBy("k1", "k2").agg(simhash.first_row("_row").alias("first")).select("first", F.col("first._row").alias("node")))
     one = slim.join(groups.select("node").hint("shuffle_hash"), F.col("_row") == F.col("node"), "left_semi")
-    return simhash.one_of_each(rows, groups, links(one, rows, shingle, share))
+    return simhash.one_of_each(rows, slim.select("r1", "r2"), groups, links(one, rows, shingle, share))

@@ -260,13 +260,23 @@ def first_row(*more: str) -> Column:
     return F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "r1", "r2", *more))
 
 
-def one_of_each(rows: DataFrame, groups: DataFrame, edges: DataFrame) -> DataFrame:
-    """One of the keyed rows of each component. groups: node and first, the group's row that stays; edges: u, v between nodes."""
+def one_of_each(rows: DataFrame, keys: DataFrame, groups: DataFrame, edges: DataFrame) -> DataFrame:
+    """One of the keyed rows of each component. keys: r1 and r2 of all rows; groups: node and first, the group's row that stays; edges: u, v between nodes.
+
+    Most rows stay where they are: the table that meets them names only those that go and those that are repeated."""
     roots = stars(edges).withColumnRenamed("node", "_n")
     linked = groups.join(roots, groups["node"] == roots["_n"], "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
-    kept = linked.select(F.col("first.r1").alias("_k1"), F.col("first.r2").alias("_k2"))
-    rows = rows.select("r1", "r2", "doc").join(kept.hint("shuffle_hash"), (F.col("r1") == F.col("_k1")) & (F.col("r2") == F.col("_k2")), "left_semi")
-    return rows.withColumn("_n", F.row_number().over(Window.partitionBy("r1", "r2").orderBy("r1"))).filter("_n = 1").select("doc.*")
+    kept = linked.select(F.col("first.r1").alias("r1"), F.col("first.r2").alias("r2"), F.lit(True).alias("_stays"))
+    counted = keys.groupBy("r1", "r2").agg(F.count(F.lit(1)).alias("_times")).join(kept.hint("shuffle_hash"), ["r1", "r2"], "left")
+    named = common.cut(counted.filter("_stays is null or _times > 1").select("r1", "r2", F.col("_stays").isNotNull().alias("_again")))
+    found = common.with_table(rows.select("r1", "r2", "doc"), named, ["r1", "r2"])
+    whole = found.filter("_again is null").select("doc.*")
+    again = named.filter("_again").select("r1", "r2")
+    if again.isEmpty():
+        return whole
+    repeated = common.with_table(rows.select("r1", "r2", "doc"), again, ["r1", "r2"], "inner")
+    one = repeated.withColumn("_n", F.row_number().over(Window.partitionBy("r1", "r2").orderBy("r1"))).filter("_n = 1")
+    return whole.union(one.select("doc.*"))
 
 
 def distinct(docs: DataFrame, distance: int = DISTANCE, crowd: int = CROWD) -> DataFrame:
@@ -274,4 +284,4 @@ def distinct(docs: DataFrame, distance: int = DISTANCE, crowd: int = CROWD) -> D
     rows = keyed(docs)
     slim = fingerprints(rows, F.col("r1"), F.col("r2"), F.col("doc_id"))
     groups = common.cut(slim.groupBy("fp").agg(first_row().alias("first")).withColumnRenamed("fp", "node"))
-    return one_of_each(rows, groups, links(groups.select(F.col("node").alias("fp")), distance, crowd))
+    return one_of_each(rows, rows.select("r1", "r2"), groups, links(groups.select(F.col("node").alias("fp")), distance, crowd))
