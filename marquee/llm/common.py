@@ -61,7 +61,12 @@ def cut(df: DataFrame) -> DataFrame:
 def columnar(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all values as one array, and the n + 1 offsets of the values in it. Null is empty."""
     column = column.fill_null("") if column.null_count else column
-    column = column.cast(pa.large_string()).cast(pa.large_binary())
+    return columnar_bytes(column.cast(pa.large_string()))
+
+
+def columnar_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The same of binary values or strings without nulls."""
+    column = column.cast(pa.large_binary())
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()

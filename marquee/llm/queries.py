@@ -1,11 +1,11 @@
-"""The queries op1_ to op10_ and pipeline, and their SQL."""
+"""The queries op1_ to op13_ and pipeline, and their SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import langid, mixing, mtree, packing, quality, recompress, secrets, simhash, suffixes, toxicity
+from marquee.llm import annulus, hidden, langid, mixing, mtree, packing, quality, recompress, secrets, simhash, suffixes, toxicity, turns
 from marquee.llm.common import documents
 
 
@@ -49,6 +49,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.rate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair(turns.damage(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
+def op12_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hidden.score(documents(spark, sf_dir))
+
+
+def op13_annulus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annulus.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -66,6 +78,9 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
+    "op11_turns": op11_turns,
+    "op12_hidden_markov": op12_hidden_markov,
+    "op13_annulus": op13_annulus,
     "pipeline": pipeline,
 }
-ORACLES = {"op3_mtree": mtree.ORACLE, "op8_secrets": secrets.ORACLE, "op9_mixing": mixing.ORACLE}
+ORACLES = {"op3_mtree": mtree.ORACLE, "op8_secrets": secrets.ORACLE, "op9_mixing": mixing.ORACLE, "op11_turns": turns.ORACLE, "op13_annulus": annulus.ORACLE}
