@@ -47,9 +47,11 @@ RULES = (
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
 )
 BASE = ("assign", "access", "hex")
-#: For masking, the pem rule goes on to the END line, or without one to the end of the base64 block.
+#: For masking, the pem rule goes on to the END line, or without one over what follows in base64: runs of 24 characters or more, whole
+#: lines of 8 or more, and a last shorter line. Groups repeat possessively, so blocks of any length are matched without recursion.
 _PEM = next(r.pattern for r in RULES if r.kind == "pem")
-_KEY = r"(?:(?:\s*(?:Proc-Type|DEK-Info):[^\r\n]*){0,4}(?:[^-]*-----END [A-Z ]*PRIVATE KEY-----|(?:(?:\s|\\[nr])*[A-Za-z0-9+/]{40,}={0,2}){1,1000}(?:[\r\n]+[A-Za-z0-9+/]{1,76}={0,2}(?![^\r\n]))?))?"
+_BASE64 = r"(?:(?:\s|\\[nr])*+[A-Za-z0-9+/]{24,}+={0,2}+|[\r\n]++[A-Za-z0-9+/]{8,}+={0,2}+(?![^\r\n]))++(?:[\r\n]++[A-Za-z0-9+/]{1,76}+={0,2}+(?![^\r\n]))?"
+_KEY = rf"(?:(?:\s*(?:Proc-Type|DEK-Info):[^\r\n]*){{0,4}}(?:[^-]*-----END [A-Z ]*PRIVATE KEY-----|{_BASE64}))?"
 MASKED = tuple(Rule(r.kind, r.pattern + _KEY) if r.kind == "pem" else r for r in RULES)
 MOST_STRINGS = 64
 FEW = 64

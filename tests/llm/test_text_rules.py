@@ -163,6 +163,17 @@ def test_whole_keys_are_masked(spark):
     assert sorted(r.text for r in got) == sorted(texts)
 
 
+def test_keys_of_any_length_are_masked(spark):
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    rows = []
+    for n in (10, 1000, 100_000):
+        for width in (16, 32, 64, 76):
+            block = "\n".join(["abCD12+/" * 10][0][:width] for _ in range(n))
+            rows += [(f"a {begin}\n{block}\n{end} b",), (f"a {begin}\n{block}\nc2hvcnQ=\nb c d",)]
+    got = {r.text for r in secrets.redact(spark.createDataFrame(rows, "text string")).collect()}
+    assert got == {"a [SECRET] b", "a [SECRET]\nb c d"}
+
+
 def mcd(x):
     """A plain version of one group's estimate: starts, concentration steps by bins of the distance, least determinant."""
     floors = np.diag(np.square(quality.FLOORS))
