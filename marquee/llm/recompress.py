@@ -17,8 +17,8 @@ with. A window's candidates are the phrases whose range lies inside it; of those
 without any (long runs and periods leave none) takes the least symbol of level ROUNDS inside it, else the least word. So
 equal windows have equal names wherever they stand, and no repeat is lost.
 
-Windows count as equal by 96 bits of two hashes with keys of their own over the bytes of their words (64 bits alone would
-collide at 10 ** 10 windows); names, 48 bits, only find candidates.
+Windows count as equal by 96 bits of two hashes over the two halves of their words' XXH128 (64 bits alone would collide at
+10 ** 10 windows, and a polynomial over bytes collides on words that are built for it); names, 48 bits, only find candidates.
 
 Cases: a null or empty text has no words and keeps none; documents under 50 words keep all; rows with a null doc_id are
 neither smaller nor larger than others, so they keep all and remove nothing; rows that repeat a doc_id don't remove each
@@ -31,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -165,21 +166,29 @@ class Words:
     doc: np.ndarray
 
 
+def word_names(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both halves of the XXH128 of each word's bytes; each distinct word is hashed once."""
+    if not len(start):
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    at = np.append(0, np.cumsum(end - start)).astype(np.int64)
+    body = data[~common._SPACE[data]]
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(body.tobytes())]).dictionary_encode()
+    halves = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words.dictionary.to_pylist())), "<u8").reshape(-1, 2)
+    places = words.indices.to_numpy()
+    return np.ascontiguousarray(halves[places, 0]), np.ascontiguousarray(halves[places, 1])
+
+
 def read(data: np.ndarray, offsets: np.ndarray, exact: bool = False) -> Words:
     """exact: the second hashes too."""
     start, end, counts = common.word_spans(data, offsets)
-    words = common.span_hash(common.prefix_hash(common.BYTE_KEYS[data]), start, end)
-    other = common.span_hash(common.prefix_hash(SECOND_KEYS[data]), start, end) if exact else words[:0]
+    words, other = word_names(data, start, end)
+    other = other if exact else words[:0]
     doc = np.repeat(np.arange(len(counts)), counts)
     at = np.arange(max(0, len(words) - WINDOW + 1))
     at = at[doc[at] == doc[at + WINDOW - 1]]
     return Words(common.prefix_hash(words), common.prefix_hash(other), np.append(0, np.cumsum(counts)), words, symbols(words, doc), at, doc[at])
 
 
-#: Keys of the second hash: another bijection of those of the first.
-SECOND_KEYS = common.mix(common.BYTE_KEYS + np.uint64(common.BASE)) | np.uint64(1)
-
-
 def window_names(w: Words) -> tuple[np.ndarray, np.ndarray]:
     """For each window the name of what stands for it, and that of its longest symbol; both are the same where no phrase does."""
     found, longest = phrases(w.symbols, w.first[1:])
@@ -299,7 +308,7 @@ def covered(starts: np.ndarray, n: int, width: int = WINDOW) -> np.ndarray:
 def dedup(docs: DataFrame, texts: bool = False) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256; texts: kept_text too."""
     common.small_batches(docs.sparkSession)
-    rows = repeats.keyed(docs)
+    rows = repeats.once(repeats.keyed(docs))
     found = removed_windows(rows, common.bucket_count(rows))
 
     def run(batches):
@@ -319,7 +328,7 @@ def dedup(docs: DataFrame, texts: bool = False) -> DataFrame:
             names = list(out) if texts else list(out)[:-1]
             yield pa.RecordBatch.from_arrays([pa.array(out[k], t) for k, t in zip(names, kinds, strict=False)], names)
 
-    with_lists = repeats.with_found(rows, found).select("doc_id", "text", "found")
+    with_lists = common.times(repeats.with_found(rows, found), F.col("copies")).select("doc_id", "text", "found")
     return with_lists.mapInArrow(run, RESULT + (", kept_text string" if texts else ""))
 
 

@@ -136,6 +136,17 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash(text).alias("text_hash"), text.alias("text"))
 
 
+def once(rows: DataFrame) -> DataFrame:
+    """The rows of keyed() with a number of copies: rows that are equal in doc_id and text become one. Only texts of repeated keys are shuffled."""
+    keys = ["doc_id", "text_hash"]
+    repeated = common.cut(rows.groupBy(*keys).count().filter("count > 1").select(*keys, F.lit(True).alias("repeated")))
+    if repeated.isEmpty():
+        return rows.withColumn("copies", F.lit(1))
+    marked = common.with_table(rows, repeated, keys)
+    one = marked.filter("repeated is null").select(*keys, "text", F.lit(1).alias("copies"))
+    return one.unionByName(marked.filter("repeated").groupBy(*keys, "text").agg(F.count("*").cast("int").alias("copies")))
+
+
 def by_bucket(moved: DataFrame, buckets: int, run: Callable, schema: str = FOUND) -> DataFrame:
     return moved.repartition(min(buckets, TASKS), "bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
 

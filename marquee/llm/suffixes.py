@@ -20,6 +20,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from marquee.llm import common, repeats
 from marquee.llm.recompress import covered
@@ -308,7 +309,7 @@ def kept_spans(gone: np.ndarray, n: int) -> np.ndarray:
 def dedup(docs: DataFrame, texts: bool = False) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256; texts: kept, the bytes, too."""
     common.small_batches(docs.sparkSession)
-    rows = repeats.keyed(docs)
+    rows = repeats.once(repeats.keyed(docs))
     found = removed_windows(rows, common.bucket_count(rows))
 
     def run(batches):
@@ -327,4 +328,5 @@ def dedup(docs: DataFrame, texts: bool = False) -> DataFrame:
             names = list(out) if texts else list(out)[:-1]
             yield pa.RecordBatch.from_arrays([pa.array(out[k], t) for k, t in zip(names, kinds, strict=False)], names)
 
-    return repeats.with_found(rows, found).select("doc_id", "text", "found").mapInArrow(run, RESULT + (", kept binary" if texts else ""))
+    with_lists = common.times(repeats.with_found(rows, found), F.col("copies")).select("doc_id", "text", "found")
+    return with_lists.mapInArrow(run, RESULT + (", kept binary" if texts else ""))

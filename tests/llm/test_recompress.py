@@ -31,6 +31,23 @@ def test_against_brute_force(odd_documents):
     assert sum(r[2] for r in got) > 1000
 
 
+def test_words_that_collide_modulo_a_power_of_two_stay(spark):
+    a = "a"
+    for _ in range(10):
+        a += a.translate(str.maketrans("ab", "ba"))
+    tail = " ".join(f"w{i}" for i in range(49))
+    rows = [(1, f"{a} {tail}"), (2, f"{a.translate(str.maketrans('ab', 'ba'))} {tail}")]
+    got = sorted(tuple(r) for r in recompress.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == brute(rows) and got[1][2] == 0
+
+
+def test_repeated_rows_cost_no_square(spark):
+    text = " ".join(f"word{i}" for i in range(700))
+    rows = [(5, text)] * 2000 + [(9, text + " more"), (2, " ".join(text.split()[:60])), (None, text), (None, text)]
+    got = sorted((tuple(r) for r in recompress.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == brute(rows)
+
+
 def test_empty_table(no_documents):
     assert recompress.dedup(no_documents).collect() == []
 
