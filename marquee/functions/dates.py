@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from marquee import model
+
 from marquee.functions.listing import day
 
 ISO_DAY = "yyyy-MM-dd"
@@ -94,14 +96,13 @@ def start_minutes(start: Column) -> Column:
     return F.when(_timed(start), F.substring(start, 12, 2).cast("int") * 60 + F.substring(start, 15, 2).cast("int"))
 
 
+#: A word's edge by ASCII letters, as the fixed patterns mean it; Java's own also knows other letters.
+_EDGE = r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))"
+
+
 def date_hits(text: Column) -> Column:
     """How many things in a text look like dates or times."""
-    months = "jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec"
-    patterns = (r"\b\d{4}-\d{2}-\d{2}\b", r"\b\d{1,2}/\d{1,2}/\d{2,4}\b", rf"(?i)\b\d{{1,2}}(st|nd|rd|th)?\s+({months})", rf"(?i)\b({months})[a-z]*\.?\s+\d{{1,2}}\b", r"(?i)\b\d{1,2}(:\d{2})?\s*(am|pm)\b")
-    total = F.lit(0)
-    for p in patterns:
-        total = total + F.regexp_count(text, F.lit(p))
-    return total
+    return sum((F.regexp_count(text, F.lit(p.replace(r"\b", _EDGE))) for p in model.DATE_HITS), F.lit(0))
 
 
 def date_window(week_start: str, week_end: str, today: str) -> tuple[str, str]:

@@ -55,3 +55,15 @@ TASTE_LEAST, TASTE_CURVE, TASTE_MOST = 3, 1.5, 4.0
 LEAST_TAG_WEIGHT = 0.1
 EARTH_KM = 6371.0
 LEDGER_WEEKS = 26
+# Fixed values of the crawl: paths of listings, paths of what is over, other regions.
+LISTING_PATH = r"(?i)/(whats[-_]?on|what-s-on|events?|event[-_]?calendar|calendar|shows?|performances?|programme?|line[-_]?up|gigs?|gig[-_]?guide|upcoming|exhibitions?|workshops?|classes|screenings?|buy[-_]?tickets|tickets?|this[-_]?week)(/|$|\?)"
+ARCHIVE_PATH = r"(?i)/(past|previous|archive|history|gallery|galleries|recap|wrap-?up)"
+OTHER_REGION = r"(?i)(melbourne|sydney|adelaide|perth|hobart|darwin|canberra|newcastle|wollongong|geelong|auckland|wellington|new-zealand|\bnsw\b|\bvic\b|\bwa\b|\bsa\b|\bnt\b|\btas\b|\bact\b)"
+# What counts as a date in a text.
+DATE_HITS = (
+    r"(?i)\b(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\b",
+    r"(?i)\b(mon|tue|wed|thu|fri|sat|sun)[a-z]*\b",
+    r"\b\d{1,2}/\d{1,2}(/\d{2,4})?\b",
+    r"\b\d{4}-\d{2}-\d{2}\b",
+    r"(?i)\b\d{1,2}\s*(am|pm)\b",
+)
