@@ -50,8 +50,8 @@ def _days(freq: Column, start: Column, i: Column, step: Column, byday: Column, b
     return F.when(freq == "DAILY", daily).when(freq == "WEEKLY", weekly).when(freq == "MONTHLY", of_month(F.add_months(month, i * step).cast("date"))).otherwise(of_month(F.add_months(month, i * step * 12).cast("date")))
 
 
-def instances(window_start: str, window_end: str) -> Column:
-    """Array of the starts of a series in the window, in order: the rule's own with COUNT and UNTIL, and RDATE, without EXDATE.
+def instances(low: Column, high: Column) -> Column:
+    """Array of the starts of a series from low to high, in order: the rule's own with COUNT and UNTIL, and RDATE, without EXDATE.
 
     Columns: start, freq (null or another than DAILY, WEEKLY, MONTHLY, YEARLY: no rule), step, count, until, byday, bymonthday, rdates,
     exdates. A series without rule or RDATE is its start, in the window or not; UNTIL belongs to the rule.
@@ -61,7 +61,6 @@ def instances(window_start: str, window_end: str) -> Column:
     step = F.greatest(F.coalesce("step", F.lit(1)), F.lit(1))
     length = F.when(c("freq") == "DAILY", 1).when(c("freq") == "WEEKLY", 7).when(c("freq") == "MONTHLY", 31).otherwise(366) * step
     shortest = F.when(c("freq") == "DAILY", 1).when(c("freq") == "WEEKLY", 7).when(c("freq") == "MONTHLY", 28).otherwise(365) * step
-    low, high = F.lit(window_start).cast("timestamp_ntz"), F.lit(window_end).cast("timestamp_ntz")
     skipped = F.when(c("count").isNull(), F.greatest(F.lit(0), F.floor(F.date_diff(F.to_date(low), start) / length).cast("int") - 1)).otherwise(F.lit(0))
     end = F.least(high, F.coalesce("until", high))
     most = F.least(F.lit(STEPS - 1), F.floor(F.date_diff(F.to_date(end), start) / shortest).cast("int") + 1)
@@ -82,9 +81,12 @@ def expand(series: DataFrame, overrides: DataFrame | None, window_start: str, wi
 
     series: uid (unique), start, end and the columns of `instances`. overrides: uid, recurrence_id, start, end, each standing for the instance that
     would have begun at recurrence_id; those of no instance count for nothing, and of several for one instance the latest start wins. Whether an
-    instance is in the window is judged by the time it replaces. Series without a start give nothing; the end keeps the first instance's length.
+    instance is in the window is judged by the time it replaces; with a column zone the window is in UTC, else wall clock. Series without a start give nothing; the end keeps the first instance's length.
     """
-    rows = series.filter("start is not null").select("uid", F.explode(instances(window_start, window_end)).alias("recurrence_id"), (F.col("end") - F.col("start")).alias("_length"))
+    edge = lambda t: F.lit(t).cast("timestamp_ntz")
+    if "zone" in series.columns:
+        edge = lambda t: F.coalesce(F.convert_timezone(F.lit("UTC"), F.col("zone"), F.lit(t).cast("timestamp_ntz")), F.lit(t).cast("timestamp_ntz"))
+    rows = series.filter("start is not null").select("uid", F.explode(instances(edge(window_start), edge(window_end))).alias("recurrence_id"), (F.col("end") - F.col("start")).alias("_length"))
     rows = rows.select("uid", "recurrence_id", F.col("recurrence_id").alias("start"), (F.col("recurrence_id") + F.col("_length")).alias("end"))
     if overrides is None:
         return rows

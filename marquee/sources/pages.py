@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marquee.sources import shapes
+from marquee.sources import shapes, streams
 
 FIELDS = ("title", "description", "start", "end", "venue", "address", "url", "price", "image", "organiser")
 RECORD = "page_id long, rung int, via string, " + ", ".join(f"{f} string" for f in FIELDS)
@@ -24,6 +24,9 @@ PLACE = re.compile(r"^(venue|location|place|venuename)$", re.I)
 LINK = re.compile(r"^(url|link|permalink|href)$", re.I)
 DATE = re.compile(r"\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|^\d{10}(\d{3})?$")
 SCRIPT = re.compile(r"<script([^>]*)>(.*?)</script>", re.I | re.S)
+# How frameworks assign the state of a page.
+HYDRATED = [re.compile(p + r"\s*=\s*(\{[\s\S]*?\});?\s*</script>", re.I) for p in (r"window\.__NUXT__", r"window\.__remixContext", r"__sveltekit_[a-z0-9]+")]
+FLIGHT = re.compile(streams.CHUNK)
 HORIZON, STEPS = timedelta(days=60), 5000
 
 
@@ -141,6 +144,24 @@ def _occurrences(event: dict, now: datetime) -> list[dict]:
     return [fields | {"start": s.strftime(form), "end": (s + length).strftime(form) if length else None} for s in starts if s not in gone]
 
 
+def hydration(body: str) -> list:
+    """The JSON that frameworks leave in scripts without a type of their own: assigned objects and streamed payloads."""
+    out = []
+    for pattern in HYDRATED:
+        m = pattern.search(body)
+        try:
+            out += [json.loads(m[1])] if m else []
+        except ValueError:
+            pass
+    chunks = []
+    for chunk in FLIGHT.findall(body):
+        try:
+            chunks.append(json.loads(chunk))
+        except ValueError:
+            pass
+    return out + [json.loads(v) for v in streams.values_of("".join(chunks))]
+
+
 def records(body: str | None, now: datetime) -> list[tuple[int, str, dict]]:
     """(rung, via, fields) of everything a page yields on the first rung that answers."""
     body = body or ""
@@ -167,6 +188,7 @@ def records(body: str | None, now: datetime) -> list[tuple[int, str, dict]]:
                 blobs[kind].append(json.loads(script))
             except ValueError:
                 pass
+    blobs["embedded"] += hydration(body)
     for rung, kind, take in ((2, "jsonld", json_ld), (3, "embedded", picked)):
         found = [(rung, kind, r) for blob in blobs[kind] for node in walk(blob) if (r := take(node))]
         if found:

@@ -248,3 +248,13 @@ def test_a_second_run_asks_nothing(spark, tmp_path):
     assert misses.count() == 0 and sorted(((r.id, r.answer) for r in hits.collect())) == [(1, "A"), (2, "B"), (3, "A"), (5, None)]
     assert caches.asked(rows, "text", store, "v2")[1].count() == 3
     assert caches.added(store, answers, "v1").count() == 3
+
+
+def test_hydration_is_a_rung_of_the_ladder():
+    from marquee.sources import pages
+
+    node = {"deep": [{"title": "Gig", "startDate": "2026-09-05T19:30", "venue": "Hall"}]}
+    bodies = [f"<script>window.__NUXT__ = {json.dumps(node)};</script>", f"<script>__sveltekit_ab1={json.dumps(node)}</script>", f"<script>window.__remixContext = {json.dumps(node)};\n</script>", chunked("1a:" + json.dumps(node), 9)]
+    for body in bodies:
+        assert [(rung, via, r["title"], r["venue"]) for rung, via, r in pages.records(body, datetime(2026, 9, 1))] == [(3, "embedded", "Gig", "Hall")]
+    assert pages.records("<script>window.__NUXT__={a:1}</script>" + chunked("1a:{", 9), datetime(2026, 9, 1)) == []
