@@ -109,6 +109,12 @@ def bigrams(text: Column) -> Column:
     return F.when(n > 1, F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substr(text, i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
 
 
+def numbered_bigrams(text: Column) -> Column:
+    """The bigrams, repeated ones numbered, so that the multisets of two texts share as many as these sets."""
+    two = F.array_sort(bigrams(text))
+    return F.transform(two, lambda b, i: F.concat(b, F.lit("#"), (i - F.array_position(two, b) + 1).cast("string")))
+
+
 def dice(a: Column, b: Column) -> Column:
     """Dice similarity of the bigram multisets; 1 for equal texts, 0 if either is under two characters."""
     x, y = bigrams(a), bigrams(b)
@@ -117,10 +123,10 @@ def dice(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).when((F.size(x) == 0) | (F.size(y) == 0), 0.0).otherwise(2.0 * shared / (F.size(x) + F.size(y)))
 
 
-def titles_match(a: Column, b: Column) -> Column:
-    """Equal, one the start of the other (6 letters at least), or alike by bigrams."""
+def titles_match(a: Column, b: Column, similarity: Column | None = None) -> Column:
+    """Equal, one the start of the other (6 letters at least), or alike by bigrams: their dice, if it isn't given."""
     start = (F.length(a) >= 6) & (F.length(b) >= 6) & (F.startswith(a, b) | F.startswith(b, a))
-    return (a != "") & (b != "") & ((a == b) | start | (dice(a, b) > 0.85))
+    return (a != "") & (b != "") & ((a == b) | start | ((dice(a, b) if similarity is None else similarity) > 0.85))
 
 
 def host(url: Column) -> Column:

@@ -15,21 +15,54 @@ def _titled(events: DataFrame, by: tuple[str, ...], place: Column | None, link:
     return events.select(*by, "ord", L.day(F.col("datetime_iso")).alias("d"), L.normal_text(F.col("title")).alias("t"), p.alias("p"), s.alias("s")).filter("d is not null and t <> ''")
 
 
-def block_pairs(events: DataFrame, *by: str, place: Column | None = None, link: Column | None = None) -> DataFrame:
+#: Similarity from which titles are one, from which somebody has to say, and how many pairs are asked about.
+SAME, MAYBE, ASKED = 0.85, 0.45, 3000
+
+
+def block_pairs(events: DataFrame, *by: str, place: Column | None = None, link: Column | None = None, maybe: float = MAYBE) -> DataFrame:
     """Pairs a < b (by ord) on the same day or neighbouring days, with the block as an equi-join key, their similarity, and whether they are settled as one.
 
     On one day titles must match, and places agree unless the title is distinctive. On neighbouring days titles must be alike,
-    places agree, and just one of the two have a link of its own. Without place or link nothing is known of them.
+    places agree, and just one of the two have a link of its own. Without place or link nothing is known of them. kind is settled, candidate or none:
+    candidates are matching titles at places that don't agree, and titles alike by `maybe` at least; neither is merged without an answer.
     Rows with the same block, title, place and link are compared once through their representatives, so a title repeated n times costs n rows, not n squared."""
-    distinct = _titled(events, by, place, link).groupBy(*by, "d", "t", "p", "s").agg(F.min("ord").alias("ord"))
-    side = lambda n, ord_: [F.col(c).alias(f"{c}{n}") for c in ("d", "t", "p", "s")] + [F.col("ord").alias(ord_)]
+    distinct = _titled(events, by, place, link).groupBy(*by, "d", "t", "p", "s").agg(F.min("ord").alias("ord")).withColumn("g", L.numbered_bigrams(F.col("t")))
+    side = lambda n, ord_: [F.col(c).alias(f"{c}{n}") for c in ("d", "t", "p", "s", "g")] + [F.col("ord").alias(ord_)]
     left = distinct.select(*by, F.explode(F.array("d", F.date_format(F.date_add(F.col("d").cast("date"), 1), "yyyy-MM-dd"))).alias("block"), *side(1, "a"))
     right = distinct.select(*by, F.col("d").alias("block"), *side(2, "b"))
     pairs = left.join(right, [*by, "block"]).filter("d1 < d2 or (d1 = d2 and a < b)")
-    same_day, agree = F.col("d1") == F.col("d2"), L.venues_agree(F.col("p1"), F.col("p2"))
-    near = pairs.withColumn("sim", L.dice(F.col("t1"), F.col("t2")))
-    settled = F.when(same_day, L.titles_match(F.col("t1"), F.col("t2")) & (agree | L.distinctive_title(F.col("t1")))).otherwise((F.col("sim") >= 0.85) & agree & (F.col("s1") != F.col("s2")))
-    return near.select(*by, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), same_day.alias("same_day"), "sim", settled.alias("settled"))
+    same_day, agree, match = F.col("d1") == F.col("d2"), L.venues_agree(F.col("p1"), F.col("p2")), L.titles_match(F.col("t1"), F.col("t2"), F.col("sim"))
+    n, m = F.size("g1"), F.size("g2")
+    sim = F.when(F.col("t1") == F.col("t2"), 1.0).when((n == 0) | (m == 0), 0.0).otherwise(2.0 * F.size(F.array_intersect("g1", "g2")) / (n + m))
+    near = pairs.withColumn("sim", sim)
+    settled = F.when(same_day, match & (agree | L.distinctive_title(F.col("t1")))).otherwise((F.col("sim") >= 0.85) & agree & (F.col("s1") != F.col("s2")))
+    open_ = F.when(same_day, match | ((F.col("sim") >= maybe) & (F.col("sim") < SAME))).otherwise(F.col("sim") >= maybe)
+    kind = F.when(settled, "settled").when(open_, "candidate").otherwise("none")
+    return near.select(*by, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), same_day.alias("same_day"), "sim", settled.alias("settled"), kind.alias("kind"))
+
+
+def to_ask(pairs: DataFrame, *by: str, most: int = ASKED) -> DataFrame:
+    """The candidates of block_pairs that are asked about: the first `most` of each `by`, by a and b."""
+    w = Window.partitionBy(*by).orderBy("a", "b")
+    return pairs.filter("kind = 'candidate'").withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= most).drop("_n")
+
+
+def confirmed(pairs: DataFrame, answers: DataFrame) -> DataFrame:
+    """a, b of the pairs that are one: settled ones, and candidates with an answer (a, b, same) that says so. No answer, null and contradictory ones mean no."""
+    yes = answers.groupBy("a", "b").agg(F.min(F.coalesce("same", F.lit(False))).alias("_same")).filter("_same").select("a", "b")
+    said = pairs.filter("kind = 'candidate'").select("a", "b").join(yes, ["a", "b"], "left_semi")
+    return pairs.filter("kind = 'settled'").select("a", "b").unionByName(said).distinct()
+
+
+def dedupe_stats(events: DataFrame, pairs: DataFrame, asked: DataFrame, links: DataFrame, comps: DataFrame) -> DataFrame:
+    """One row: input, settled_pairs, asked_pairs, confirmed, removed, output. comps: ord, comp of all events."""
+    n = lambda df, name, x=F.count(F.lit(1)): df.agg(x.cast("long").alias(name))
+    settled = pairs.filter("kind = 'settled'")
+    parts = [n(events, "input"), n(settled, "settled_pairs"), n(asked, "asked_pairs"), n(links.join(settled, ["a", "b"], "left_anti"), "confirmed"), n(comps.filter("ord <> comp"), "removed"), n(comps.filter("ord = comp"), "output")]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.join(part)  # one row each
+    return out
 
 
 def same_title_links(events: DataFrame, *by: str, place: Column | None = None) -> DataFrame:

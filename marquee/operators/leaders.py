@@ -17,19 +17,13 @@ ALIKE = 0.85
 PREFIX = 6
 
 
-def _bigrams(text: Column) -> Column:
-    """The bigrams, repeated ones numbered, so that the multisets of two texts share as many as their sets."""
-    two = F.array_sort(L.bigrams(text))
-    return F.transform(two, lambda b, i: F.concat(b, F.lit("#"), (i - F.array_position(two, b) + 1).cast("string")))
-
-
 def similar_titles(titles: DataFrame, alike: float = ALIKE) -> DataFrame:
     """block, a, b of titles (block, t; each once) of which one starts the other, both of 6 letters at least, or whose dice is over `alike`; a < b.
 
     A pair over the threshold shares one of the first bigrams of each, rarest first; prefixes share their first letters. Both are
     equi-joins with the block, so no title meets all others of it.
     """
-    rows = titles.withColumn("g", _bigrams(F.col("t")))
+    rows = titles.withColumn("g", L.numbered_bigrams(F.col("t")))
     grams = rows.select("block", "t", F.size("g").alias("n"), F.explode("g").alias("gram"))
     common = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("titles"))
     ranked = grams.join(common, "gram").groupBy("block", "t").agg(F.array_sort(F.collect_list(F.struct("titles", "gram"))).alias("by"), F.max("n").alias("n"))

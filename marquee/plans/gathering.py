@@ -343,3 +343,39 @@ def cached_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = hits.select("page_id", "digest", "answer", F.lit(True).alias("hit"))
     asked = misses.join(of("v2"), "digest").select("page_id", "digest", F.lit(None).cast("string").alias("answer"), F.lit(False).alias("hit"))
     return known.unionByName(asked)
+
+
+_KINDS = _TITLES + """,
+t AS (SELECT item, day, trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g')) AS t FROM ev WHERE day IS NOT NULL),
+u AS (SELECT min(item) AS item, day, t, list_transform(range(1, length(t)), lambda i: t[i:i + 1]) AS x FROM t WHERE t <> '' GROUP BY day, t),
+p AS (SELECT least(l.item, r.item) AS a, greatest(l.item, r.item) AS b, l.day = r.day AS same_day, l.t AS t1, r.t AS t2,
+  CASE WHEN l.t = r.t THEN 1.0 WHEN len(l.x) = 0 OR len(r.x) = 0 THEN 0.0 ELSE 2.0 * list_sum(list_transform(list_distinct(l.x), lambda g: least(len(list_filter(l.x, lambda z: z = g)), len(list_filter(r.x, lambda z: z = g))))) / (len(l.x) + len(r.x)) END AS sim
+  FROM u l JOIN u r ON l.day = r.day AND l.item < r.item OR r.day::DATE = l.day::DATE + 1),
+kinds AS (SELECT a, b, CASE WHEN same_day AND (t1 = t2 OR length(t1) >= 6 AND length(t2) >= 6 AND (starts_with(t1, t2) OR starts_with(t2, t1)) OR sim > 0.85) THEN 'settled' WHEN sim >= 0.45 AND (NOT same_day OR sim < 0.85) THEN 'candidate' END AS kind FROM p)"""
+
+
+def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marquee.operators.dedupe import block_pairs
+
+    rows = _titles(spark, sf_dir).select(F.col("item").alias("ord"), "title", F.coalesce("day", F.lit("")).alias("datetime_iso"), F.lit(1).alias("all"))
+    return block_pairs(rows, "all")
+
+
+@registered(" SELECT a, b, kind FROM kinds WHERE kind IS NOT NULL", _KINDS)
+def pair_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of one day or neighbouring days that are one, or that somebody has to say so about."""
+    return _pairs(spark, sf_dir).filter("kind <> 'none'").select("a", "b", "kind")
+
+
+@registered(
+    """, asked AS (SELECT a, b FROM kinds WHERE kind = 'candidate' QUALIFY row_number() OVER (ORDER BY a, b) <= 3000)
+SELECT a, b FROM kinds WHERE kind = 'settled' UNION SELECT a, b FROM asked WHERE (a + b) % 3 = 0""",
+    _KINDS,
+)
+def confirmed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Settled pairs and those of the first 3000 undecided ones that are answered with yes; a third has no answer."""
+    from marquee.operators.dedupe import confirmed, to_ask
+
+    pairs = _pairs(spark, sf_dir)
+    answers = to_ask(pairs, "all").filter("(a + b) % 3 < 2").select("a", "b", ((F.col("a") + F.col("b")) % 3 == 0).alias("same"))
+    return confirmed(pairs, answers)
