@@ -319,7 +319,10 @@ def usage_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolled.select(F.coalesce("event_type", F.lit("TOTAL")).alias("stage"), "calls", "total")
 
 
-@registered()
+@registered(
+    """ SELECT ord, lower(to_base(list_reduce(list_prepend(0::BIGINT, list_transform(range(1, length(b) + 1), lambda i: ord(substr(b, i, 1))::BIGINT)), lambda h, c: (h * 31 + c) & 4294967295), 36)) AS hash
+FROM (SELECT ord, city_key || '|' || title || '|' || datetime_iso || '|' || location AS b FROM v)"""
+)
 def event_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listing(spark, sf_dir).select("ord", L.event_hash(F.col("city_key"), F.col("title"), F.col("datetime_iso"), F.col("location")).alias("hash"))
 
