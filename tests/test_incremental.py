@@ -84,7 +84,9 @@ def test_times_and_digests():
 def test_reminders_fire_by_the_clock_of_the_stream(spark, tmp_path):
     import json
 
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     source, out, state = tmp_path / "in", tmp_path / "out", tmp_path / "state"
     source.mkdir()
     steps = [
@@ -104,6 +106,7 @@ def test_reminders_fire_by_the_clock_of_the_stream(spark, tmp_path):
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(source))
     query = R.reminders(stream).writeStream.format("parquet").option("checkpointLocation", str(state)).option("path", str(out)).outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
+    spark.conf.set(provider, before)
     got = sorted((r.user_id, r.kind, r.due, r.item, r.title) for r in spark.read.parquet(str(out)).withColumn("due", F.date_format("due", "dd HH:mm")).collect())
     assert got == sorted(
         [
