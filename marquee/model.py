@@ -1,7 +1,16 @@
 """Constants of the listing model."""
 
-# Categories, vibes, time bands, thresholds and word lists that results depend on.
+# Categories with their short names, timeframes, vibes, time bands, thresholds and word lists that results depend on.
 CATEGORIES = ("Public Lecture", "Workshop / Class", "Concert / Music", "Social / Meetup", "Arts / Exhibition", "Community / Other")
+CATEGORY_SLUGS = {
+    "Arts / Exhibition": "arts",
+    "Community / Other": "community",
+    "Concert / Music": "music",
+    "Public Lecture": "talks",
+    "Social / Meetup": "social",
+    "Workshop / Class": "workshops",
+}
+TIMEFRAMES = ("today", "tomorrow", "this-weekend")
 VIBES = ("intellectual", "creative", "hands_on", "social")
 VIBE_LABELS = ("stimulating", "creative", "hands on", "social")
 TOP_PICK = 7.0

@@ -4,7 +4,8 @@
     rows.select("name", "body").write.format("keyed_files").mode("overwrite").option("suffix", ".ics").save(folder)
 
 The folder must be one that the driver and all executors share. Names are paths below it; a row is one file, so a task holds one body at a
-time. A job that fails leaves the old files as they are. Mode overwrite prunes files with the suffix that the job didn't write; append doesn't.
+time. With option pieces, rows of one name that follow each other in a task are one file, written as they come. A job that fails leaves the
+old files as they are. Mode overwrite prunes files with the suffix that the job didn't write; append doesn't.
 """
 
 from __future__ import annotations
@@ -47,24 +48,26 @@ class KeyedFiles(DataSource):
         return "name string, body string"
 
     def writer(self, schema, overwrite: bool) -> DataSourceWriter:
-        return KeyedFilesWriter(self.options["path"].removeprefix("file:"), self.options.get("suffix", ""), overwrite, uuid.uuid4().hex)
+        return KeyedFilesWriter(self.options["path"].removeprefix("file:"), self.options.get("suffix", ""), overwrite, uuid.uuid4().hex, self.options.get("pieces", "false").lower() == "true")
 
 
 class KeyedFilesWriter(DataSourceWriter):
-    def __init__(self, path: str, suffix: str, overwrite: bool, job: str):
-        self.path, self.suffix, self.overwrite = path, suffix, overwrite
+    def __init__(self, path: str, suffix: str, overwrite: bool, job: str, pieces: bool = False):
+        self.path, self.suffix, self.overwrite, self.pieces = path, suffix, overwrite, pieces
         self.staging = os.path.join(path, STAGING, job)
 
     def write(self, iterator) -> Written:
         # every attempt has a folder of its own, so what a lost one left is never taken
         folder = os.path.join(self.staging, uuid.uuid4().hex)
         os.makedirs(folder)
+        last = None
         for row in iterator:
             if row["body"] is None:
                 continue
+            more, last = self.pieces and row["name"] == last, row["name"]
             at = os.path.join(folder, _checked(row["name"]) + self.suffix)
             os.makedirs(os.path.dirname(at), exist_ok=True)
-            with open(at, "x", encoding="utf-8", newline="") as f:
+            with open(at, "a" if more else "x", encoding="utf-8", newline="") as f:
                 f.write(row["body"])
         return Written(folder)
 
