@@ -60,11 +60,14 @@ def compact(events: DataFrame, zone: str, site: str, slug: str = "city_key", kee
     offset = lambda c: F.when(c.rlike(date) & F.try_to_timestamp(F.substring(c, 1, 10), F.lit("yyyy-MM-dd")).isNotNull(), with_offset(F.when(c.rlike(date), c), zone))
     price = cost_amount(F.col("cost"))
     title = F.coalesce("title", F.lit(""))
+    # identity and address first: a lambda in a select would read the aliases that stand before it in place of the columns
+    events = events.withColumn("_id", L.event_hash(city, title, F.coalesce(iso, F.lit("")), place))
+    events = events.withColumn("_url", F.concat(F.lit(site), page_path(F.col(slug), city, title, F.coalesce(iso, F.lit("")), place)))
     rows = events.select(
         *keep, "city_key", "ord", iso.alias("naive"),
-        L.event_hash(city, title, F.coalesce(iso, F.lit("")), place).alias("id"), shown(F.col("title")).alias("title"), offset(iso).alias("start"), offset(end).alias("end"),
+        F.col("_id").alias("id"), shown(F.col("title")).alias("title"), offset(iso).alias("start"), offset(end).alias("end"),
         place.alias("location"), F.coalesce("category", F.lit("")).alias("category"), price.alias("price"), F.coalesce(price == 0, F.lit(False)).alias("free"),
-        truncate(shown(F.col("description"))).alias("description"), F.concat(F.lit(site), page_path(F.col(slug), city, title, F.coalesce(iso, F.lit("")), place)).alias("url"),
+        truncate(shown(F.col("description"))).alias("description"), F.col("_url").alias("url"),
     )
     return rows.filter("title <> '' AND start IS NOT NULL")
 
