@@ -159,13 +159,9 @@ def strip_useless(tags: Column, city: Column, place: Column) -> Column:
 
 
 def implied_once(tags: Column) -> Column:
-    """Tags with those that they imply directly."""
-    added = [F.when(_any_finds(tags, "|".join(patterns)), F.lit(name)) for name, patterns in model.IMPLIED_TAGS.items()]
-    return F.array_distinct(F.concat(tags, F.filter(F.array(*added), lambda t: t.isNotNull())))
-
-
-def _any_finds(tags: Column, pattern: str) -> Column:
-    return F.exists(tags, lambda t: t.rlike(pattern))
+    """Tags with those that they imply directly: those of the first tag first, each tag's in the order of the rules."""
+    implied = lambda t: F.array_compact(F.array(*(F.when(t.rlike("|".join(patterns)), F.lit(name)) for name, patterns in model.IMPLIED_TAGS.items())))
+    return F.array_distinct(F.concat(tags, F.flatten(F.transform(tags, implied))))
 
 
 def completeness(image: Column, location: Column, link: Column, description: Column, tags: Column, cost: Column, start: Column) -> Column:

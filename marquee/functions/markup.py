@@ -62,22 +62,29 @@ def html_text(pages: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Serie
         yield pd.Series([readable(p, b) for p, b in zip(page, base, strict=True)], dtype="object")
 
 
+def _cleaned(text: str | None) -> str:
+    text = html.unescape(html.unescape(html.unescape(text or "")))
+    text = re.sub(r"<[^>]*>", " ", text)
+    text = re.sub(r"\\(['\"nrt\\])", lambda m: {"n": " ", "r": " ", "t": " "}.get(m[1], m[1]), text)
+    return re.sub(r"\s+", " ", text).strip()
+
+
 @F.pandas_udf(T.StringType())
 def clean_text(texts: pd.Series) -> pd.Series:
     """Entities decoded up to three times, tags dropped, escapes undone, white space squeezed; null is empty."""
+    return texts.map(_cleaned)
+
 
-    def one(t):
-        t = t or ""
-        for _ in range(3):
-            new = html.unescape(t)
-            if new == t:
-                break
-            t = new
-        t = re.sub(r"<[^>]*>", " ", t)
-        t = re.sub(r"\\(['\"nrt\\])", lambda m: {"n": " ", "r": " ", "t": " "}.get(m[1], m[1]), t)
-        return re.sub(r"\s+", " ", t).strip()
-
-    return texts.map(one)
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def clean_texts(lists: pd.Series) -> pd.Series:
+    """clean_text of each text of a list; a null list stays null."""
+    return lists.map(lambda xs: None if xs is None else [_cleaned(x) for x in xs])
+
+
+@F.pandas_udf(T.StringType())
+def decoded(texts: pd.Series) -> pd.Series:
+    """Entities decoded up to three times; null is empty."""
+    return texts.map(lambda t: html.unescape(html.unescape(html.unescape(t or ""))))
 
 
 def strip_display(text: Column) -> Column:

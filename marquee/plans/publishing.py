@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee import model
-from marquee.operators import layout, publish
+from marquee.operators import clean, layout, publish
 from marquee.plans.exports import SITE, ZONE
-from marquee.plans.queries import A, B, registered
-from marquee.plans.tables import SQL_LISTING, TODAY, listing, read
+from marquee.plans.queries import _SHOWN, A, B, registered
+from marquee.plans.tables import SQL_LISTING, TODAY, listing, read, sql_implied
 
 SPLIT = 16_000
 _SIX = f"'{A}'::DATE"
@@ -128,3 +128,40 @@ def sitemap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The address of every page of the site."""
     cities, today = _cities(spark, sf_dir)
     return publish.sitemap(listing(spark, sf_dir), cities, today, SITE)
+
+
+_STEPS, _STEPPED = sql_implied("g", "tags")
+_VACUOUS = list(model.VACUOUS_TAGS)
+
+
+@registered(
+    f""", sh AS ({_SHOWN}),
+m AS (SELECT ord, title || ' & more' AS title, location, city_key, CASE WHEN item % 3 = 0 THEN '' ELSE 'It''s at "' || location || '" \\ now' END AS description,
+  CASE item % 4 WHEN 0 THEN 'free entry' WHEN 1 THEN 'AUD 25' WHEN 2 THEN 'AUD $12.50 or Fab 5' ELSE '' END AS cost,
+  CASE item % 4 WHEN 0 THEN 'https://x.example/?a=1&b=' || item WHEN 1 THEN '' WHEN 2 THEN 'https://www.trumba.com/calendars/brisbane-city-council?eventid=' || item ELSE '' END AS link,
+  CASE item % 3 WHEN 0 THEN 'https://x.example/p' || item || '.jpg?w=1&h=2' ELSE '' END AS image,
+  list_concat(tags, [CASE WHEN item % 3 = 0 THEN 'markets' ELSE 'market' END, 'food & wine', CASE WHEN item % 7 = 0 THEN 'gigs' ELSE 'gig' END, CASE WHEN item % 5 = 0 THEN 'brewery' ELSE 'free' END, 'workshop', 'supplier', '']) AS tags FROM v),
+n AS (SELECT t, count(*) AS n FROM (SELECT unnest(tags) AS t FROM m) WHERE t <> '' GROUP BY 1),
+y AS (SELECT p.t AS plural, s.t AS single, CASE WHEN s.n >= p.n THEN s.t ELSE p.t END AS win FROM n p JOIN n s ON p.t = s.t || 's'),
+z AS (SELECT map_from_entries(list(ROW(plural, win)) || list(ROW(single, win))) AS spell FROM y),
+g0 AS (SELECT m.* REPLACE (list_transform(tags, lambda t: coalesce(spell[t], t)) AS tags) FROM m CROSS JOIN z),
+g AS (SELECT * REPLACE (list_filter(tags, lambda t, k: list_position(tags, t) = k AND t <> '' AND NOT list_contains({_VACUOUS}, t) AND (contains(t, ' ') OR NOT list_contains(list_filter(string_split_regex(lower('Old Town ' || location), '[^a-z0-9]+'), lambda w: length(w) >= 4), t))) AS tags) FROM g0),
+{_STEPS}
+SELECT q.ord, title, location, description, cost, link, image, coalesce(nullif(sh.shown, ''), 'some evening') AS datetime,
+  array_to_string(list_concat(list_filter(tags, lambda t: t <> 'free'), CASE WHEN cost = 'free entry' THEN ['free'] ELSE [] END), '|') AS tags FROM {_STEPPED} q JOIN sh ON sh.ord = q.ord"""
+)
+def clean_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All listings with markup, entities, foreign currencies and tags of many spellings put in, cleaned."""
+    item, text = F.col("item"), lambda *xs: F.concat(*(F.lit(x) if isinstance(x, str) else x for x in xs))
+    number = item.cast("string")
+    more = [F.when(item % 3 == 0, "Markets ").otherwise("market"), F.lit("Food &amp;amp; <i>Wine</i>"), F.when(item % 7 == 0, "gigs").otherwise("gig"), F.when(item % 5 == 0, "Brewery").otherwise("free"), F.lit("Workshop"), F.lit("Supplier"), F.lit(None).cast("string")]
+    rows = listing(spark, sf_dir).withColumns({
+        "title": text("<b>", F.col("title"), "</b>&amp;amp; more\n"),
+        "description": F.when(item % 3 != 0, text("It\\'s at &quot;", F.col("location"), '\\" \\\\ <br/>\\nnow')),
+        "cost": F.when(item % 4 == 0, "free entry").when(item % 4 == 1, "USD 25").when(item % 4 == 2, "eur $12.50 or Fab 5"),
+        "link": F.when(item % 4 == 0, text(" https://x.example/?a=1&amp;b=", number)).when(item % 4 == 1, "javascript:alert(1)").when(item % 4 == 2, text("https://www.brisbane.qld.gov.au/trumba?trumbaEmbed=view%3Devent%26eventid%3D", number)),
+        "image": F.when(item % 3 == 0, text("https://x.example/p", number, ".jpg?w=1&amp;h=2")).when(item % 3 == 1, "http://x.example/p.png").otherwise("https://x.example/p"),
+        "datetime": F.lit("some evening"), "tags": F.concat("tags", F.array(*more)),
+    })
+    out = clean.tag_steps(clean.clean_events(rows), "Old Town")
+    return out.select("ord", "title", "location", "description", "cost", "link", "image", "datetime", F.array_join("tags", "|").alias("tags"))

@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from marquee import model
 from marquee.functions import listing as L
 from marquee.operators import corpus, dedupe, query
-from marquee.plans.tables import SQL_INTERACTIONS, SQL_LISTING, TODAY, WEEK, interactions, listing, read, week_listing
+from marquee.plans.tables import SQL_INTERACTIONS, SQL_LISTING, TODAY, WEEK, interactions, listing, read, sql_implied, week_listing
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -173,9 +173,13 @@ def useless_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listing(spark, sf_dir).select("ord", F.array_join(L.strip_useless(F.col("tags"), F.col("city_key"), place), " ").alias("tags"))
 
 
-@registered()
+_SUBJECTS = ("orchestra", "hiking", "brewery", "improv", "trivia", "yoga", "cinema", "rainforest", "arcade", "student")
+_IMPLIED, _ALL_IMPLIED = sql_implied("i", "tags")
+
+
+@registered(f", i AS (SELECT ord, [{list(_SUBJECTS)}[item % 10 + 1]] AS tags FROM v), {_IMPLIED} SELECT ord, array_to_string(tags, ',') AS tags FROM {_ALL_IMPLIED}")
 def implied_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    subjects = F.array(*map(F.lit, ("orchestra", "hiking", "brewery", "improv", "trivia", "yoga", "cinema", "rainforest", "arcade", "student")))
+    subjects = F.array(*map(F.lit, _SUBJECTS))
     tag = F.element_at(subjects, (F.col("item") % 10).cast("int") + 1)
     return corpus.imply_tags(listing(spark, sf_dir).select("ord", F.array(tag).alias("tags"))).select("ord", F.array_join("tags", ",").alias("tags"))
 
@@ -499,13 +503,14 @@ def asof_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.withColumn("o_orderkey", F.last("order", ignorenulls=True).over(w)).filter("side = 1").select("event_id", "o_orderkey")
 
 
-@registered(
-    """SELECT ord, CASE WHEN d IS NULL THEN '' WHEN nullif(datetime_end_iso, '') > d THEN
+_SHOWN = """SELECT ord, CASE WHEN d IS NULL THEN '' WHEN nullif(datetime_end_iso, '') > d THEN
   strftime(CAST(d AS DATE), '%a %-d %b') || CASE WHEN d[1:4] <> datetime_end_iso[1:4] THEN ' ' || d[1:4] ELSE '' END || CASE WHEN length(datetime_iso) > 10 THEN ', ' || strftime(CAST(datetime_iso AS TIMESTAMP), '%-I:%M %p') ELSE '' END
   || ' – ' || strftime(CAST(datetime_end_iso AS DATE), '%a %-d %b') || CASE WHEN d[1:4] <> datetime_end_iso[1:4] THEN ' ' || datetime_end_iso[1:4] ELSE '' END
 ELSE strftime(CAST(d AS DATE), '%a %-d %b') || CASE WHEN length(datetime_iso) > 10 THEN ', ' || strftime(CAST(datetime_iso AS TIMESTAMP), '%-I:%M %p') ELSE '' END END AS shown
 FROM (SELECT ord, nullif(datetime_iso, '') AS datetime_iso, nullif(datetime_end_iso, '') AS datetime_end_iso, d FROM v)"""
-)
+
+
+@registered(_SHOWN)
 def shown_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marquee.functions.dates import human_datetime as shown
 

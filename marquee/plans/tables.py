@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee import model
 from marquee.operators.query import numbered
 
 WEEK = ("1998-03-02", "1998-03-08")
@@ -78,3 +79,13 @@ v AS (SELECT *, nullif(datetime_iso[1:10], '') AS d, coalesce(nullif(datetime_en
   coalesce(nullif(datetime_iso, ''), '9999') AS sd, coalesce(nullif(datetime_end_iso, ''), '9999') AS se, coalesce(score, 0) AS sc FROM v_listing)"""
 SQL_INTERACTIONS = """v_interaction AS (SELECT event_id, user_id, ts,
   CASE WHEN event_type IN ('purchase', 'signup') THEN 'like' WHEN event_type = 'error' THEN 'dislike' ELSE 'share' END AS kind, event_id % 200 + 1 AS item FROM events)"""
+
+
+def sql_implied(table: str, tags: str, passes: int = 4) -> tuple[str, str]:
+    """CTEs that add to the column `tags` of a table all that they imply, and the name of the last."""
+    rules = ", ".join(f"CASE WHEN regexp_matches(t, '{'|'.join(p)}') THEN '{name}' END" for name, p in model.IMPLIED_TAGS.items())
+    ctes = []
+    for i in range(passes):
+        ctes.append(f"{table}_a{i} AS (SELECT * REPLACE (list_concat({tags}, flatten(list_transform({tags}, lambda t: list_filter([{rules}], lambda y: y IS NOT NULL)))) AS {tags}) FROM {table if i == 0 else f'{table}_b{i - 1}'})")
+        ctes.append(f"{table}_b{i} AS (SELECT * REPLACE (list_filter({tags}, lambda z, k: list_position({tags}, z) = k) AS {tags}) FROM {table}_a{i})")
+    return ",\n".join(ctes), f"{table}_b{passes - 1}"
