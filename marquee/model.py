@@ -1,6 +1,6 @@
 """Constants of the listing model."""
 
-# Categories with their short names, timeframes, vibes, time bands, thresholds and word lists that results depend on.
+# Categories with their short names and signs, timeframes, vibes, time bands, thresholds and word lists that results depend on.
 CATEGORIES = ("Public Lecture", "Workshop / Class", "Concert / Music", "Social / Meetup", "Arts / Exhibition", "Community / Other")
 CATEGORY_SLUGS = {
     "Arts / Exhibition": "arts",
@@ -10,6 +10,14 @@ CATEGORY_SLUGS = {
     "Social / Meetup": "social",
     "Workshop / Class": "workshops",
 }
+CATEGORY_EMOJI = {
+    "Public Lecture": "🎓",
+    "Workshop / Class": "🛠️",
+    "Concert / Music": "🎵",
+    "Social / Meetup": "🤝",
+    "Arts / Exhibition": "🎨",
+    "Community / Other": "📌",
+}
 TIMEFRAMES = ("today", "tomorrow", "this-weekend")
 VIBES = ("intellectual", "creative", "hands_on", "social")
 VIBE_LABELS = ("stimulating", "creative", "hands on", "social")

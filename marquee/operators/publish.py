@@ -4,7 +4,7 @@ A file is rows of pieces: a head, one piece for each event, a tail. Pieces are p
 that writes it, so no text of a file is ever one value. Its size in bytes, which decides whether a week is split by category, is a sum.
 
     pieces = feed_pieces(events, cities, today, zone, site)
-    write_pieces(pieces.unionByName(index_pieces(pieces, cities, today)), folder)
+    write_pieces(pieces.unionByName(index_pieces(pieces, cities, today, zone)), folder)
     feed_faults(spark, folder, today).count() == 0
 
 cities: city_key, city, week_start, week_end, generated_at (null: today) and, if it isn't the key, slug; one row for each city. today: city_key, today.
@@ -177,11 +177,11 @@ def index_pieces(pieces: DataFrame, cities: DataFrame, today: DataFrame, zone: s
     return rows.select("city_key", F.lit("index").alias("kind"), F.lit("index").alias("key"), F.lit("index").alias("name"), "part", F.col("city_key").alias("naive"), F.lit(None).cast("long").alias("ord"), "body")
 
 
-def write_pieces(pieces: DataFrame, folder: str) -> None:
-    """Puts the files in place and prunes those of earlier runs that this one didn't write."""
+def write_pieces(pieces: DataFrame, folder: str, suffix: str = ".json") -> None:
+    """Puts the files in place and prunes those of earlier runs, with this suffix, that this one didn't write."""
     pieces.sparkSession.dataSource.register(KeyedFiles)
     rows = pieces.repartition("name").sortWithinPartitions("name", "part", "naive", "ord").select("name", "body")
-    rows.write.format("keyed_files").mode("overwrite").option("suffix", ".json").option("pieces", "true").save(folder)
+    rows.write.format("keyed_files").mode("overwrite").option("suffix", suffix).option("pieces", "true").save(folder)
 
 
 _EVENT = "array<struct<id:string,title:string,start:string,`end`:string,url:string>>"

@@ -10,6 +10,7 @@ from marquee.operators import clean, layout, publish
 from marquee.plans.exports import SITE, ZONE
 from marquee.plans.queries import _SHOWN, A, B, registered
 from marquee.plans.tables import SQL_LISTING, TODAY, listing, read, sql_implied
+from marquee.sinks import digests
 
 SPLIT = 16_000
 _SIX = f"'{A}'::DATE"
@@ -165,3 +166,56 @@ def clean_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
     out = clean.tag_steps(clean.clean_events(rows), "Old Town")
     return out.select("ord", "title", "location", "description", "cost", "link", "image", "datetime", F.array_join("tags", "|").alias("tags"))
+
+
+_BUILT = "Wed, 04 Mar 1998 00:00:00 GMT"
+#: The week's events as feeds say them; titles, places and tags have no character that XML escapes but those put in here.
+_DIGEST = f"""c AS (SELECT lower(r_name) AS city_key, upper(r_name) AS city, replace(lower(r_name), ' ', '-') AS slug, '{A}' AS week_start, '{B}' AS week_end FROM region),
+e AS (SELECT *, lower(to_base(list_reduce(list_prepend(0::BIGINT, list_transform(range(1, length(b) + 1), lambda i: ord(substr(b, i, 1))::BIGINT)), lambda h, u: (h * 31 + u) & 4294967295), 36)) AS id,
+  CASE WHEN item % 5 = 0 THEN 'about <' || title || '>' ELSE '' END AS about, CASE item % 4 WHEN 0 THEN 'FREE' WHEN 1 THEN '$' || (item % 90 + 5) END AS cost, CASE WHEN item % 3 = 0 THEN 'https://x.example/?a=1&b=' || item ELSE '' END AS link,
+  coalesce(score >= 7 AND coalesce(nullif(datetime_end_iso, ''), d) <= '{B}', false) AS pick, CASE WHEN item % 7 <> 0 THEN 'on ' || datetime_iso END AS shown
+  FROM (SELECT *, city_key || '|' || title || '|' || datetime_iso || '|' || location AS b FROM v WHERE d BETWEEN '{A}' AND '{B}'))"""
+
+
+def _told(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    item, number = F.col("item"), F.col("item").cast("string")
+    week = listing(spark, sf_dir).filter(F.substring("datetime_iso", 1, 10).between(A, B))
+    events = week.withColumns({
+        "description": F.when(item % 5 == 0, F.concat(F.lit("about <"), "title", F.lit(">"))), "cost": F.when(item % 4 == 0, "FREE").when(item % 4 == 1, F.concat(F.lit("$"), (item % 90 + 5).cast("string"))),
+        "link": F.when(item % 3 == 0, F.concat(F.lit("https://x.example/?a=1&b="), number)), "datetime": F.when(item % 7 != 0, F.concat(F.lit("on "), "datetime_iso")),
+    })
+    return events, read(spark, sf_dir, "region").select(F.lower("r_name").alias("city_key"), F.col("r_name").alias("city"), F.replace(F.lower("r_name"), F.lit(" "), F.lit("-")).alias("slug"), F.lit(A).alias("week_start"), F.lit(B).alias("week_end"))
+
+
+@registered(
+    f""", {_DIGEST}, p AS (SELECT *, '{SITE}/' || slug AS home FROM e JOIN c USING (city_key)),
+i AS (SELECT slug || '/feed' AS name, 1 AS part, ord, concat(chr(10), '    <item>', chr(10), '      <title>', title, '</title>', chr(10), '      <link>', CASE WHEN link <> '' THEN replace(link, '&', '&amp;') ELSE home || '/e/' || replace(rtrim(trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g'))[1:60]), ' ', '-') || '-' || id || '/' END, '</link>', chr(10),
+  '      <guid isPermaLink="false">', home, '#', id, '</guid>', chr(10), '      <pubDate>', strftime(datetime_iso::TIMESTAMP - INTERVAL 10 HOUR, '%a, %d %b %Y %H:%M:%S GMT'), '</pubDate>', chr(10), '      <category>', category, '</category>', chr(10),
+  '      <description>', concat_ws(' · ', shown, location, cost), CASE WHEN about <> '' THEN chr(10) || chr(10) || replace(replace(about, '<', '&lt;'), '>', '&gt;') ELSE '' END, '</description>', chr(10), '    </item>') AS body FROM p WHERE score IS NULL OR score >= 4),
+h AS (SELECT slug || '/feed' AS name, 0 AS part, NULL AS ord, concat('<?xml version="1.0" encoding="UTF-8"?>', chr(10), '<rss version="2.0" xmlns:atom="http://www.w3.org/2005/Atom">', chr(10), '  <channel>', chr(10), '    <title>', city, ' — this week''s events</title>', chr(10), '    <link>{SITE}/', slug, '/</link>', chr(10),
+  '    <atom:link href="{SITE}/', slug, '/feed.xml" rel="self" type="application/rss+xml"/>', chr(10), '    <description>Events in ', city, ' for the week of {A} to {B}, ranked by fit.</description>', chr(10), '    <language>en-AU</language>', chr(10), '    <lastBuildDate>{_BUILT}</lastBuildDate>') AS body FROM c
+  UNION ALL SELECT slug || '/feed', 2, NULL, concat(chr(10), '  </channel>', chr(10), '</rss>', chr(10)) FROM c)
+SELECT name, part, ord, sha256(body) AS digest FROM (FROM i UNION ALL FROM h)"""
+)
+def rss_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every city's RSS feed of the week."""
+    events, cities = _told(spark, sf_dir)
+    return digests.rss_pieces(events, cities, ZONE, SITE, _BUILT).select("name", "part", "ord", F.sha2("body", 256).alias("digest"))
+
+
+_SIGNS = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in model.CATEGORY_EMOJI.items())
+
+
+@registered(
+    f""", {_DIGEST}, g AS (SELECT *, upper(slug) AS name, CASE category {_SIGNS} END AS sign, min(ord) FILTER (NOT pick) OVER (PARTITION BY city_key, category) AS first FROM e JOIN c USING (city_key)),
+i AS (SELECT name, CASE WHEN pick THEN 2 ELSE 4 END AS part, CASE WHEN NOT pick THEN lpad(first::VARCHAR, 20, '0') END AS naive, ord, concat(CASE WHEN pick THEN '### ' || sign || ' ' ELSE '#### ' END, CASE WHEN link <> '' THEN '[' || title || '](' || link || ')' ELSE title END, chr(10), '📆 ', coalesce(shown, '—'), CASE WHEN pick THEN '  ' END, chr(10),
+  '📍 ', location, CASE WHEN pick THEN '  ' END, chr(10), '💰 ', CASE WHEN cost IS NULL THEN 'See link' WHEN cost = 'FREE' THEN 'Free' ELSE cost END, CASE WHEN pick THEN '  ' END, chr(10), '`', array_to_string(tags[1:6], '` `'), '`', chr(10), CASE WHEN about <> '' THEN chr(10) || about || chr(10) END, chr(10)) AS body FROM g),
+n AS (SELECT city_key, count(*) AS n, count(*) FILTER (pick) AS p FROM e GROUP BY 1), m AS (SELECT upper(slug) AS name, city, coalesce(n, 0) AS n, coalesce(p, 0) AS p FROM c LEFT JOIN n USING (city_key)),
+h AS (SELECT DISTINCT name, 4 AS part, lpad(first::VARCHAR, 20, '0') AS naive, NULL::BIGINT AS ord, concat('### ', sign, ' ', category, chr(10), chr(10)) AS body FROM g WHERE NOT pick
+  UNION ALL SELECT name, 0, NULL, NULL, concat('# ', city, ' — This Week''s Events', chr(10), '**2 March 1998 – 8 March 1998**  ', chr(10), '*', p, ' top picks · ', n, ' events total*', chr(10), chr(10)) FROM m
+  UNION ALL SELECT name, 1, NULL, NULL, '## ⭐ Top Picks' || chr(10) || chr(10) FROM m WHERE p > 0 UNION ALL SELECT name, 3, NULL, NULL, '## 📋 All Events' || chr(10) || chr(10) FROM m WHERE n > p)
+SELECT name, part, naive, ord, sha256(body) AS digest FROM (FROM i UNION ALL FROM h)"""
+)
+def digest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every city's Markdown digest of the week: picks, then the others by category."""
+    return digests.digest_pieces(*_told(spark, sf_dir)).select("name", "part", "naive", "ord", F.sha2("body", 256).alias("digest"))
