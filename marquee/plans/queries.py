@@ -452,7 +452,14 @@ def slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listing(spark, sf_dir).select("ord", L.slug(F.col("title")).alias("slug"))
 
 
-@registered()
+@registered(
+    f""", b AS (SELECT city_key, ord, greatest(d, '{A}') AS a, least(e, '{B}') AS z, row_number() OVER (PARTITION BY city_key ORDER BY greatest(d, '{A}'), least(e, '{B}'), ord) AS k FROM v WHERE d <= '{B}' AND e >= '{A}'),
+f AS (SELECT DISTINCT city_key, 0::BIGINT AS k, NULL::BIGINT AS ord, 0::BIGINT AS lane, []::VARCHAR[] AS ends FROM b
+  UNION ALL SELECT city_key, k, ord, lane, list_concat(list_concat(ends[1:lane - 1], [z]), ends[lane + 1:]) FROM (
+    SELECT b.*, f.ends, coalesce(list_position(list_transform(f.ends, lambda x: x < b.a), true), len(f.ends) + 1) AS lane FROM f JOIN b ON b.city_key = f.city_key AND b.k = f.k + 1))
+SELECT city_key, ord, (lane - 1)::INTEGER AS lane FROM f WHERE k > 0""",
+    f"RECURSIVE {SQL_LISTING}",
+)
 def pack_lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marquee.operators.layout import pack_lanes as packed
 
