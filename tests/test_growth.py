@@ -31,3 +31,16 @@ def test_identity_of_long_texts(spark):
     got = {r["i"]: r["h"] for r in rows.collect()}
     assert got == {i: plain("|".join(x for x in (t, "b", "") if x is not None)) for i, t in enumerate(titles)}
     assert time.time() - began < 30
+
+
+def test_implied_tags_once(spark):
+    words = ["orchestra", "improv", "hiking", "yoga", "rainforest", "opera", "x", "arcade", "brewery", "musical", None, "stand-up", "cinema"]
+    pick = random.Random(5)
+    lists = [None, [], [None, "x", None], *([pick.choice(words) for _ in range(pick.randrange(8))] for _ in range(40))]
+    rows = spark.createDataFrame(list(enumerate(lists)), "i int, tags array<string>")
+    slow = rows
+    for _ in range(4):
+        slow = slow.withColumn("tags", L.implied_once(F.col("tags")))
+    fast = corpus.imply_tags(rows)
+    assert {r["i"]: r["tags"] for r in fast.collect()} == {r["i"]: r["tags"] for r in slow.collect()}
+    assert "RLIKE" not in optimized(fast)
