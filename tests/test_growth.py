@@ -44,3 +44,19 @@ def test_implied_tags_once(spark):
     fast = corpus.imply_tags(rows)
     assert {r["i"]: r["tags"] for r in fast.collect()} == {r["i"]: r["tags"] for r in slow.collect()}
     assert "RLIKE" not in optimized(fast)
+
+
+def test_numbering_looks_at_few_cuts(spark):
+    keys = [None, -5, *range(0, 300, 3), 1000]
+    rows = spark.createDataFrame([(k,) for k in keys], "k long")
+    for cuts in ([7], [0, 3, 4], list(range(1, 290, 2))):
+        got = rows.select("k", query._cuts_below(F.col("k"), cuts).alias("n")).collect()
+        assert all(r["n"] == sum(c < r["k"] for c in cuts if r["k"] is not None) for r in got)
+    spread = spark.range(2000).select((F.col("id") * 7 % 2000).alias("k"))
+    assert [r["ord"] for r in query.numbered(spread, "k", ranges=100).orderBy("k").collect()] == list(range(1, 2001))
+
+
+def test_dates_of_listings_are_formatted_once(spark):
+    rows = tables.week_listing(spark, "/root/testdata/sf0.001").select("ord", "datetime_iso")
+    above = optimized(rows).split("Window [")[0]
+    assert "date_format(" not in above and "cast(l_shipdate" not in above
