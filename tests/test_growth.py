@@ -60,3 +60,32 @@ def test_dates_of_listings_are_formatted_once(spark):
     rows = tables.week_listing(spark, "/root/testdata/sf0.001").select("ord", "datetime_iso")
     above = optimized(rows).split("Window [")[0]
     assert "date_format(" not in above and "cast(l_shipdate" not in above
+
+
+def test_similarity_of_a_pair_once(spark):
+    rows = spark.createDataFrame([(1, "red ring", "1998-03-02", 1), (2, "red rings", "1998-03-02", 1)], "ord long, title string, datetime_iso string, all int")
+    kept = dedupe.block_pairs(rows, "all").filter("kind <> 'none'").select("a", "b", "kind")
+    assert kept.collect() == [(1, 2, "settled")]
+    assert optimized(kept).count("array_intersect(") == 1
+
+
+def test_places_of_useless_tags_once(spark):
+    place = F.concat_ws(" ", "c", F.lit("Riverside Hall"))
+    rows = spark.createDataFrame([(["riverside", " Live ", "new farm", None, "", "ok"], "x")], "tags array<string>, c string")
+    out = rows.select(L.strip_useless(F.col("tags"), F.lit("Brisbane"), place).alias("tags"))
+    assert out.first()["tags"] == ["new farm", "ok"]
+    inner = optimized(out).split("lambdafunction(filter(")[1]
+    assert "split(" not in inner
+
+
+def test_settled_links_are_those_of_pairs(spark):
+    pick = random.Random(7)
+    titles = ["red ring", "Red rings", "blue bolt", "blue bolt and nut show", "Blue bolt & nut show!", "", "big gala night of jazz", "big gala night of jaz"]
+    places = [None, "", "Town Hall", "The Town Hall, X", "Queensland Performing Arts Centre", "QPAC theatre", "Riverside 12", "Harbour"]
+    links = [None, "https://a.example", "https://a.example/x?y=1"]
+    rows = [(i, pick.choice("xy"), pick.choice(titles), pick.choice(["1998-03-02T10:00:00", "1998-03-03", "1998-03-04", "", None]), pick.choice(places), pick.choice(links)) for i in range(300)]
+    events = spark.createDataFrame(rows, "ord long, city string, title string, datetime_iso string, location string, link string")
+    for more in ({}, {"place": F.col("location")}, {"place": F.col("location"), "link": F.col("link")}):
+        want = dedupe.block_pairs(events, "city", **more).filter("settled").select("a", "b").collect()
+        got = dedupe.settled_links(events, "city", **more).collect()
+        assert sorted(want) == sorted(got) and want
