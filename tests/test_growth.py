@@ -89,3 +89,10 @@ def test_settled_links_are_those_of_pairs(spark):
         want = dedupe.block_pairs(events, "city", **more).filter("settled").select("a", "b").collect()
         got = dedupe.settled_links(events, "city", **more).collect()
         assert sorted(want) == sorted(got) and want
+
+
+def test_implied_tags_of_computed_ones(spark):
+    rows = spark.createDataFrame([(["riverside", "hiking"], "Riverside Hall"), (None, "x")], "tags array<string>, p string").repartition(2)
+    made = rows.withColumn("tags", L.strip_useless(F.col("tags"), F.lit("c"), F.col("p")))
+    out = corpus.imply_tags(made).select(F.filter("tags", lambda t: t != "walking").alias("tags")).collect()
+    assert {tuple(r["tags"] or ()) for r in out} == {("hiking", "nature", "outdoor"), ()}
