@@ -63,11 +63,12 @@ def compact(events: DataFrame, zone: str, site: str, slug: str = "city_key", kee
     # identity and address first: a lambda in a select would read the aliases that stand before it in place of the columns
     events = events.withColumn("_id", L.event_hash(city, title, F.coalesce(iso, F.lit("")), place))
     events = events.withColumn("_url", F.concat(F.lit(site), page_path(F.col(slug), city, title, F.coalesce(iso, F.lit("")), place)))
+    events = events.withColumn("_about", shown(F.col("description")))
     rows = events.select(
         *keep, "city_key", "ord", iso.alias("naive"),
         F.col("_id").alias("id"), shown(F.col("title")).alias("title"), offset(iso).alias("start"), offset(end).alias("end"),
         place.alias("location"), F.coalesce("category", F.lit("")).alias("category"), price.alias("price"), F.coalesce(price == 0, F.lit(False)).alias("free"),
-        truncate(shown(F.col("description"))).alias("description"), F.col("_url").alias("url"),
+        truncate(F.col("_about")).alias("description"), F.col("_url").alias("url"),
     )
     return rows.filter("title <> '' AND start IS NOT NULL")
 
@@ -113,11 +114,38 @@ def feed_pieces(events: DataFrame, cities: DataFrame, today: DataFrame, zone: st
     A day file for every day that is left of the week, a file of the week, and one of each category with events where the week's is over
     split_bytes. Events below the score floor are left out, those of no score stay; a file's events are in order of naive start, then ord.
     A city whose week is over has no file. A day without events has a file with none."""
+    text, sizes = _texts_and_sizes(events, cities, today, zone, site, split_bytes)
+    first = sizes.filter("n_events > 0").select("name", F.struct("_naive", "_ord").alias("_first"))
+    # one of repeated rows comes first
+    among = F.row_number().over(Window.partitionBy("name", "naive", "ord").orderBy("body"))
+    joint = F.when((F.struct(F.col("naive").alias("_naive"), F.col("ord").alias("_ord")) == F.col("_first")) & (F.col("_among") == 1), "\n").otherwise(",\n")
+    rows = text.withColumn("_among", among).join(F.broadcast(first), "name").withColumn("body", F.concat(joint, "body")).drop("_first", "_among")
+    ends = F.array(F.struct(F.lit(HEAD).alias("part"), F.col("head").alias("body")), F.struct(F.lit(TAIL).alias("part"), _tail().alias("body")))
+    none = [F.lit(None).cast("string").alias("naive"), F.lit(None).cast("long").alias("ord")]
+    return rows.unionByName(sizes.withColumn("_e", F.explode(ends)).select("city_key", "kind", "key", "name", "_e.part", *none, "_e.body"))
+
+
+def feed_sizes(events: DataFrame, cities: DataFrame, today: DataFrame, zone: str, site: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """What file_sizes says of the pieces that feed_pieces gives, without making them: the events are read once."""
+    return _texts_and_sizes(events, cities, today, zone, site, split_bytes)[1].select("city_key", "kind", "key", "name", "n_events", "n_bytes")
+
+
+def _tail() -> Column:
+    return F.when(F.col("n_events") > 0, "\n  ]\n}").otherwise("]\n}")
+
+
+def _texts_and_sizes(events: DataFrame, cities: DataFrame, today: DataFrame, zone: str, site: str, split_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """The events' pieces of all files that may be, without what joins them, and the files that there are: head, n_events, n_bytes, first event."""
     c = _cities(cities, today)
     span = c.filter("week_end >= today").select("city_key", "from", "week_start", "week_end", "slug")
     iso, end = F.col("datetime_iso"), F.col("datetime_end_iso")
     shown = events.select(*_LISTED, *(x for x in ("cost", "description") if x in events.columns)).filter(f"score IS NULL OR score >= {model.LOW_SCORE}")
-    shown = shown.withColumn("first", L.day(iso)).withColumn("last", L.last_day_of(iso, end)).join(span, "city_key").filter("first <= week_end AND last >= week_start")
+    # the span of all weeks as literals drops the other rows before they meet any other table
+    all_weeks = span.agg(F.min("week_start").alias("a"), F.max("week_end").alias("z")).first()
+    shown = shown.withColumn("first", L.day(iso)).withColumn("last", L.last_day_of(iso, end)).filter((F.col("first") <= F.lit(all_weeks["z"])) & (F.col("last") >= F.lit(all_weeks["a"])))
+    shown = shown.join(span, "city_key").filter("first <= week_end AND last >= week_start")
+    # a date that names both sides of the join: the filter on what is read of it can't move below, to rows of other weeks
+    shown = shown.withColumn("datetime_iso", F.when(F.col("first") <= F.col("week_end"), iso))
     rows = compact(shown, zone, site, "slug", ("first", "last", *span.columns[1:]))
     days = F.when(
         (F.col("last") >= F.col("from")) & (F.greatest("first", "from") <= F.least("last", "week_end")),
@@ -130,18 +158,14 @@ def feed_pieces(events: DataFrame, cities: DataFrame, today: DataFrame, zone: st
     name = F.when(F.col("_t.kind") == "day", F.col("_t.key")).when(F.col("_t.kind") == "week", base).otherwise(F.concat(base, F.lit("/"), category_slug(F.col("category"))))
     text = rows.withColumn("body", _event_text()).withColumn("_t", F.explode(targets))
     text = text.select("city_key", "_t.kind", "_t.key", F.concat("slug", F.lit("/"), name).alias("name"), F.lit(EVENT).alias("part"), "naive", "ord", "body")
-    none = [F.lit(None).cast("string").alias("naive"), F.lit(None).cast("long").alias("ord")]
-    files = _files(c, zone)
-    ends = [files.select("city_key", "kind", "key", "name", F.lit(p).alias("part"), *none, b.alias("body")) for p, b in ((HEAD, F.col("head")), (TAIL, F.lit("]\n}")))]
-    pieces = text.unionByName(ends[0]).unionByName(ends[1])
-    before = F.lag("part").over(Window.partitionBy("name").orderBy("part", "naive", "ord"))
-    joint = F.when(F.col("part") == EVENT, F.when(before == HEAD, "\n").otherwise(",\n")).when(F.col("part") == TAIL, F.when(before == HEAD, "").otherwise("\n  ")).otherwise("")
-    pieces = pieces.withColumn("body", F.concat(joint, "body"))
-    sizes = file_sizes(pieces)
-    large = sizes.filter((F.col("kind") == "week") & (F.col("n_bytes") > split_bytes)).select("city_key")
-    split = sizes.filter("kind = 'category' AND n_events > 0").join(large, "city_key", "left_semi")
-    kept = sizes.filter("kind <> 'category'").unionByName(split).select("name")
-    return pieces.join(kept, "name", "left_semi")
+    least = F.min(F.struct("naive", "ord"))
+    sums = text.groupBy("name").agg(F.count(F.lit(1)).alias("_n"), F.sum(F.octet_length("body")).alias("_bytes"), least["naive"].alias("_naive"), least["ord"].alias("_ord"))
+    sizes = _files(c, zone).join(sums, "name", "left").withColumn("n_events", F.coalesce("_n", F.lit(0).cast("long")))
+    # an event follows a line break, all but the first a comma too
+    inner = F.coalesce(F.col("_bytes") + 2 * F.col("n_events") - 1, F.lit(0))
+    sizes = sizes.withColumn("n_bytes", F.octet_length("head") + inner + F.octet_length(_tail()))
+    large = F.max(F.when(F.col("kind") == "week", F.col("n_bytes"))).over(Window.partitionBy("city_key")) > split_bytes
+    return text, sizes.withColumn("_large", large).filter("kind <> 'category' OR (_large AND n_events > 0)")
 
 
 def file_sizes(pieces: DataFrame) -> DataFrame:
@@ -152,8 +176,8 @@ def file_sizes(pieces: DataFrame) -> DataFrame:
 def city_entries(pieces: DataFrame, cities: DataFrame, today: DataFrame) -> DataFrame:
     """city_key, city, slug, data_as_of, days, week, week_categories: what the index says of each city, those without files too.
 
-    Categories come in their fixed order; days and the files of one week are few."""
-    sizes = file_sizes(pieces).withColumn("path", F.concat(F.lit(ROOT), "name", F.lit(".json")))
+    pieces: those of the files, or what feed_sizes gives. Categories come in their fixed order; days and the files of one week are few."""
+    sizes = (pieces if "n_bytes" in pieces.columns else file_sizes(pieces)).withColumn("path", F.concat(F.lit(ROOT), "name", F.lit(".json")))
     rank = F.array_position(F.array(*map(F.lit, model.CATEGORIES)), F.col("key"))
     of = lambda kind, x: F.array_sort(F.collect_list(F.when(F.col("kind") == kind, x)))
     named = F.struct(rank.alias("rank"), F.col("key").alias("category"), category_slug(F.col("key")).alias("slug"), F.col("path").alias("file"))

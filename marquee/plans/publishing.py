@@ -92,21 +92,20 @@ n AS (SELECT city_key, kind, key, name, count(*) FILTER (part = 1) AS n_events,
 k AS (SELECT * FROM n WHERE kind <> 'category' OR city_key IN (SELECT city_key FROM n WHERE kind = 'week' AND n_bytes > {SPLIT}))"""
 
 
-def _feed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    cities, today = _cities(spark, sf_dir)
-    return publish.feed_pieces(_priced(spark, sf_dir), cities, today, ZONE, SITE, SPLIT), cities, today
+def _feed(spark: SparkSession, sf_dir: str) -> tuple:
+    return _priced(spark, sf_dir), *_cities(spark, sf_dir), ZONE, SITE, SPLIT
 
 
 @registered(f", {_TEXT} SELECT name, part, ord, sha256(body) AS digest FROM q WHERE name IN (SELECT name FROM k)")
 def feed_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of the week's files for machines."""
-    return _feed(spark, sf_dir)[0].select("name", "part", "ord", F.sha2("body", 256).alias("digest"))
+    return publish.feed_pieces(*_feed(spark, sf_dir)).select("name", "part", "ord", F.sha2("body", 256).alias("digest"))
 
 
 @registered(f", {_TEXT} SELECT * FROM k")
 def feed_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events and bytes of each of these files; a week of too many bytes is split by category too."""
-    return publish.file_sizes(_feed(spark, sf_dir)[0])
+    return publish.feed_sizes(*_feed(spark, sf_dir))
 
 
 @registered(
@@ -115,7 +114,8 @@ coalesce(string_agg('/ai/' || name || '.json', ' ' ORDER BY list_position({list(
 )
 def feed_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the index lists for each city."""
-    rows = publish.city_entries(*_feed(spark, sf_dir))
+    feed = _feed(spark, sf_dir)
+    rows = publish.city_entries(publish.feed_sizes(*feed), *feed[1:3])
     return rows.select("city_key", "city", "slug", "data_as_of", F.array_join("days", " ").alias("days"), "week", F.array_join("week_categories.file", " ").alias("categories"))
 
 

@@ -106,3 +106,18 @@ def test_sitemap(spark, feed):
     by = {r["loc"]: (r["lastmod"], r["changefreq"], r["priority"]) for r in rows}
     assert by[f"{SITE}/"] == ("2026-09-30", "weekly", "1.0") and by[f"{SITE}/bay-town/tomorrow/"] == ("2026-09-30", "daily", "0.8")
     assert by[f"{SITE}/bay-town/talks/"] == ("2026-09-30", "weekly", "0.7")
+
+
+def test_sizes_of_files_in_one_pass(spark, feed):
+    events, cities, today = feed
+    twice = events.unionByName(events)
+    for split in (100, 10**6):
+        sizes = publish.feed_sizes(twice, cities, today, ZONE, SITE, split)
+        pieces = publish.feed_pieces(twice, cities, today, ZONE, SITE, split)
+        assert sorted(sizes.collect()) == sorted(publish.file_sizes(pieces).collect())
+        firsts = pieces.filter("part = 1 AND body LIKE '\n%'").groupBy("name").count().collect()
+        assert len(firsts) == sizes.filter("n_events > 0").count() and all(r["count"] == 1 for r in firsts)
+    index = lambda x: publish.city_entries(x, cities, today).orderBy("city_key").collect()
+    assert index(sizes) == index(pieces)
+    reads = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Generate explode(flatten(")
+    assert reads(sizes) == 1 and reads(pieces) <= 4  # twice is a union of two
