@@ -96,3 +96,12 @@ def test_implied_tags_of_computed_ones(spark):
     made = rows.withColumn("tags", L.strip_useless(F.col("tags"), F.lit("c"), F.col("p")))
     out = corpus.imply_tags(made).select(F.filter("tags", lambda t: t != "walking").alias("tags")).collect()
     assert {tuple(r["tags"] or ()) for r in out} == {("hiking", "nature", "outdoor"), ()}
+
+
+def test_identities_come_from_arrow_buffers(spark):
+    texts = ["a", "", "Gala 🎭 é", "late show", "\x7f\x80", "z" * 70]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 3)], "i int, t string").repartition(3)
+    out = rows.select("i", L._hash31(F.col("t")).alias("h"))
+    plain = lambda t: sum(int.from_bytes(t.encode("utf-16-be")[i : i + 2], "big") * 31 ** (len(t.encode("utf-16-be")) // 2 - 1 - i // 2) for i in range(0, len(t.encode("utf-16-be")), 2)) % 2**32
+    assert {r["i"]: r["h"] for r in out.collect()} == {i: plain(t) for i, t in enumerate(texts * 3)}
+    assert "], 250" in optimized(out)
