@@ -4,6 +4,7 @@ import random
 import time
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from marquee.functions import listing as L
 from marquee.operators import corpus, dedupe, query
@@ -105,3 +106,17 @@ def test_identities_come_from_arrow_buffers(spark):
     plain = lambda t: sum(int.from_bytes(t.encode("utf-16-be")[i : i + 2], "big") * 31 ** (len(t.encode("utf-16-be")) // 2 - 1 - i // 2) for i in range(0, len(t.encode("utf-16-be")), 2)) % 2**32
     assert {r["i"]: r["h"] for r in out.collect()} == {i: plain(t) for i, t in enumerate(texts * 3)}
     assert "], 250" in optimized(out)
+
+
+def test_preferred_places_without_a_task_for_a_city(spark):
+    pick = random.Random(3)
+    nan = float("nan")
+    rows = [(pick.choice(["x", "y", None]), i, pick.choice([None, 0.0, -0.0, 7.0, nan]), pick.choice(["", None, "1998-03-02", "1998-03-02T10:00:00"]), pick.choice([["ring"], ["red", "ring"], [], None])) for i in range(400)]
+    events = spark.createDataFrame(rows, "city string, ord long, score double, datetime_iso string, tags array<string>")
+    prefs = spark.createDataFrame([("x", ["ring"], ["red"])], "city string, wanted array<string>, unwanted array<string>")
+    out = query.preferred_order(events, prefs, "city")
+    tiered = events.join(prefs, "city", "left").withColumn("tier", L.pref_tier(F.col("tags"), F.col("wanted"), F.col("unwanted")))
+    w = Window.partitionBy("city").orderBy(F.desc("tier"), *L.canonical_order(F.col("score"), F.col("datetime_iso"), F.col("ord")))
+    want = {r["ord"]: (r["tier"], r["p"]) for r in tiered.withColumn("p", F.row_number().over(w)).collect()}
+    assert {r["ord"]: (r["tier"], r["place"]) for r in out.collect()} == want
+    assert "row_number() windowspecdefinition(city" in optimized(out) and "_score" in optimized(out).split("row_number() windowspecdefinition(")[1].split("ASC")[0]
