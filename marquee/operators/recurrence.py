@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.functions import listing as L
+
 #: Periods of one rule at most, and days that are unrolled ahead.
 STEPS, AHEAD = 5000, 60
 DAYS = ("MO", "TU", "WE", "TH", "FR", "SA", "SU")
@@ -61,19 +63,32 @@ def instances(low: Column, high: Column) -> Column:
     step = F.greatest(F.coalesce("step", F.lit(1)), F.lit(1))
     length = F.when(c("freq") == "DAILY", 1).when(c("freq") == "WEEKLY", 7).when(c("freq") == "MONTHLY", 31).otherwise(366) * step
     shortest = F.when(c("freq") == "DAILY", 1).when(c("freq") == "WEEKLY", 7).when(c("freq") == "MONTHLY", 28).otherwise(365) * step
-    skipped = F.when(c("count").isNull(), F.greatest(F.lit(0), F.floor(F.date_diff(F.to_date(low), start) / length).cast("int") - 1)).otherwise(F.lit(0))
-    end = F.least(high, F.coalesce("until", high))
+    named = F.coalesce(F.size("byday") > 0, F.lit(False))
+    often = c("freq").isin("DAILY", "WEEKLY")
+    # days and weeks that name no weekday give one instance a period, so COUNT is an end; weeks that name some give one at least, all but the first
+    counted, clock = c("count").isNotNull(), c("start").cast("timestamp_ntz") - start.cast("timestamp_ntz")
+    plain = counted & often & ~named
+    ahead = (F.greatest(c("count"), F.lit(0)).cast("long") - 1) * step * F.when(c("freq") == "DAILY", 1).otherwise(7)
+    ahead = F.least(ahead, F.greatest(F.date_diff(F.to_date(high), start), F.lit(0)).cast("long") + 1).cast("int")
+    last = F.when(plain, F.date_add(start, ahead).cast("timestamp_ntz") + clock)
+    full = counted & (c("freq") == "WEEKLY") & F.exists("byday", lambda x: _weekday(x).isNotNull())
+    open_ = plain | ~counted
+    skipped = F.when(open_, F.greatest(F.lit(0), F.floor(F.date_diff(F.to_date(low), start) / length).cast("int") - 1)).otherwise(F.lit(0))
+    end = F.least(high, F.coalesce("until", high), last)
     most = F.least(F.lit(STEPS - 1), F.floor(F.date_diff(F.to_date(end), start) / shortest).cast("int") + 1)
+    most = F.when(full, F.least(most, F.greatest(c("count"), F.lit(0)))).otherwise(most)
     periods = F.when(most >= skipped, F.sequence(skipped, F.greatest(most, skipped))).otherwise(F.array().cast("array<int>"))
-    clock = c("start").cast("timestamp_ntz") - start.cast("timestamp_ntz")
-    days = F.flatten(F.transform(periods, lambda i: F.array_sort(F.array_distinct(_days(c("freq"), start, i, step, c("byday"), c("bymonthday"))))))
-    times = F.filter(F.transform(days, lambda d: d.cast("timestamp_ntz") + clock), lambda t: (t >= c("start")) & (t <= end))
-    ruled = F.when(c("count").isNull(), times).otherwise(F.slice(times, F.lit(1), F.greatest(c("count"), F.lit(0))))
+    days = lambda v: F.flatten(F.transform(periods, lambda i: F.array_sort(F.array_distinct(_days(c("freq"), v["day"], i, v["step"], c("byday"), c("bymonthday"))))))
+    times = lambda v: F.filter(F.transform(days(v), lambda d: d.cast("timestamp_ntz") + v["clock"]), lambda t: (t >= c("start")) & (t <= v["end"]))
+    # what all periods share is computed once a row
+    times = L.let(F.struct(start.alias("day"), step.alias("step"), clock.alias("clock"), end.alias("end")), times)
+    # named once each: what is named twice is planned and unrolled twice
+    ruled = F.slice(times, F.lit(1), F.when(open_, 1 << 30).otherwise(F.greatest(c("count"), F.lit(0))))
     none = F.array().cast("array<timestamp_ntz>")
     rdates, exdates = F.coalesce("rdates", none), F.coalesce("exdates", none)
     first = F.when(rule, ruled).otherwise(F.array(c("start")))
     several = F.filter(F.array_union(first, rdates), lambda t: t.between(low, high))
-    return F.array_sort(F.array_except(F.when(rule | (F.size(rdates) > 0), several).otherwise(first), exdates))
+    return F.array_sort(F.array_except(F.when(rule | (F.size(rdates) > 0), several).otherwise(F.array(c("start"))), exdates))
 
 
 def expand(series: DataFrame, overrides: DataFrame | None, window_start: str, window_end: str) -> DataFrame:

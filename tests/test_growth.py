@@ -1,5 +1,6 @@
 """What a row costs must not grow with the length of its texts or with how often an expression is named."""
 
+import datetime
 import random
 import time
 
@@ -120,3 +121,24 @@ def test_preferred_places_without_a_task_for_a_city(spark):
     want = {r["ord"]: (r["tier"], r["p"]) for r in tiered.withColumn("p", F.row_number().over(w)).collect()}
     assert {r["ord"]: (r["tier"], r["place"]) for r in out.collect()} == want
     assert "row_number() windowspecdefinition(city" in optimized(out) and "_score" in optimized(out).split("row_number() windowspecdefinition(")[1].split("ASC")[0]
+
+
+def test_counted_rules_end_by_arithmetic(spark):
+    from marquee.operators import recurrence
+
+    schema = "uid int, start timestamp_ntz, freq string, step int, count int, until timestamp_ntz, byday array<string>, bymonthday array<int>, rdates array<timestamp_ntz>, exdates array<timestamp_ntz>"
+    at = datetime.datetime
+    rows = [(i, at(1997, 12, 30, 9), freq, step, count, None, byday, None, None, None) for i, (freq, step, count, byday) in enumerate([(f, s, n, d) for f in ("DAILY", "WEEKLY") for s in (1, 3) for n in (-1, 0, 1, 5, 65) for d in (None, ["MO", "TH"])])]
+    rows.append((len(rows), at(1990, 1, 1, 9), "DAILY", 10**8, 10**6, None, None, None, None, None))
+    edge = lambda t: F.lit(t).cast("timestamp_ntz")
+    out = recurrence.instances(edge("1998-01-05 00:00:00"), edge("1998-03-05 00:00:00"))
+    frame = spark.createDataFrame(rows, schema).select("uid", out.alias("got"))
+    for r in frame.collect():
+        _, start, freq, step, count, _, byday, *_ = rows[r["uid"]]
+        days = [start + datetime.timedelta(days=k) for k in range(1, 4000) if step < 100]
+        days = [start, *days]
+        week = lambda d: (d - start + datetime.timedelta(days=start.weekday())).days // 7
+        fits = lambda d: (byday is None or d.weekday() in (0, 3)) and ((d - start).days % step == 0 if freq == "DAILY" else week(d) % step == 0 and (byday is not None or d.weekday() == start.weekday()))
+        want = [d for d in days if fits(d)][: max(count, 0)]
+        assert r["got"] == [d for d in want if at(1998, 1, 5) <= d <= at(1998, 3, 5)], r
+    assert optimized(frame).count("array_distinct(") == 1
