@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from marquee import model
 from marquee.functions.dates import date_hits
+from marquee.functions.listing import let
 
 _HITS = [re.compile(p, re.ASCII) for p in model.DATE_HITS]
 
@@ -30,7 +31,7 @@ def split_batches(text: Column, most: int = 6000) -> Column:
         return F.struct(F.when(full, F.concat(s["done"], F.array(s["now"]))).otherwise(s["done"]).alias("done"), F.when(full, p).otherwise(joined).alias("now"))
 
     packed = F.aggregate(paragraphs, empty, add, lambda s: F.when(s["now"] == "", s["done"]).otherwise(F.concat(s["done"], F.array(s["now"]))))
-    return F.when(F.size(packed) > 0, packed).otherwise(F.when(text.isNotNull(), F.array(text)))
+    return let(packed, lambda p: F.when(F.size(p) > 0, p).otherwise(F.when(text.isNotNull(), F.array(text))))
 
 
 def densest_batches(rows: DataFrame, text: str, key: str, most: int = 12_000, k: int = 3) -> DataFrame:

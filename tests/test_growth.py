@@ -142,3 +142,11 @@ def test_counted_rules_end_by_arithmetic(spark):
         want = [d for d in days if fits(d)][: max(count, 0)]
         assert r["got"] == [d for d in want if at(1998, 1, 5) <= d <= at(1998, 3, 5)], r
     assert optimized(frame).count("array_distinct(") == 1
+
+
+def test_parts_of_a_text_are_packed_once(spark):
+    from marquee.functions.batches import split_batches
+
+    rows = spark.createDataFrame([("a\n\nb",), ("",), (None,)], "t string").select(split_batches(F.col("t"), 1).alias("p"))
+    assert [r["p"] for r in rows.collect()] == [["a", "b"], [""], None]
+    assert optimized(rows).count("aggregate(") == 1
