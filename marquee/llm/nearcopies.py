@@ -16,6 +16,10 @@ prefix values have the most texts in all, as the text that a crowd was copied fr
 crowds of copies without comparing all pairs; then every pair of candidates that is still in two components is compared. A crowd
 that shares its rare values and still isn't similar is compared pair by pair.
 
+Before texts of a pair are moved, their parity maps are compared (bitmap filter): a value flips one bit of a map, so maps differ
+in at most as many bits as sets in values, and a pair whose maps differ in more bits than its sets may is given up. This too loses
+no pair; what is left is compared by the texts.
+
 Cases: texts without words have equal (empty) sets; a text of SHINGLE words or fewer is one shingle; of a component the
 row with the least doc_id stays, one without a doc_id only if no other is there, and of rows with equal doc_ids one; an
 empty table gives no rows; other columns of any name are kept.
@@ -39,6 +43,7 @@ SAMPLE = 8
 OFTEN = 3
 MOST_COMMON = 50_000
 PAIRS = 1 << 20
+UNSENT = 16
 WANTED = 1_000_000
 
 
@@ -54,6 +59,19 @@ def _ordered(values: np.ndarray, names: np.ndarray, rank: np.ndarray) -> np.ndar
     return values[np.argsort(np.where(names[at] == values, rank[at], -1), kind="stable")]
 
 
+def parity(values: np.ndarray) -> bytes:
+    """A bit for each value, flipped by each of the distinct values that fall on it; the number of bits is a power of two."""
+    bits = 1 << max(6, (len(values) - 1).bit_length())
+    return np.packbits(np.bincount((values & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1, bitorder="little").tobytes()
+
+
+def apart(x: bytes, y: bytes) -> int:
+    """At least so many values are in one of the sets only. x, y: their parity maps; the longer is folded to the shorter."""
+    least = min(len(x), len(y))
+    fold = lambda m: np.bitwise_xor.reduce(np.frombuffer(m, np.uint8).reshape(-1, least))
+    return int(np.bitwise_count(fold(x) ^ fold(y)).sum())
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
@@ -80,7 +98,7 @@ def common_values(rows: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray
 
 
 def prefixes(rows: DataFrame, shingle: int, share: Fraction, names: np.ndarray, rank: np.ndarray) -> DataFrame:
-    """r1, r2, doc_id, k1 and k2 (a 128-bit name of the set), n (its size), vals, its prefix, and fp, the fingerprint."""
+    """r1, r2, doc_id, k1 and k2 (a 128-bit name of the set), n (its size), vals, its prefix, fp, the fingerprint, and bits, the parity map."""
 
     def run(batches):
         from xxhash import xxh3_128_intdigest
@@ -92,10 +110,10 @@ def prefixes(rows: DataFrame, shingle: int, share: Fraction, names: np.ndarray,
             keys = [xxh3_128_intdigest(x.tobytes()) for x in whole]
             first = [_ordered(x, names, rank)[: len(x) - -(-share.numerator * len(x) // share.denominator) + 1] for x in whole]
             halves = [pa.array(_signed(np.array([k >> s & 0xFFFFFFFFFFFFFFFF for k in keys], np.uint64))) for s in (64, 0)]
-            columns = {k: batch.column(k) for k in ("r1", "r2", "doc_id")} | {"k1": halves[0], "k2": halves[1], "n": pa.array([len(x) for x in whole], pa.int32()), "vals": _lists(first), "fp": pa.array(np.array([simhash.majority(x) for x in every], np.uint64).view(np.int64))}
+            columns = {k: batch.column(k) for k in ("r1", "r2", "doc_id")} | {"k1": halves[0], "k2": halves[1], "n": pa.array([len(x) for x in whole], pa.int32()), "vals": _lists(first), "fp": pa.array(np.array([simhash.majority(x) for x in every], np.uint64).view(np.int64)), "bits": pa.array([parity(x) for x in whole], pa.binary())}
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return rows.select("r1", "r2", "doc_id", "text").mapInArrow(run, "r1 long, r2 long, doc_id long, k1 long, k2 long, n int, vals array<long>, fp long")
+    return rows.select("r1", "r2", "doc_id", "text").mapInArrow(run, "r1 long, r2 long, doc_id long, k1 long, k2 long, n int, vals array<long>, fp long, bits binary")
 
 
 def _by_value(rows: DataFrame, found, schema: str) -> DataFrame:
@@ -128,7 +146,8 @@ def _by_value(rows: DataFrame, found, schema: str) -> DataFrame:
 
 def _shared(x: dict, start: np.ndarray):
     size = np.repeat(np.diff(start), np.diff(start))
-    yield {k: c[size > 1] for k, c in x.items()} | {"size": size[size > 1]}
+    several = {k: c[size > 1] for k, c in x.items()}
+    yield {"_row": several["_row"], "n": (several["at"] >> 32).astype(np.int32), "pos": (several["at"] & 0xFFFFFFFF).astype(np.int32), "v": several["v"], "size": size[size > 1]}
 
 
 def _fit(x: dict, i: np.ndarray, j: np.ndarray, share: Fraction) -> np.ndarray:
@@ -173,10 +192,29 @@ def _across(share: Fraction):
     return found
 
 
+def _of_few(rows: DataFrame, table: DataFrame, how: str) -> DataFrame:
+    """rows joined by _row with a checkpointed table; rows stay where they are if it has WANTED rows at most."""
+    return rows.join(F.broadcast(table) if table.limit(WANTED + 1).count() <= WANTED else table, "_row", how)
+
+
+def alike(pairs: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
+    """The pairs a, b but those whose parity maps show that they aren't similar enough. sets: _row, n, bits."""
+
+    def run(batches):
+        for batch in batches:
+            x = {k: batch.column(k).to_pylist() for k in ("n_a", "n_b", "bits_a", "bits_b")}
+            kept = [(share.denominator - share.numerator) * (n + m) >= (share.denominator + share.numerator) * apart(p, q) for n, m, p, q in zip(*x.values(), strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    of = lambda k: sets.select(F.col("_row").alias(k), F.col("n").alias(f"n_{k}"), F.col("bits").alias(f"bits_{k}"))
+    both = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    return both.mapInArrow(run, "a long, b long")
+
+
 def texts_of(pairs: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
     """_row and packed, the text, of the rows in pairs a, b; no other text is moved."""
     named = pairs.select(F.col("a").alias("_row")).union(pairs.select("b")).distinct()
-    wanted = common.cut(named.join(sets.select("_row", "r1", "r2"), "_row"))
+    wanted = common.few(common.cut(named.join(sets.select("_row", "r1", "r2"), "_row")))
     found = common.with_table(rows.select("r1", "r2", "text"), wanted, ["r1", "r2"], "inner", WANTED).select("_row", "text")
 
     def run(batches):
@@ -188,7 +226,7 @@ def texts_of(pairs: DataFrame, sets: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def similar(pairs: DataFrame, sets: DataFrame, rows: DataFrame, shingle: int, share: Fraction) -> DataFrame:
-    """Those of the checkpointed pairs a, b whose sets are similar enough, as edges u, v. sets: _row, r1, r2. rows: r1, r2, text."""
+    """Those of the checkpointed pairs a, b whose sets are similar enough, as edges u, v. sets: _row, r1, r2, n, bits. rows: r1, r2, text."""
 
     def run(batches):
         before, x = None, None
@@ -202,10 +240,11 @@ def similar(pairs: DataFrame, sets: DataFrame, rows: DataFrame, shingle: int, sh
                 kept.append(share.denominator * same >= share.numerator * (len(x) + len(y) - same))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["u", "v"]).filter(pa.array(kept, pa.bool_()))
 
+    pairs = common.few(common.cut(alike(common.few(pairs), sets, share)))
     texts = texts_of(pairs, sets, rows)
     of = lambda k: texts.select(F.col("_row").alias(k), F.col("packed").alias(f"packed_{k}"))
     both = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "packed_a", "packed_b")
-    return common.cut(both.mapInArrow(run, "u long, v long"))
+    return common.few(common.cut(both.mapInArrow(run, "u long, v long")))
 
 
 def linked_fingerprints(sets: DataFrame) -> DataFrame:
@@ -218,15 +257,15 @@ def linked_fingerprints(sets: DataFrame) -> DataFrame:
 
 
 def links(sets: DataFrame, rows: DataFrame, shingle: int, share: Fraction) -> DataFrame:
-    """Edges u, v: enough of them that components are those of all similar pairs. sets: _row, r1, r2, n, vals, fp of distinct sets. rows: r1, r2, text."""
-    places = sets.select("_row", "n", F.posexplode("vals").alias("pos", "v"))
+    """Edges u, v: enough of them that components are those of all similar pairs. sets: _row, r1, r2, n, vals, fp, bits of distinct sets. rows: r1, r2, text."""
+    # all places are shuffled, so they are kept short; values that differ in their last bits only make candidates too many
+    places = sets.select("n", "_row", F.posexplode("vals").alias("pos", "v")).select(F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("at"), "_row", F.shiftrightunsigned("v", UNSENT).alias("v"))
     shared = common.cut(_by_value(places, _shared, "_row long, n int, pos int, v long, size long"))
     central = shared.groupBy("_row").agg(F.sum("size").alias("central"))
-    shared = shared.drop("size").join(central, "_row")
-    near = common.cut(_by_value(shared, _to_pivots(share), "a long, b long").union(linked_fingerprints(sets.select("_row", "fp"))).distinct())
+    near = common.cut(_by_value(shared.drop("size").join(central, "_row"), _to_pivots(share), "a long, b long").union(linked_fingerprints(sets.select("_row", "fp"))).distinct())
     edges = similar(near, sets, rows, shingle, share)
     roots = simhash.stars(edges)
-    placed = shared.join(roots, shared["_row"] == roots["node"], "left").select("_row", "n", "pos", "v", F.coalesce("root", "_row").alias("root"))
+    placed = _of_few(shared, common.cut(roots.withColumnRenamed("node", "_row")), "left").select("_row", "n", "pos", "v", F.coalesce("root", "_row").alias("root"))
     others = common.cut(_by_value(placed, _across(share), "a long, b long").distinct().join(near, ["a", "b"], "left_anti"))
     return edges.union(similar(others, sets, rows, shingle, share))
 
@@ -240,5 +279,6 @@ def distinct(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILA
     rows = simhash.keyed(docs)
     slim = common.cut(prefixes(rows, shingle, share, *common_values(rows, shingle)).withColumn("_row", F.monotonically_increasing_id()))
     groups = common.cut(slim.groupBy("k1", "k2").agg(simhash.first_row("_row").alias("first")).select("first", F.col("first._row").alias("node")))
-    one = slim.join(groups.select("node").hint("shuffle_hash"), F.col("_row") == F.col("node"), "left_semi")
+    copies = common.cut(slim.select("_row").join(groups.select(F.col("node").alias("_row")), "_row", "left_anti"))
+    one = _of_few(slim, copies, "left_anti")
     return simhash.one_of_each(rows, slim.select("r1", "r2"), groups, links(one, rows, shingle, share))

@@ -217,20 +217,22 @@ def links(fps: DataFrame, distance: int = DISTANCE, crowd: int = CROWD) -> DataF
 def stars(edges: DataFrame, most_rounds: int = 200) -> DataFrame:
     """node, root for every node of the edges u, v: large and small stars in turn until nothing changes; an error if that takes more than most_rounds."""
     edges = common.cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct())
-    seen = None
+    seen, n = None, edges.count()
+    few = lambda df: common.few(df, n)
     for _ in range(most_rounds):
+        edges = few(edges)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.unionByName(least.filter("u <> m").select("u", F.col("m").alias("v"))).distinct()
+        large = few(few(large.unionByName(least.filter("u <> m").select("u", F.col("m").alias("v")))).distinct())
         small_least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(small_least, "u")
-        small = small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small_least.select("u", F.col("m").alias("v"))).distinct()
-        edges = common.cut(small)
+        small = small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small_least.select("u", F.col("m").alias("v")))
+        edges = common.cut(few(few(small).distinct()))
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.count_if(F.lit(False))).first()
         if now == seen:
-            return edges.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
-        seen = now
+            return few(edges).groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
+        seen, n = now, now[0]
     raise RuntimeError(f"components not settled after {most_rounds} rounds")
 
 

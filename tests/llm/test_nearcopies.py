@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from marquee.llm import nearcopies
+from marquee.llm import common, nearcopies, simhash
 
 
 def brute(rows):
@@ -65,3 +65,40 @@ def test_odd_documents(odd_documents, no_documents):
     assert kept.columns == odd_documents.columns
     assert sorted((r.doc_id for r in kept.collect()), key=str) == brute([(r.doc_id, r.text) for r in odd_documents.collect()])
     assert nearcopies.distinct(no_documents).collect() == []
+
+
+def test_parity_maps_lose_no_pair():
+    rng = np.random.default_rng(3)
+    values = rng.integers(0, 1 << 63, 4000).astype(np.uint64)
+    for n, m, same in [(0, 0, 0), (0, 5, 0), (1, 1, 1), (64, 65, 64), (300, 300, 290), (300, 900, 200), (1000, 1100, 0), (2000, 70, 70)]:
+        x, y = np.unique(values[:n]), np.unique(values[n - same : n - same + m])
+        off = nearcopies.apart(nearcopies.parity(x), nearcopies.parity(y))
+        assert off <= len(np.setxor1d(x, y))
+        assert off > 0.22 * max(n, m) or 5 * same >= 4 * (n + m - same) or n > 8 * m
+
+
+def test_only_texts_that_may_be_similar_are_moved(spark, monkeypatch):
+    moved, texts_of = [], nearcopies.texts_of
+    monkeypatch.setattr(nearcopies, "texts_of", lambda pairs, *more: moved.append(pairs.count()) or texts_of(pairs, *more))
+    rng = np.random.default_rng(8)
+    words = lambda n: " ".join(f"w{i}" for i in rng.integers(0, 9000, n))
+    line, one = words(30), words(100)
+    rows = [(i, line + " " + words(80)) for i in range(40)] + [(40, one), (41, one + " more")]
+    kept = nearcopies.distinct(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(41))
+    assert moved == [1, 0]
+
+
+def test_few_rows_are_few_tasks(spark, monkeypatch):
+    tasks, cut = [], common.cut
+    monkeypatch.setattr(common, "cut", lambda df: tasks.append((out := cut(df)).rdd.getNumPartitions()) or out)
+    spark.conf.set("spark.sql.shuffle.partitions", 24)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 99)], "u long, v long")
+        roots = {r.node: r.root for r in simhash.stars(edges).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert roots == {i: 0 for i in range(1, 61)} | {100: 99} or roots == {i: 0 for i in range(61)} | {100: 99, 99: 99}
+    assert max(tasks[1:]) == 1
