@@ -47,7 +47,8 @@ def listing_index(path: Column) -> Column:
 def sitemaps(bodies: DataFrame) -> DataFrame:
     """url, index, locs of the bodies (url, body) that are sitemaps: the root element says whether locs are sitemaps or pages."""
     index = F.col("body").rlike(r"(?i)<sitemapindex[\s>]")
-    some = bodies.filter(F.col("body").rlike(r"(?i)<(sitemapindex|urlset)[\s>]"))
+    # a filter on bodies would be pushed into what computes them and compute them twice; rows made from an array are not
+    some = bodies.select("url", F.explode(F.array("body")).alias("body")).filter(F.col("body").rlike(r"(?i)<(sitemapindex|urlset)[\s>]"))
     return some.groupBy("url").agg(F.min("body").alias("body")).select("url", index.alias("index"), F.regexp_extract_all("body", F.lit(r"(?i)<loc>\s*([^<\s]+)\s*</loc>"), F.lit(1)).alias("locs"))
 
 
@@ -65,29 +66,38 @@ def _written(df: DataFrame) -> DataFrame:
     return out
 
 
-def crawl(seeds: DataFrame, bodies: DataFrame, priority: Callable[[Column], Column], fetches: int = FETCHES) -> DataFrame:
+def read_once(bodies: DataFrame) -> DataFrame:
+    """The sitemaps of the bodies as a checkpointed table, for crawl() and offered() of the same bodies."""
+    return _written(sitemaps(bodies))
+
+
+def crawl(seeds: DataFrame, bodies: DataFrame, priority: Callable[[Column], Column], fetches: int = FETCHES, maps: DataFrame | None = None) -> DataFrame:
     """host, url, step, kind of every document tried: index and pages in the order of their fetches, none (step null) for what is no sitemap.
 
     seeds: host, url, place. Of equal priority the one goes first that was known first: seeds by place, then children by the step of
     their parent and their place in it. Hosts or URLs that are null, and URLs of other sites, are never tried. A URL that is known twice counts from the first time.
+    maps: read_once(bodies), if at hand.
     """
-    maps = _written(sitemaps(bodies))
+    maps = read_once(bodies) if maps is None else maps
     kinds = maps.select("url", F.when(F.col("index"), "index").otherwise("pages").alias("kind"))
+    # what an index lists, with its kinds, so that a round reads no page sitemaps
+    links = maps.filter("index").select(F.col("url").alias("parent"), F.posexplode("locs").alias("place", "url")).join(kinds, "url", "left")
+    links = _written(links.groupBy("parent").agg(F.collect_list(F.struct("place", "url", "kind")).alias("listed")))
 
     def new(rows: DataFrame) -> DataFrame:
-        rows = rows.filter(same_site(F.col("url"), F.col("host"))).groupBy("host", "url").agg(F.min(F.struct("r", F.col("place").cast("long").alias("i"))).alias("at"))
+        rows = rows.filter(same_site(F.col("url"), F.col("host"))).groupBy("host", "url").agg(F.min(F.struct("r", F.col("place").cast("long").alias("i"))).alias("at"), F.min("kind").alias("kind"))
         key = F.struct((-priority(F.col("url"))).alias("p"), "at.r", "at.i", "url")
-        return rows.join(kinds, "url", "left").select("host", "url", F.coalesce("kind", F.lit("none")).alias("kind"), key.alias("key"), F.lit(None).cast("int").alias("step"))
+        return rows.select("host", "url", F.coalesce("kind", F.lit("none")).alias("kind"), key.alias("key"), F.lit(None).cast("int").alias("step"))
 
     parts = int(seeds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    known = _written(new(seeds.select("host", "url", F.lit(0).alias("r"), "place")))
+    known = _written(new(seeds.select("host", "url", F.lit(0).alias("r"), "place").join(kinds, "url", "left")))
     open_ = F.when((F.col("kind") != "none") & F.col("step").isNull(), F.col("key"))
     for step in range(1, fetches + 1):
         # the step comes from the data, so every round has the same generated code
         best = known.groupBy("host").agg(F.min(open_).alias("best"), (F.coalesce(F.max("step"), F.lit(0)) + 1).alias("now")).filter("best is not null")
         marked = known.join(best, "host", "left").select("host", "url", "kind", "key", F.when(F.col("key") == F.col("best"), F.col("now")).otherwise(F.col("step")).alias("step"))
         parents = best.select("host", F.col("best.url").alias("parent"), F.col("now").alias("r"))
-        children = parents.join(maps.filter("index").select(F.col("url").alias("parent"), "locs"), "parent").select("host", "r", F.posexplode("locs").alias("place", "url"))
+        children = parents.join(links, "parent").select("host", "r", F.explode("listed").alias("l")).select("host", "r", "l.place", "l.url", "l.kind")
         # a union adds up partitions, which else would grow from round to round
         known = _written(marked.unionByName(new(children).join(known.select("host", "url"), ["host", "url"], "left_anti")).coalesce(parts))
         if known.filter(F.col("step") == step).isEmpty():
@@ -100,10 +110,11 @@ def crawl(seeds: DataFrame, bodies: DataFrame, priority: Callable[[Column], Colu
     return known.filter("step is not null").select("host", "url", "step", "kind").unionByName(tried.select("host", "url", "step", "kind"))
 
 
-def offered(visits: DataFrame, bodies: DataFrame, urls: int = URLS) -> DataFrame:
-    """host, url, step, place: the URLs of the same site among the first `urls` that a host's page sitemaps list, in order of the crawl."""
+def offered(visits: DataFrame, bodies: DataFrame, urls: int = URLS, maps: DataFrame | None = None) -> DataFrame:
+    """host, url, step, place: the URLs of the same site among the first `urls` that a host's page sitemaps list, in order of the crawl. maps: read_once(bodies), if at hand."""
+    maps = sitemaps(bodies) if maps is None else maps
     w = Window.partitionBy("host").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
-    listed = visits.filter("kind = 'pages'").join(sitemaps(bodies).select("url", "locs"), "url")
+    listed = visits.filter("kind = 'pages'").join(maps.select("url", "locs"), "url")
     before = F.coalesce(F.sum(F.size("locs")).over(w), F.lit(0))
     cut = listed.select("host", "step", F.slice("locs", F.lit(1), F.greatest(F.lit(0), F.lit(urls) - before).cast("int")).alias("locs"))
     return cut.select("host", "step", F.posexplode("locs").alias("place", "url")).filter(same_site(F.col("url"), F.col("host"))).select("host", "url", "step", "place")

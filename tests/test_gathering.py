@@ -258,3 +258,20 @@ def test_hydration_is_a_rung_of_the_ladder():
     for body in bodies:
         assert [(rung, via, r["title"], r["venue"]) for rung, via, r in pages.records(body, datetime(2026, 9, 1))] == [(3, "embedded", "Gig", "Hall")]
     assert pages.records("<script>window.__NUXT__={a:1}</script>" + chunked("1a:{", 9), datetime(2026, 9, 1)) == []
+
+
+def test_bodies_are_read_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(url):
+        seen.add(1)
+        return sitemap("urlset", "https://h.org/events/1", "https://h.org/2") if url.endswith("1") else "none"
+
+    urls = [f"https://h.org/{i}" for i in range(11, 31)]
+    bodies = spark.createDataFrame([(u,) for u in urls], "url string").select("url", F.udf(noted)("url").alias("body"))
+    seeds = spark.createDataFrame([("h.org", u, i) for i, u in enumerate(urls)], "host string, url string, place long")
+    maps = crawl.read_once(bodies)
+    visits = crawl.crawl(seeds, bodies, lambda u: F.lit(0), maps=maps)
+    best = crawl.candidates(crawl.offered(visits, bodies, maps=maps), lambda u: F.lit(0)).collect()
+    assert [(r.host, r.url, r["rank"]) for r in best] == [("h.org", "https://h.org/events/1", 1)]
+    assert seen.value == len(urls)
