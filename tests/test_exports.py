@@ -90,6 +90,36 @@ def test_stated_tags_come_before_taste(spark):
     assert places == {1: [11, 13, 12, 10, 14], 4: [10, 13, 14, 11, 12]}
 
 
+def test_personal_order_without_a_shuffle_of_the_product(spark):
+    scores = [None, 5.0, 7.5, 5.0, 1e8 / 7, 1234.5678912345, float("nan"), -0.0, 0.0]
+    tags = [["jazz", "folk"], ["folk", "jazz", "jazz"], ["rock"], None, [], [None, "blues"], ["jazz", "rock"]]
+    rows = [(i * 31 % 211, 1000 - i, scores[i * i % 9], tags[i % 7], i % 3) for i in range(211)]
+    made = spark.createDataFrame(rows, "item long, ord long, score double, tags array<string>, c int")
+    events = made.drop("c")
+    keys = made.select("item", F.explode("tags").alias("t")).select("item", F.concat(F.lit("tag:"), "t").alias("key")).unionByName(made.filter("c < 2").select("item", F.concat(F.lit("cat:c"), "c").alias("key")))
+    users = spark.createDataFrame([(1,), (2,), (3,), (4,), (5,), (5,)], "user_id long")
+    profile = spark.createDataFrame([(u, k, float(w)) for u in (1, 2, 3, 9) for k, w in (("tag:jazz", u), ("tag:rock", 2 - u), ("tag:blues", 1), ("cat:c0", 3), ("cat:c1", 3 * (u - 1))) if w], "user_id long, key string, weight double")
+    prefs = spark.createDataFrame([(2, "rock", -1), (2, "folk", 1), (4, "blues", 1), (9, "jazz", 1)], "user_id long, tag string, pref int")
+    boosts = {(r.user_id, r.item): r.boost for r in corpus.taste_boost(corpus.effective_taste(profile, prefs), keys).collect()}
+    whole = corpus.personal_order(users, events, profile, prefs, keys, block=37, group=2)
+    got = {}
+    for r in whole.collect():
+        got.setdefault(r.user_id, []).append((r.place, r.item, r.tier, r.boost))
+    assert set(got) == {1, 2, 3, 4, 5}
+    for u in got:
+        facts = []
+        for item, order, score, t, _ in rows:
+            tier = -1 if u == 2 and "rock" in (t or []) else 1 if (u == 2 and "folk" in (t or [])) or (u == 4 and "blues" in (t or [])) else 0
+            rank = (score or 0.0) + boosts.get((u, item), 0.0)
+            facts.append((-tier, -float("inf") if rank != rank else -round(rank, 9), order, item, boosts.get((u, item), 0.0)))
+        assert sorted(got[u]) == [(n, f[3], -f[0], f[4]) for n, f in enumerate(sorted(facts), 1)]
+    assert len({b for (u, _), b in boosts.items() if u == 1}) > 3
+    one = {(r.user_id, r.item): (r.place, r.boost) for r in corpus.personal_order(users, events, profile, prefs, keys, digits=2).collect()}
+    assert one == {(u, item): (n, round(b, 2)) for u, places in got.items() for n, item, _, b in places}
+    assert corpus.personal_order(users, events.limit(0), profile, prefs, keys).collect() == corpus.personal_order(users.limit(0), events, profile, prefs, keys).collect() == []
+    assert "windowspecdefinition(user_id" not in whole._jdf.queryExecution().optimizedPlan().toString()
+
+
 BODY = """BEGIN:VCALENDAR\r
 BEGIN:VTIMEZONE\r
 TZID:Australia/Sydney\r
