@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,29 +64,65 @@ def html_text(pages: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Serie
         yield pd.Series([readable(p, b) for p, b in zip(page, base, strict=True)], dtype="object")
 
 
-def _cleaned(text: str | None) -> str:
-    text = html.unescape(html.unescape(html.unescape(text or "")))
-    text = re.sub(r"<[^>]*>", " ", text)
-    text = re.sub(r"\\(['\"nrt\\])", lambda m: {"n": " ", "r": " ", "t": " "}.get(m[1], m[1]), text)
-    return re.sub(r"\s+", " ", text).strip()
+def decoder() -> Callable[[str | None], str]:
+    """What decoded does to one text. It names no helper of this module, which workers might not find."""
 
+    def decode(text: str | None) -> str:
+        return html.unescape(html.unescape(html.unescape(text))) if text and "&" in text else text or ""
 
-@F.pandas_udf(T.StringType())
-def clean_text(texts: pd.Series) -> pd.Series:
+    return decode
+
+
+def cleaner() -> Callable[[str | None], str]:
+    """What clean_text does to one text."""
+    decode = decoder()
+
+    def clean(text: str | None) -> str:
+        text = decode(text)
+        if "<" in text:
+            end = text.rfind(">") + 1  # a tag that isn't closed would be looked for up to the end from each of its signs
+            text = re.sub(r"<[^>]*>", " ", text[:end]) + text[end:]
+        if "\\" in text:
+            text = re.sub(r"\\(['\"nrt\\])", lambda m: {"n": " ", "r": " ", "t": " "}.get(m[1], m[1]), text)
+        return " ".join(text.split())
+
+    return clean
+
+
+def _each(one: Callable[[str | None], str]) -> Callable[[pa.Array], pa.Array]:
+    """A text function over arrays: equal texts of a batch are looked at once."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        coded = texts.dictionary_encode()
+        return pa.array([one(t) for t in coded.dictionary.to_pylist()], pa.string()).take(coded.indices).fill_null(one(None))
+
+    return run
+
+
+def _each_of_lists(one: Callable[[str | None], str]) -> Callable[[pa.Array], pa.Array]:
+    """A text function over the elements of lists; null lists stay null."""
+    each = _each(one)
+
+    def run(lists: pa.Array) -> pa.Array:
+        ends = np.cumsum(np.concatenate(([0], lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))), dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), each(lists.flatten()), mask=lists.is_null())
+
+    return run
+
+
+def clean_text(texts: Column | str) -> Column:
     """Entities decoded up to three times, tags dropped, escapes undone, white space squeezed; null is empty."""
-    return texts.map(_cleaned)
+    return F.arrow_udf(_each(cleaner()), T.StringType())(texts)
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def clean_texts(lists: pd.Series) -> pd.Series:
+def clean_texts(lists: Column | str) -> Column:
     """clean_text of each text of a list; a null list stays null."""
-    return lists.map(lambda xs: None if xs is None else [_cleaned(x) for x in xs])
+    return F.arrow_udf(_each_of_lists(cleaner()), T.ArrayType(T.StringType()))(lists)
 
 
-@F.pandas_udf(T.StringType())
-def decoded(texts: pd.Series) -> pd.Series:
+def decoded(texts: Column | str) -> Column:
     """Entities decoded up to three times; null is empty."""
-    return texts.map(lambda t: html.unescape(html.unescape(html.unescape(t or ""))))
+    return F.arrow_udf(_each(decoder()), T.StringType())(texts)
 
 
 def strip_display(text: Column) -> Column:

@@ -164,7 +164,7 @@ def clean_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "image": F.when(item % 3 == 0, text("https://x.example/p", number, ".jpg?w=1&amp;h=2")).when(item % 3 == 1, "http://x.example/p.png").otherwise("https://x.example/p"),
         "datetime": F.lit("some evening"), "tags": F.concat("tags", F.array(*more)),
     })
-    out = clean.tag_steps(clean.clean_events(rows), "Old Town")
+    out = clean.published(rows, "Old Town")
     return out.select("ord", "title", "location", "description", "cost", "link", "image", "datetime", F.array_join("tags", "|").alias("tags"))
 
 
